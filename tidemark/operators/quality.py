@@ -1,6 +1,6 @@
 """Data tests. A check is one row ``(teste, valor, esperado, passou)``; a report is many.
 
-A check computes its numbers in one-row frames, so checks combine without moving data, and each
+A check computes its numbers in one-row frames; scalar subqueries bring them together, and each
 number feeds both the printed value and the verdict.
 """
 
@@ -47,9 +47,9 @@ def rows_of(numbers: DataFrame, checks: Sequence[Column]) -> DataFrame:
     return numbers.select(F.inline(F.array(*checks)))
 
 
-def side_by_side(*numbers: DataFrame) -> DataFrame:
-    """Glue one-row frames together."""
-    return reduce(lambda a, b: a.crossJoin(b), numbers)
+def beside(numbers: DataFrame, *more: DataFrame) -> DataFrame:
+    """Add the single value of each further one-row, one-column frame, as a scalar subquery."""
+    return numbers.select("*", *(one.scalar().alias(one.columns[0]) for one in more))
 
 
 # Stand-alone checks -------------------------------------------------------------------------
@@ -58,7 +58,7 @@ def side_by_side(*numbers: DataFrame) -> DataFrame:
 def reconcile_sum(
     name: str, a: DataFrame, a_col: str, b: DataFrame, b_col: str, tolerance: str = "0.01"
 ) -> DataFrame:
-    numbers = side_by_side(a.agg(F.sum(a_col).alias("a")), b.agg(F.sum(b_col).alias("b")))
+    numbers = beside(a.agg(F.sum(a_col).alias("a")), b.agg(F.sum(b_col).alias("b")))
     return rows_of(numbers, [same_amount(name, F.col("a"), F.col("b"), tolerance)])
 
 

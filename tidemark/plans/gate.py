@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.expectations import Expectation
 from tidemark.operators.quality import (
+    beside,
     duplicate_count,
     no_rows,
     orphan_count,
     rows_of,
     same_amount,
-    side_by_side,
     volume,
 )
 
@@ -47,7 +47,7 @@ def gate_report(
 ) -> DataFrame:
     """The nine release tests. All plain fact numbers come from one pass over the fact."""
     col = F.col
-    numbers = side_by_side(
+    numbers = beside(
         fact.agg(
             F.sum("receita").alias("fato"),
             F.sum(F.when(~col("cancelado"), col("receita"))).alias("fato_valido"),
@@ -84,4 +84,4 @@ def key_report(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFram
         duplicate_count(df, keys).withColumnRenamed("n", name) for name, (df, keys) in tables.items()
     ]
     checks = [no_rows(f"chave_unica_{name}", F.col(name)) for name in tables]
-    return rows_of(side_by_side(*counts), checks).orderBy("teste")
+    return rows_of(beside(*counts), checks).orderBy("teste")
