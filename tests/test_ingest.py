@@ -1,8 +1,12 @@
 """Landing folder and bronze load, on files written by the tests."""
 
 import datetime
+import uuid
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tests.landing_data import ROWS, write_csv, write_landing
 from tidemark.schemas import RAW_COLUMNS, manifest, raw_schema
@@ -12,12 +16,12 @@ from tidemark.sources.bronze import (
     reconcile_counts,
     require_reconciled,
 )
-from tidemark.sources.csv import line_by_line
+from tidemark.sources.csv import LINES, STITCHED, HeaderError, line_by_line
 from tidemark.sources.landing import (
     ArrivalError,
     append_arrival_log,
     arrival_check,
-    splittable_drops,
+    read_modes,
 )
 
 
@@ -121,18 +125,58 @@ def test_line_by_line(spark, landing, tmp_path):
     assert line_by_line(spark, str(tmp_path / "long.csv"))
 
 
-def test_big_files_are_split_only_when_safe(spark, landing):
+@pytest.fixture
+def tiny_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64b")
-    try:
-        names = list(manifest().values())
-        safe = splittable_drops(spark, landing, names)
-        assert "orders.csv" in safe and "order_reviews.csv" not in safe
-        got = arrival_check(spark, landing, manifest(), split=safe).collect()
-        assert {r["tabela"]: r["linhas"] for r in got} == {t: len(r) for t, r in ROWS.items()}
-        df = ingest_all_string(spark, f"{landing}/orders.csv", raw_schema("orders"), multiline=False)
-        assert df.rdd.getNumPartitions() > 1
-        whole = ingest_all_string(spark, f"{landing}/orders.csv", raw_schema("orders"))
-        drop = ("_ingerido_em", "_arquivo_origem")
-        assert sorted(df.drop(*drop).collect()) == sorted(whole.drop(*drop).collect())
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def content(df):
+    return sorted(map(tuple, df.drop("_ingerido_em").collect()), key=repr)
+
+
+def test_big_files_are_read_in_parallel(spark, landing, tiny_splits):
+    modes = read_modes(spark, landing, list(manifest().values()))
+    assert modes["orders.csv"] == LINES and modes["order_reviews.csv"] == STITCHED
+    got = arrival_check(spark, landing, manifest(), modes=modes).collect()
+    assert {r["tabela"]: r["linhas"] for r in got} == {t: len(r) for t, r in ROWS.items()}
+    for table, file in manifest().items():
+        path, schema = f"{landing}/{file}", raw_schema(table)
+        split = ingest_all_string(spark, path, schema, modes[file])
+        assert content(split) == content(ingest_all_string(spark, path, schema))
+    assert ingest_all_string(spark, f"{landing}/orders.csv", schema, LINES).rdd.getNumPartitions() > 1
+
+
+@given(
+    st.lists(
+        st.tuples(*[st.text(st.sampled_from('ab ",\n\u00e9'), max_size=60)] * 3), min_size=1, max_size=12
+    )
+)
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+def test_stitching_equals_whole_file_reading(spark, tmp_path, tiny_splits, rows):
+    path = tmp_path / f"{uuid.uuid4().hex}.csv"
+    write_csv(path, ("x", "y", "z"), rows)
+    schema = StructType([StructField(c, StringType()) for c in "xyz"])
+    split = ingest_all_string(spark, str(path), schema, STITCHED)
+    assert content(split) == content(ingest_all_string(spark, str(path), schema))
+    assert split.count() == len(rows)
+
+
+def test_stitching_refuses_what_it_cannot_prove(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('h1,h2\na"b,"open\nrest",x\n')
+    schema = StructType([StructField(c, StringType()) for c in ("h1", "h2")])
+    with pytest.raises(Exception, match="not a CSV record"):
+        ingest_all_string(spark, str(tmp_path / "odd.csv"), schema, STITCHED).collect()
+    with pytest.raises(HeaderError):
+        ingest_all_string(spark, str(tmp_path / "odd.csv"), raw_schema("sellers"), STITCHED)
+
+
+def test_an_unclosed_quote_is_an_error_not_one_huge_record(spark, tmp_path, tiny_splits, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.csv.MAX_RECORD_BYTES", 256)
+    (tmp_path / "open.csv").write_text("x\n" + "a\n" * 50 + '"open\n' + "a\n" * 500)
+    schema = StructType([StructField("x", StringType())])
+    with pytest.raises(Exception, match="unclosed quote"):
+        ingest_all_string(spark, str(tmp_path / "open.csv"), schema, STITCHED).collect()

@@ -14,7 +14,7 @@ from tidemark.plans import descriptions, gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import tune
 from tidemark.sources.bronze import ingest_all_string, reconcile_counts, require_reconciled
-from tidemark.sources.landing import append_arrival_log, arrival_check, splittable_drops
+from tidemark.sources.landing import append_arrival_log, arrival_check, read_modes
 from tidemark.sources.tables import register, write_table
 
 CONCURRENT_WRITES = 4  # independent tables share the cluster instead of queueing
@@ -48,15 +48,15 @@ class Run:
     def bronze(self, landing: str, expected: dict[str, str]) -> None:
         """Check arrival, load every file as text and prove the counts."""
         landing = landing.rstrip("/")
-        split = splittable_drops(self.spark, landing, list(expected.values()))
+        modes = read_modes(self.spark, landing, list(expected.values()))
         append_arrival_log(
-            arrival_check(self.spark, landing, expected, split=split), self.log_path
+            arrival_check(self.spark, landing, expected, modes=modes), self.log_path
         )
 
         def load(table: str) -> tuple[str, int]:
             name = expected[table]
             df = ingest_all_string(
-                self.spark, f"{landing}/{name}", raw_schema(table), multiline=name not in split
+                self.spark, f"{landing}/{name}", raw_schema(table), modes[name]
             )
             return table, self.write(f"bronze.{table}", df)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.sources.csv import read_csv
+from tidemark.sources.csv import WHOLE, read_csv
 
 
 class ReconciliationError(Exception):
@@ -17,13 +17,14 @@ def ingest_all_string(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
-    multiline: bool = True,
+    mode: str = WHOLE,
 ) -> DataFrame:
     """Every column as text, untouched, plus load time and source file name."""
-    return read_csv(spark, path, schema, multiline).select(
-        "*",
+    rows = read_csv(spark, path, schema, mode)
+    return rows.select(
+        *(c for c in rows.columns if c != "_file_path"),
         F.current_timestamp().alias("_ingerido_em"),
-        F.col("_metadata.file_name").alias("_arquivo_origem"),
+        F.substring_index("_file_path", "/", -1).alias("_arquivo_origem"),
     )
 
 

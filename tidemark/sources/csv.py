@@ -1,43 +1,163 @@
-"""The raw CSV format: header, comma, quoted fields that may hold line breaks and doubled quotes."""
+"""The raw CSV format: header, comma, quoted fields that may hold line breaks and doubled quotes.
+
+Spark reads such a file whole, in one task, because a line break may be inside a field. That is
+fine up to one input split. Bigger files are read in one of two other ways, chosen per drop:
+
+* ``LINES``: every line is a whole record (checked), so the file can be cut at any line;
+* ``STITCHED``: some records span lines; a splittable text scan finds where records start.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+WHOLE, LINES, STITCHED = "whole", "lines", "stitched"
+
+FORMAT = {"quote": '"', "escape": '"'}
+
+# A text that is one record: fields are plain, or quoted with doubled quotes inside. The
+# possessive quantifiers keep the match linear in the length of the text.
+QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
+FIELD = f'(?:{QUOTED}|[^",\\r\\n]*+)'
+RECORD = rf"\A{FIELD}(?:,{FIELD})*+\z"
 
-# A line that is a whole record: fields are plain, or quoted with doubled quotes inside. The
-# possessive quantifiers keep the match linear in the length of the line.
-WHOLE_RECORD = r'^(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)(?:,(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+))*+$'
+
+# No record may reach this far past the split it starts in: a quote that is never closed would
+# otherwise swallow the rest of the file as one record.
+MAX_RECORD_BYTES = 256 * 1024 * 1024
+
+
+class HeaderError(Exception):
+    """A file's header differs from the declared columns."""
 
 
 def read_csv(
-    spark: SparkSession,
-    paths: str | list[str],
-    schema: StructType | str | None,
-    multiline: bool = True,
-    enforce: bool = False,
+    spark: SparkSession, paths: str | list[str], schema: StructType | None, mode: str = WHOLE
 ) -> DataFrame:
-    """All columns as strings. Without a schema the header names them.
+    """All columns as strings, plus ``_file_path``; without a schema the header names them.
 
-    With a schema and ``enforce=False`` a header that differs from it is an error. ``multiline``
-    reads each file in one task; a file of whole-record lines can do without (``line_by_line``).
+    With a schema, a header that differs from it is an error.
     """
+    if mode == STITCHED:
+        return stitched(spark, paths, schema)
     reader = spark.read.options(
-        **FORMAT, multiLine=str(multiline).lower(), recursiveFileLookup="true"
+        **FORMAT, header="true", multiLine=str(mode == WHOLE).lower(), recursiveFileLookup="true"
     )
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", str(enforce).lower())
-    return reader.csv(paths)
+        reader = reader.schema(schema).option("enforceSchema", "false")
+    return reader.csv(paths).select("*", F.url_decode("_metadata.file_path").alias("_file_path"))
 
 
-def line_by_line(spark: SparkSession, path: str) -> bool:
-    """True when every line of the file(s) is a whole record, so no record spans lines.
+def records(spark: SparkSession, paths: list[str], mode: str = WHOLE) -> DataFrame:
+    """``_file_path`` once per record, for counting files of any layout."""
+    if mode == STITCHED:
+        return record_texts(spark, paths).select("_file_path")
+    reader = spark.read.options(
+        **FORMAT, header="true", multiLine=str(mode == WHOLE).lower(), recursiveFileLookup="true"
+    )
+    return (
+        reader.schema("record string")
+        .csv(paths)
+        .select(F.url_decode("_metadata.file_path").alias("_file_path"))
+    )
+
+
+def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").text(paths)
+
+
+def line_by_line(spark: SparkSession, paths: str | list[str]) -> bool:
+    """True when every line is a whole record, so that no record spans lines.
 
     If each line parses as complete fields, each record ends where its line ends; the file may
     then be cut at any line and read by many tasks. The text scan itself is split that way too.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.filter(~F.col("value").rlike(WHOLE_RECORD)).isEmpty()
+    return text_lines(spark, paths).filter(~F.col("value").rlike(RECORD)).isEmpty()
+
+
+def record_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(_file_path, record)`` for every record but the header, found in parallel.
+
+    Outside of quotes an even number of quotes has gone by. So a line starts a record when the
+    quotes before it in its file are even: those before it in its split, plus those of earlier
+    splits, which a small table with one row per split provides. Only lines of records that span
+    lines are grouped again; a group is one record.
+    """
+    lines = text_lines(spark, paths).select(
+        "value",
+        F.url_decode("_metadata.file_path").alias("_file_path"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("pos"),
+        (F.regexp_count("value", F.lit('"')) % 2).alias("odd"),
+    )
+    in_split = Window.partitionBy("_file_path", "split").orderBy("pos")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd_before", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+
+    # one row per split: does it flip the state, and where does its last record start if it is
+    # entered outside (0) or inside (1) of quotes?
+    splits = lines.groupBy("_file_path", "split").agg(
+        (F.sum("odd") % 2).alias("flips"),
+        *(
+            F.max(F.when(F.col("odd_before") == s, F.struct("split", "pos"))).alias(f"last_{s}")
+            for s in (0, 1)
+        ),
+    )
+    earlier = (
+        Window.partitionBy("_file_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    entered = F.coalesce(F.sum("flips").over(earlier), F.lit(0)) % 2
+    splits = splits.withColumn("entered", entered)
+    last = F.when(F.col("entered") == 0, F.col("last_0")).otherwise(F.col("last_1"))
+    splits = splits.withColumn("last_start", last).select(
+        "_file_path",
+        "split",
+        "entered",
+        F.last("last_start", ignorenulls=True).over(earlier).alias("open_record"),
+    )
+
+    starts = (F.col("odd_before") + F.col("entered")) % 2 == 0
+    lines = lines.join(splits, ["_file_path", "split"]).withColumn("starts", starts)
+    own_start = F.last(F.when(F.col("starts"), F.struct("split", "pos")), ignorenulls=True)
+    too_long = F.col("split") - F.col("open_record.split") > MAX_RECORD_BYTES
+    carried = F.when(
+        too_long, F.raise_error(F.concat(F.lit("unclosed quote in "), "_file_path"))
+    ).otherwise(F.col("open_record"))
+    lines = lines.select(
+        "_file_path",
+        "value",
+        "split",
+        "pos",
+        (F.col("starts") & (F.col("odd") == 0)).alias("whole"),
+        F.coalesce(own_start.over(in_split), carried).alias("start"),
+        ((F.col("split") == 0) & (F.row_number().over(in_split) == 1)).alias("first"),
+    )
+    single = lines.filter("whole AND NOT first AND value <> ''")
+    piece = F.struct("split", "pos", "value", "first")
+    spanning = (
+        lines.filter("NOT whole")
+        .groupBy("_file_path", "start")
+        .agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+        .filter("NOT pieces[0].first")
+        .select("_file_path", F.array_join("pieces.value", "\n").alias("record"))
+    )
+    return single.select("_file_path", F.col("value").alias("record")).unionByName(spanning)
+
+
+def stitched(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+    """Parse the records of ``record_texts``; a text that is not exactly one record is an error."""
+    found = spark.read.options(
+        **FORMAT, header="true", multiLine="true", recursiveFileLookup="true"
+    ).csv(paths)
+    if found.columns != schema.fieldNames():
+        raise HeaderError(f"expected {schema.fieldNames()}, found {found.columns}")
+    broken = F.raise_error(F.concat(F.lit("not a CSV record: "), F.substring("record", 1, 200)))
+    text = F.when(F.col("record").rlike(RECORD), F.col("record")).otherwise(broken)
+    parsed = F.from_csv(text, schema.simpleString()[len("struct<") : -1].replace(":", " "), FORMAT)
+    return (
+        record_texts(spark, paths)
+        .select("_file_path", parsed.alias("row"))
+        .select("row.*", "_file_path")
+    )

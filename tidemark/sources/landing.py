@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import ARRIVAL_LOG
-from tidemark.sources.csv import line_by_line, read_csv
+from tidemark.sources.csv import LINES, STITCHED, WHOLE, line_by_line, records
 
 
 class ArrivalError(Exception):
@@ -37,21 +38,15 @@ def landed_files(spark: SparkSession, base: str, names: list[str]) -> DataFrame:
     )
 
 
-def count_records(
-    spark: SparkSession, base: str, names: list[str], split: frozenset[str] = frozenset()
-) -> DataFrame:
+def count_records(spark: SparkSession, base: str, modes: dict[str, str]) -> DataFrame:
     """``(arquivo, linhas)``; a drop that holds only a header has no row here."""
-    counted = None
-    for group, multiline in ((set(names) - split, True), (set(names) & split, False)):
-        if not group:
-            continue
-        paths = [f"{base}/{name}" for name in sorted(group)]
-        rows = read_csv(spark, paths, "record string", multiline, enforce=True)
-        per_drop = rows.groupBy(
-            drop_name(F.url_decode("_metadata.file_path"), names).alias("arquivo")
-        ).agg(F.count(F.lit(1)).alias("linhas"))
-        counted = per_drop if counted is None else counted.unionByName(per_drop)
-    return counted
+    counts = []
+    for mode in sorted(set(modes.values())):
+        names = sorted(name for name, m in modes.items() if m == mode)
+        found = records(spark, [f"{base}/{name}" for name in names], mode)
+        per_drop = found.groupBy(drop_name(F.col("_file_path"), names).alias("arquivo"))
+        counts.append(per_drop.agg(F.count(F.lit(1)).alias("linhas")))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def arrival_check(
@@ -59,12 +54,12 @@ def arrival_check(
     base: str,
     expected: dict[str, str],
     checked_at: datetime | None = None,
-    split: frozenset[str] | None = None,
+    modes: dict[str, str] | None = None,
 ) -> DataFrame:
     """One log row per expected drop, or an error naming every missing and every empty one.
 
-    ``expected`` is ``{table: landing name}``. ``split`` names the drops known to hold one record
-    per line (see ``splittable_drops``); they are counted in many tasks per file.
+    ``expected`` is ``{table: landing name}``; ``modes`` says how to read drops that are too big
+    for one task per file (see ``read_modes``).
     """
     base = base.rstrip("/")
     names = list(expected.values())
@@ -73,7 +68,7 @@ def arrival_check(
     present = [name for name in names if name in sizes]
     counts = {}
     if present:
-        counted = count_records(spark, base, present, split or frozenset())
+        counted = count_records(spark, base, {n: (modes or {}).get(n, WHOLE) for n in present})
         counts = {r["arquivo"]: r["linhas"] for r in counted.collect()}
     empty = [f"{base}/{name}" for name in present if not counts.get(name)]
     if missing or empty:
@@ -88,15 +83,22 @@ def arrival_check(
     return spark.createDataFrame(rows, ARRIVAL_LOG)
 
 
-def splittable_drops(spark: SparkSession, base: str, names: list[str]) -> frozenset[str]:
-    """Drops with a file too big for one task in which every line is a whole record.
+def read_modes(spark: SparkSession, base: str, names: list[str]) -> dict[str, str]:
+    """How to read each drop that is there.
 
-    Smaller drops are not looked at: a file within one input split is one task either way.
+    A drop whose files each fit one input split is read whole: that is one task per file either
+    way. A bigger one is looked at, to see whether records span lines.
     """
     limit = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    landed = landed_files(spark, base.rstrip("/"), names)
-    big = [r["arquivo"] for r in landed.filter(F.col("maior") > limit).collect()]
-    return frozenset(n for n in big if line_by_line(spark, f"{base.rstrip('/')}/{n}"))
+    base = base.rstrip("/")
+
+    def mode(name: str, largest: int) -> str:
+        if largest <= limit:
+            return WHOLE
+        return LINES if line_by_line(spark, f"{base}/{name}") else STITCHED
+
+    landed = landed_files(spark, base, names).collect()  # one row per expected drop
+    return {r["arquivo"]: mode(r["arquivo"], r["maior"]) for r in landed}
 
 
 def append_arrival_log(arrivals: DataFrame, path: str) -> None:

@@ -339,7 +339,33 @@ def payments(columns: str) -> str:
         FROM (SELECT DISTINCT {columns} FROM valido) GROUP BY 1"""
 
 
+RAW_ROWS = {
+    "customers": "orders",
+    "geolocation": "customer",
+    "orders": "orders",
+    "order_items": "lineitem",
+    "order_payments": "lineitem",
+    "order_reviews": "events",
+    "products": "part",
+    "sellers": "supplier",
+    "product_category_translation": "r_translation",
+}
+
 STATEMENTS: dict[str, str] = {
+    "arrival_check": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, '{name}.csv' AS arquivo, count(*) AS linhas FROM {source}"
+        for name, source in RAW_ROWS.items()
+    ),
+    "bronze_ingest": """
+        SELECT cast(doc_id AS varchar) AS review_id, cast(NULL AS varchar) AS review_score,
+               source AS review_comment_title, md5(text) AS mensagem_md5,
+               cast(length(text) AS int) AS mensagem_tamanho
+        FROM documents""",
+    "bronze_reconciliation": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, count(*) AS linhas_bronze, count(*) AS linhas_raw, "
+        f"true AS bate FROM {source}"
+        for name, source in RAW_ROWS.items()
+    ),
     "clean_customers": "SELECT * FROM clientes",
     "clean_orders": "SELECT * REPLACE ("
     + shown(

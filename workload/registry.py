@@ -13,7 +13,11 @@ from tidemark.operators import quality
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.expectations import unparseable, violations
 from tidemark.plans import gate, gold, kpis, marts, silver
-from tidemark.session import tune
+from tidemark.schemas import manifest, raw_schema
+from tidemark.session import shared_folder, tune
+from tidemark.sources.bronze import ingest_all_string, reconcile_counts
+from tidemark.sources.landing import append_arrival_log, arrival_check
+from tidemark.sources.tables import write_table
 from workload.raw_tables import RawTables, table
 
 AS_OF = "2002-01-01"  # fixed "today" so that results repeat
@@ -163,7 +167,78 @@ def key_report(t: Tables) -> DataFrame:
     )
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A drop of part files in the landing format, text left as it is."""
+    df.write.options(
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        emptyValue="",
+    ).csv(path)
+
+
+def land(t: Tables) -> str:
+    """All nine raw tables as CSV drops in the shared folder."""
+    folder = shared_folder(t.spark)
+    for name, file in manifest().items():
+        write_csv(t.raw[name], f"{folder}/{file}")
+    return folder
+
+
+def arrivals(t: Tables) -> DataFrame:
+    return arrival_check(t.spark, land(t), manifest()).select("tabela", "arquivo", "linhas")
+
+
+def bronze_texts(t: Tables) -> DataFrame:
+    """Whole documents, line breaks and quotes included, as review messages: to CSV and back."""
+    path = f"{shared_folder(t.spark)}/order_reviews.csv"
+    documents = table(t.spark, t.sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("review_id"),
+        *(F.lit(None).cast("string").alias(c) for c in ("order_id", "review_score")),
+        F.col("source").alias("review_comment_title"),
+        F.col("text").alias("review_comment_message"),
+        *(
+            F.lit(None).cast("string").alias(c)
+            for c in ("review_creation_date", "review_answer_timestamp")
+        ),
+    )
+    write_csv(documents, path)
+    message = F.col("review_comment_message")
+    return ingest_all_string(t.spark, path, raw_schema("order_reviews")).select(
+        "review_id",
+        "review_score",
+        "review_comment_title",
+        F.md5(message).alias("mensagem_md5"),
+        F.length(message).alias("mensagem_tamanho"),
+    )
+
+
+def bronze_reconciliation(t: Tables) -> DataFrame:
+    """Land, check, log, load and count all nine tables; then compare the counts."""
+    landing = land(t)
+    log = f"{landing}-log"
+    append_arrival_log(arrival_check(t.spark, landing, manifest()), log)
+    counts = [
+        (
+            name,
+            write_table(
+                ingest_all_string(t.spark, f"{landing}/{file}", raw_schema(name)),
+                f"{landing}-bronze/{name}",
+            ),
+        )
+        for name, file in manifest().items()
+    ]
+    counted = t.spark.createDataFrame(counts, "tabela string, linhas_bronze long")
+    return reconcile_counts(t.spark.read.parquet(log), counted)
+
+
 QUERIES: dict[str, Query] = {
+    # landing and bronze
+    "arrival_check": query(arrivals),
+    "bronze_ingest": query(bronze_texts),
+    "bronze_reconciliation": query(bronze_reconciliation),
     # silver
     "clean_customers": query(lambda t: t.silver("clientes")),
     "clean_orders": query(lambda t: t.silver("pedidos")),
