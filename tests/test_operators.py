@@ -130,6 +130,12 @@ def test_spread_join_equals_plain_join(spark, skewed, how):
     assert want.exceptAll(got).count() == 0
 
 
+def test_spread_join_of_a_known_small_side_is_plain(spark, skewed):
+    other = spark.range(10).select(F.col("id").cast("int").alias("k"))
+    plan = spread_join(skewed, other, "k", big_rows=9050)._jdf.queryExecution().toString()
+    assert "_part" not in plan
+
+
 def test_spread_join_splits_the_hot_key(spark, skewed):
     assert [(r["k"], r["_parts"]) for r in hot_keys(skewed, "k", 100).collect()] == [(7, 30)]
     other = spark.range(1500).select(F.col("id").cast("int").alias("k"), F.col("id").alias("w"))

@@ -25,16 +25,28 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def spread_join(
-    big: DataFrame, other: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+    big: DataFrame,
+    other: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    big_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` in which each hot key of ``big`` is split over several tasks.
 
+    A caller who knows the size of ``big`` (say, from when it was written) may pass ``big_rows``:
+    up to ``hot_rows`` rows no key can be hot, and a plain join does.
+
     Rows of ``big`` take the part given by their input task, which is the same after a retry and
     spreads exact copies too; ``other`` repeats only its hot rows, once per part. Every row still
     meets every partner once. Only ``inner`` and ``left`` keep that promise.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join supports inner and left, not {how!r}")
+    # Size estimates of a narrow scan can make the big side look fit for broadcast; it is not,
+    # hence the merge hints.
+    if big_rows is not None and big_rows <= hot_rows:
+        return big.join(other.hint("merge"), key, how)
     hot = F.broadcast(hot_keys(big, key, hot_rows))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     task = F.spark_partition_id()
@@ -49,4 +61,4 @@ def spread_join(
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
-    return left.join(right, [key, "_part"], how).drop("_part")
+    return left.join(right.hint("merge"), [key, "_part"], how).drop("_part")

@@ -95,11 +95,13 @@ def sales_fact(
     payments: DataFrame,
     reviews: DataFrame,
     hot_rows: int = HOT_ROWS,
+    item_rows: int | None = None,
 ) -> DataFrame:
     """One row per order item; payment and review values are the order's, repeated per item.
 
     Everything of order grain is joined first, so the items, the biggest table, are shuffled once;
-    an order holding more than ``hot_rows`` items is split over several tasks.
+    an order holding more than ``hot_rows`` items is split over several tasks. ``item_rows``, the
+    number of items if known, saves the search for such orders when there are too few items.
     """
     order_level = (
         orders.join(
@@ -126,7 +128,10 @@ def sales_fact(
     lines = items.select(
         "order_id", "item_id", "product_id", "seller_id", "preco", "frete", "valor_item"
     )
-    return spread_join(lines, order_level, "order_id", hot_rows=hot_rows).select(
+    sales = spread_join(
+        lines, order_level, "order_id", hot_rows=hot_rows, big_rows=item_rows
+    )
+    return sales.select(
         F.col("order_id").alias("pedido_id"),
         "item_id",
         "customer_id",

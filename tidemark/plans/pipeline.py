@@ -33,6 +33,7 @@ class Run:
         self.root = root.rstrip("/")
         self.run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         self.log_path = f"{self.root}/bronze/_raw_arquivos"
+        self.rows: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/runs/{self.run_id}/{name.replace('.', '/')}"
@@ -43,7 +44,8 @@ class Run:
     def write(self, name: str, df: DataFrame) -> int:
         rules = gate.CONSTRAINTS.get(name.split(".")[1], ())
         commented = with_comments(df, descriptions.COLUMNS.get(name, {}))
-        return write_table(commented, self.path(name), rules)
+        self.rows[name] = write_table(commented, self.path(name), rules)
+        return self.rows[name]
 
     def bronze(self, landing: str, expected: dict[str, str]) -> None:
         """Check arrival, load every file as text and prove the counts."""
@@ -83,6 +85,7 @@ class Run:
                     s["clientes"],
                     s["pagamentos"],
                     s["avaliacoes"],
+                    item_rows=self.rows.get("silver.itens_pedido"),
                 )
             ),
             "dim_cliente": lambda: gold.person_dimension(

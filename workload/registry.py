@@ -69,12 +69,14 @@ class Tables:
         return gold.geography_dimension(self.silver("geolocalizacao"))
 
     def fact(self) -> DataFrame:
+        lines = table(self.spark, self.sf_dir, "lineitem").count()  # from the file footers
         return gold.sales_fact(
             self.silver("itens_pedido"),
             self.silver("pedidos"),
             self.silver("clientes"),
             self.silver("pagamentos"),
             self.silver("avaliacoes"),
+            item_rows=lines,
         )
 
     def categories(self) -> DataFrame:
