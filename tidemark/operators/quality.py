@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# The texts of the gate.
+ALL_PASSED = ("TODOS OS ", " TESTES PASSARAM")
+FAILED = "teste(s) falharam: "
+
+
 class QualityGateError(Exception):
     """At least one data test failed."""
 
@@ -128,10 +133,10 @@ def gate_result(report: DataFrame) -> DataFrame:
     return summary.select(
         F.when(
             F.size("falhas") == 0,
-            F.concat(F.lit("TODOS OS "), F.col("total"), F.lit(" TESTES PASSARAM")),
+            F.concat(F.lit(ALL_PASSED[0]), F.col("total"), F.lit(ALL_PASSED[1])),
         )
         .otherwise(
-            F.raise_error(F.concat(F.lit("teste(s) falharam: "), F.array_join("falhas", ", ")))
+            F.raise_error(F.concat(F.lit(FAILED), F.array_join("falhas", ", ")))
         )
         .alias("resultado_final")
     )
@@ -141,4 +146,4 @@ def quality_gate(report: DataFrame) -> None:
     """Raise when any test of the (already computed) report failed."""
     failed = sorted(row["teste"] for row in report.filter(~F.col("passou")).collect())
     if failed:
-        raise QualityGateError("teste(s) falharam: " + ", ".join(failed))
+        raise QualityGateError(FAILED + ", ".join(failed))

@@ -18,7 +18,7 @@ from tidemark.operators.quality import (
 
 ZIP = Expectation("cep_prefixo_5_digitos", "length(cep_prefixo) = 5")
 
-# Constraints per table, by the names the tables carry them under.
+# The constraint names and conditions of each table.
 CONSTRAINTS: dict[str, tuple[Expectation, ...]] = {
     "clientes": (ZIP, Expectation("uf_2_letras", "length(uf) = 2")),
     "pedidos": (Expectation("data_compra_nao_nula", "data_compra IS NOT NULL"),),
@@ -31,7 +31,7 @@ CONSTRAINTS: dict[str, tuple[Expectation, ...]] = {
     ),
 }
 
-# Accepted size of the fact for the original data set; other data pass their own bounds.
+# Accepted size of the fact for the original data set; other data pass their own.
 FACT_VOLUME = (100_000, 120_000)
 
 
@@ -64,6 +64,7 @@ def gate_report(
             "n", "sem_cliente"
         ),
     )
+    # The test names are fixed values.
     checks = [
         same_amount("receita_gold_igual_silver", col("fato"), col("itens")),
         no_rows("sem_item_orfao_de_pedido", col("sem_pedido")),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import mean_rounded, per_unit
 from tidemark.plans.marts import REVENUE, person_totals, sold
 
+# Fixed value: the name of a missing payment method.
 UNKNOWN_METHOD = "nao_informado"
 
 

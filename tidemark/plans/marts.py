@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import per_unit
 
+# Fixed value: the name the mart gives to products without a category.
 UNCATEGORISED = "sem_categoria"
 REVENUE = "decimal(29,2)"
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+# Raw column names (spelling as in the files).
 RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     "customers": (
         "customer_id",

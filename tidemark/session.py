@@ -28,10 +28,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, notebooks) a local temporary folder is set instead.
+    Where the session names none, a local session (tests, notebooks) gets a temporary folder; on a
+    cluster that would be one machine's disk, so it is an error there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"

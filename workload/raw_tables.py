@@ -1,7 +1,7 @@
 """The nine all-string raw tables, derived from the provided tables (all rows, no sampling).
 
 Values are made untidy on purpose (spaces, case, signs in codes, unreadable dates and numbers), so
-that the cleaning rules have something to do. ``workload/oracles.py`` states the same in SQL.
+that the cleaning rules have something to do. ``workload/oracles.py`` states the same for DuckDB.
 """
 
 from __future__ import annotations
@@ -9,12 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tidemark.functions.parsing import MONEY
-
-STAMP = "yyyy-MM-dd HH:mm:ss"
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=64)
@@ -22,156 +17,133 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
-
+def stamp(time: str) -> str:
+    return f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')"
 
-def stamp(column: str | Column) -> Column:
-    return F.date_format(column, STAMP)
 
-
-def days_after(column: str, days: Column, hours: int = 0) -> Column:
-    return F.col(column) + F.make_dt_interval(days.cast("int"), F.lit(hours))
+def later(time: str, days: str, hours: int = 0) -> str:
+    return stamp(f"{time} + make_dt_interval(cast({days} AS int), {hours})")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, as the real customer file has it."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    people = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment"
-    )
-    zip_number = F.col("c_nationkey") * 37 + F.col("o_orderkey") % 7
-    return orders.join(people, "o_custkey").select(
-        text("o_orderkey").alias("customer_id"),
-        text("o_custkey").alias("customer_unique_id"),
-        F.concat(F.lit(" "), zip_number.cast("string"), F.lit("-x ")).alias(
-            "customer_zip_code_prefix"
-        ),
-        F.concat(F.lit("  "), "o_orderpriority", F.lit(" "), "c_mktsegment").alias("customer_city"),
-        F.concat(F.lit(" "), F.lower(F.substring("c_mktsegment", 1, 2)), F.lit(" ")).alias(
-            "customer_state"
-        ),
+    people = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    return (
+        table(spark, sf_dir, "orders")
+        .join(people, "o_custkey")
+        .selectExpr(
+            "cast(o_orderkey AS string) AS customer_id",
+            "cast(o_custkey AS string) AS customer_unique_id",
+            "' ' || (c_nationkey * 37 + o_orderkey % 7) || '-x ' AS customer_zip_code_prefix",
+            "'  ' || o_orderpriority || ' ' || c_mktsegment AS customer_city",
+            "' ' || lower(left(c_mktsegment, 2)) || ' ' AS customer_state",
+        )
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    delivered = (
-        F.when(status != "F", F.lit(None).cast("string"))
-        .when(key % 97 == 0, F.lit("unknown"))
-        .otherwise(stamp(days_after("o_orderdate", key % 23, 5)))
-    )
-    return table(spark, sf_dir, "orders").select(
-        text(key).alias("order_id"),
-        text(key).alias("customer_id"),
-        F.when(status == "P", F.lit("canceled"))
-        .when(status == "F", F.lit("delivered"))
-        .otherwise(F.lit("shipped"))
-        .alias("order_status"),
-        stamp("o_orderdate").alias("order_purchase_timestamp"),
-        stamp(days_after("o_orderdate", F.lit(0), 1)).alias("order_approved_at"),
-        F.when(key % 5 == 0, F.lit("")).otherwise(stamp(days_after("o_orderdate", key % 3, 2))).alias(
-            "order_delivered_carrier_date"
-        ),
-        delivered.alias("order_delivered_customer_date"),
-        stamp(days_after("o_orderdate", 10 + key % 5)).alias("order_estimated_delivery_date"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey AS string) AS order_id",
+        "cast(o_orderkey AS string) AS customer_id",
+        """CASE o_orderstatus WHEN 'P' THEN 'canceled' WHEN 'F' THEN 'delivered'
+           ELSE 'shipped' END AS order_status""",
+        f"{stamp('o_orderdate')} AS order_purchase_timestamp",
+        f"{later('o_orderdate', '0', 1)} AS order_approved_at",
+        f"""CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE {later("o_orderdate", "o_orderkey % 3", 2)}
+            END AS order_delivered_carrier_date""",
+        f"""CASE WHEN o_orderstatus <> 'F' THEN NULL WHEN o_orderkey % 97 = 0 THEN 'unknown'
+            ELSE {later("o_orderdate", "o_orderkey % 23", 5)} END AS order_delivered_customer_date""",
+        f"{later('o_orderdate', '10 + o_orderkey % 5')} AS order_estimated_delivery_date",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    freight = (price * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
-    return table(spark, sf_dir, "lineitem").select(
-        text("l_orderkey").alias("order_id"),
-        text("l_linenumber").alias("order_item_id"),
-        text("l_partkey").alias("product_id"),
-        text("l_suppkey").alias("seller_id"),
-        stamp("l_shipdate").alias("shipping_limit_date"),
-        text(price).alias("price"),
-        text(freight).alias("freight_value"),
+    price = "cast(l_extendedprice AS decimal(18,2))"
+    freight = f"cast({price} * cast(l_tax AS decimal(4,2)) AS decimal(18,2))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey AS string) AS order_id",
+        "cast(l_linenumber AS string) AS order_item_id",
+        "cast(l_partkey AS string) AS product_id",
+        "cast(l_suppkey AS string) AS seller_id",
+        f"{stamp('l_shipdate')} AS shipping_limit_date",
+        f"cast({price} AS string) AS price",
+        f"cast({freight} AS string) AS freight_value",
     )
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line item; every eleventh quantity lacks a readable sequence."""
-    sequence = F.when(F.col("l_quantity").cast("int") % 11 == 0, F.lit("n/a"))
-    return table(spark, sf_dir, "lineitem").select(
-        text("l_orderkey").alias("order_id"),
-        sequence.otherwise(text("l_linenumber")).alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        text(F.col("l_quantity").cast("int")).alias("payment_installments"),
-        text(F.col("l_extendedprice").cast(MONEY)).alias("payment_value"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey AS string) AS order_id",
+        """CASE WHEN cast(l_quantity AS int) % 11 = 0 THEN 'n/a'
+           ELSE cast(l_linenumber AS string) END AS payment_sequential""",
+        "l_returnflag AS payment_type",
+        "cast(cast(l_quantity AS int) AS string) AS payment_installments",
+        "cast(cast(l_extendedprice AS decimal(18,2)) AS string) AS payment_value",
     )
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as reviews: the same user and event type repeat one review id."""
-    return table(spark, sf_dir, "events").select(
-        F.concat(text("user_id"), F.lit("-"), "event_type").alias("review_id"),
-        text("event_id").alias("order_id"),
-        text(F.col("event_id") % 5 + 1).alias("review_score"),
-        F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
-        stamp(F.date_trunc("day", "ts")).alias("review_creation_date"),
-        F.when(F.col("event_id") % 13 == 0, F.lit("")).otherwise(stamp("ts")).alias(
-            "review_answer_timestamp"
-        ),
+    day = stamp("date_trunc('day', ts)")
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id || '-' || event_type AS review_id",
+        "cast(event_id AS string) AS order_id",
+        "cast(event_id % 5 + 1 AS string) AS review_score",
+        "event_type AS review_comment_title",
+        "props AS review_comment_message",
+        f"{day} AS review_creation_date",
+        f"CASE WHEN event_id % 13 = 0 THEN '' ELSE {stamp('ts')} END AS review_answer_timestamp",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        text("p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 31 != 0, F.col("p_type")).alias("product_category_name"),
-        text(F.length("p_name")).alias("product_name_lenght"),
-        text(F.length("p_name") * 10).alias("product_description_lenght"),
-        F.when(size % 10 == 0, F.lit("many")).otherwise(text(size % 6)).alias("product_photos_qty"),
-        text(size * 100).alias("product_weight_g"),
-        F.concat(F.lit(" "), text(size), F.lit(" ")).alias("product_length_cm"),
-        F.when(size % 7 == 0, F.lit("")).otherwise(text(size + 1)).alias("product_height_cm"),
-        text(size + 2).alias("product_width_cm"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "cast(p_partkey AS string) AS product_id",
+        "CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS product_category_name",
+        "cast(length(p_name) AS string) AS product_name_lenght",
+        "cast(length(p_name) * 10 AS string) AS product_description_lenght",
+        """CASE WHEN p_size % 10 = 0 THEN 'many' ELSE cast(p_size % 6 AS string) END
+           AS product_photos_qty""",
+        "cast(p_size * 100 AS string) AS product_weight_g",
+        "' ' || p_size || ' ' AS product_length_cm",
+        """CASE WHEN p_size % 7 = 0 THEN '' ELSE cast(p_size + 1 AS string) END
+           AS product_height_cm""",
+        "cast(p_size + 2 AS string) AS product_width_cm",
     )
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), "n_name"
-    )
+    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     return (
         table(spark, sf_dir, "supplier")
         .join(nations, "s_nationkey")
-        .select(
-            text("s_suppkey").alias("seller_id"),
-            F.concat(text("s_nationkey"), F.lit("."), text("s_suppkey")).alias(
-                "seller_zip_code_prefix"
-            ),
-            F.concat(F.lit(" "), "n_name", F.lit(" branch ")).alias("seller_city"),
-            F.lower(F.substring("n_name", 1, 2)).alias("seller_state"),
+        .selectExpr(
+            "cast(s_suppkey AS string) AS seller_id",
+            "s_nationkey || '.' || s_suppkey AS seller_zip_code_prefix",
+            "' ' || n_name || ' branch ' AS seller_city",
+            "lower(left(n_name, 2)) AS seller_state",
         )
     )
 
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        F.concat(F.lit(" "), text(key % 400), F.lit(" ")).alias("geolocation_zip_code_prefix"),
-        F.when(key % 50 == 0, F.lit("n/a")).otherwise(text("c_acctbal")).alias("geolocation_lat"),
-        text(key % 180 - 90).alias("geolocation_lng"),
-        F.when(key % 3 != 0, F.concat(F.lower("c_mktsegment"), F.lit(" city"))).alias(
-            "geolocation_city"
-        ),
-        F.lower(F.substring("c_mktsegment", 1, 2)).alias("geolocation_state"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "' ' || (c_custkey % 400) || ' ' AS geolocation_zip_code_prefix",
+        """CASE WHEN c_custkey % 50 = 0 THEN 'n/a' ELSE cast(c_acctbal AS string) END
+           AS geolocation_lat""",
+        "cast(c_custkey % 180 - 90 AS string) AS geolocation_lng",
+        "CASE WHEN c_custkey % 3 <> 0 THEN lower(c_mktsegment) || ' city' END AS geolocation_city",
+        "lower(left(c_mktsegment, 2)) AS geolocation_state",
     )
 
 
 def product_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for the part types of even length; the others stay untranslated."""
     kinds = table(spark, sf_dir, "part").select("p_type").distinct()
-    return kinds.filter(F.length("p_type") % 2 == 0).select(
-        F.col("p_type").alias("product_category_name"),
-        F.concat(F.lower("p_type"), F.lit("_en")).alias("product_category_name_english"),
+    return kinds.filter("length(p_type) % 2 = 0").selectExpr(
+        "p_type AS product_category_name",
+        "lower(p_type) || '_en' AS product_category_name_english",
     )
 
 
