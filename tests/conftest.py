@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
-        .config("spark.checkpoint.dir", str(home / "shared"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -22,6 +22,7 @@ from tidemark.sources.landing import (
     append_arrival_log,
     arrival_check,
     read_modes,
+    split_size,
 )
 
 
@@ -134,6 +135,18 @@ def tiny_splits(spark):
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize(
+    "text, size",
+    [("64b", 64), ("1000", 1000), ("2k", 2048), ("128MB", 128 << 20), ("1g", 1 << 30)],
+)
+def test_split_size(spark, text, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", text)
+    try:
+        assert split_size(spark) == size
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def content(df):
     return sorted(map(tuple, df.drop("_ingerido_em").collect()), key=repr)
 

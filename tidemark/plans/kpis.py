@@ -14,10 +14,13 @@ from tidemark.plans.marts import REVENUE, person_totals, sold
 UNKNOWN_METHOD = "nao_informado"
 
 
-def kpi_snapshot(fact: DataFrame) -> DataFrame:
-    """One row of headline numbers for orders that were not cancelled."""
+def kpi_snapshot(fact: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """One row of headline numbers for orders that were not cancelled.
+
+    ``totals`` may bring the stored ``person_totals`` of the fact.
+    """
     orders, revenue = F.sum("pedidos"), F.sum("receita").cast(REVENUE)
-    return person_totals(fact).agg(
+    return (person_totals(fact) if totals is None else totals).agg(
         F.coalesce(orders, F.lit(0)).alias("total_pedidos"),
         F.count("cliente_id").alias("total_clientes"),
         revenue.alias("gmv"),

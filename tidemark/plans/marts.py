@@ -95,11 +95,16 @@ def person_totals(fact: DataFrame) -> DataFrame:
     )
 
 
-def geography_sales(fact: DataFrame, persons: DataFrame) -> DataFrame:
-    """By the state of the person's latest address (not the address of each order)."""
+def geography_sales(
+    fact: DataFrame, persons: DataFrame, totals: DataFrame | None = None
+) -> DataFrame:
+    """By the state of the person's latest address (not the address of each order).
+
+    ``totals`` may bring the stored ``person_totals`` of the fact.
+    """
     home = persons.select(F.col("customer_unique_id").alias("cliente_id"), "uf")
     return (
-        person_totals(fact)
+        (person_totals(fact) if totals is None else totals)
         .join(home, "cliente_id")
         .groupBy("uf")
         .agg(

@@ -99,6 +99,9 @@ class Run:
         side_by_side(lambda name: self.write(f"gold.{name}", build[name]()), build)
 
         fact = self.read("gold.fato_vendas")
+        # shared by two reports, and far smaller than the fact; not published
+        self.write("gold.pessoa_totais", marts.person_totals(fact))
+        totals = self.read("gold.pessoa_totais")
         reports = {
             "mart_vendas_mensal": lambda: marts.monthly_sales(fact),
             "mart_categoria_performance": lambda: marts.category_performance(
@@ -107,8 +110,10 @@ class Run:
             "mart_vendedor_performance": lambda: marts.seller_performance(
                 fact, self.read("gold.dim_vendedor")
             ),
-            "mart_geografia": lambda: marts.geography_sales(fact, self.read("gold.dim_cliente")),
-            "vw_metricas_gerais": lambda: kpis.kpi_snapshot(fact),
+            "mart_geografia": lambda: marts.geography_sales(
+                fact, self.read("gold.dim_cliente"), totals
+            ),
+            "vw_metricas_gerais": lambda: kpis.kpi_snapshot(fact, totals),
             "vw_taxa_cancelamento": lambda: kpis.cancellation_rate(fact),
             "vw_metodo_pagamento": lambda: kpis.payment_mix(fact, kpis.PER_ITEM_VALUE),
             "vw_metodo_pagamento_por_pedido": lambda: kpis.payment_mix(fact),

@@ -83,13 +83,21 @@ def arrival_check(
     return spark.createDataFrame(rows, ARRIVAL_LOG)
 
 
+def split_size(spark: SparkSession) -> int:
+    """Bytes of one input split, from a setting such as ``134217728b``, ``128m`` or ``128MB``."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    digits = text.rstrip("bkmgt")
+    unit = text[len(digits) :].rstrip("b")
+    return int(digits) * 1024 ** " kmgt".index(unit or " ")
+
+
 def read_modes(spark: SparkSession, base: str, names: list[str]) -> dict[str, str]:
     """How to read each drop that is there.
 
     A drop whose files each fit one input split is read whole: that is one task per file either
     way. A bigger one is looked at, to see whether records span lines.
     """
-    limit = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    limit = split_size(spark)
     base = base.rstrip("/")
 
     def mode(name: str, largest: int) -> str:
