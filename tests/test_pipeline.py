@@ -36,6 +36,8 @@ def test_names_resolve(spark, run):
     text = {c.name: c.description for c in spark.catalog.listColumns("gold.fato_vendas")}
     assert "do not sum" in text["valor_pago"]
     assert "Sales" in spark.catalog.getTable("gold.fato_vendas").description
+    assert "orders.csv" in spark.catalog.getTable("bronze.orders").description
+    assert spark.table("bronze._raw_arquivos").count() == 9
 
 
 def test_audit_counts_the_source(spark, run):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+BRONZE = "Raw copy of {file}: every column as text, nothing cleaned."
+LOG = "Arrival log: size and record count of every landed file, per run."
+
 TABLES: dict[str, str] = {
     "silver.clientes": "Customers, one row per order-level customer_id (not per person).",
     "silver.pedidos": "Orders with life-cycle dates and derived flags, one row per order.",

@@ -34,6 +34,7 @@ class Run:
         self.run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         self.log_path = f"{self.root}/bronze/_raw_arquivos"
         self.rows: dict[str, int] = {}
+        self.comments = dict(descriptions.TABLES)
 
     def path(self, name: str) -> str:
         return f"{self.root}/runs/{self.run_id}/{name.replace('.', '/')}"
@@ -50,6 +51,8 @@ class Run:
     def bronze(self, landing: str, expected: dict[str, str]) -> None:
         """Check arrival, load every file as text and prove the counts."""
         landing = landing.rstrip("/")
+        for table, name in expected.items():
+            self.comments[f"bronze.{table}"] = descriptions.BRONZE.format(file=name)
         modes = read_modes(self.spark, landing, list(expected.values()))
         append_arrival_log(
             arrival_check(self.spark, landing, expected, modes=modes), self.log_path
@@ -154,9 +157,9 @@ class Run:
 
     def publish(self) -> None:
         """Point every table name to this run's files."""
-        names = [f"bronze.{table}" for table in manifest()] + list(descriptions.TABLES)
-        for name in names:
-            register(self.spark, name, self.path(name), descriptions.TABLES.get(name, ""))
+        for name, comment in self.comments.items():
+            register(self.spark, name, self.path(name), comment)
+        register(self.spark, "bronze._raw_arquivos", self.log_path, descriptions.LOG)
 
 
 def refresh(

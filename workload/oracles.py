@@ -454,6 +454,9 @@ STATEMENTS: dict[str, str] = {
         f"(SELECT count(*) FROM {cte} WHERE NOT coalesce({condition}, false)) AS violacoes"
         for name, cte, rule, condition in CONSTRAINTS
     ),
+    "enforce_by_dropping": """
+        SELECT order_id, status FROM pedidos
+        WHERE NOT (entregue AND data_entrega_cliente IS NULL)""",
     "unique_keys": " UNION ALL ".join(
         "("
         + none(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions import zip_digits
 from tidemark.operators import quality
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.expectations import unparseable, violations
+from tidemark.operators.expectations import Expectation, enforce, unparseable, violations
 from tidemark.plans import gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import shared_folder, tune
@@ -159,6 +159,12 @@ def constraint_violations(t: Tables) -> DataFrame:
     return result
 
 
+def dated_deliveries(t: Tables) -> DataFrame:
+    """Orders without those that claim delivery but carry no date."""
+    rule = Expectation("entrega_datada", "NOT entregue OR data_entrega_cliente IS NOT NULL")
+    return enforce(t.silver("pedidos"), [rule], "drop").select("order_id", "status")
+
+
 def short_zips(t: Tables) -> DataFrame:
     """How many digits the raw codes had before padding, which always yields five."""
     raw = t.raw["geolocation"]
@@ -351,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": query(lambda t: t.report()),
     "quality_gate": query(lambda t: quality.gate_result(t.report(ANY_VOLUME))),
     "constraint_violations": query(constraint_violations),
+    "enforce_by_dropping": query(dated_deliveries),
     "unique_keys": query(key_report),
     "zip_digits_before_padding": query(short_zips),
     "unreadable_numbers": query(unreadable_photos),
