@@ -157,8 +157,7 @@ class Scanner:
         )
 
 
-@F.pandas_udf(RESULT)
-def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def scan_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     scanner = Scanner()
     for texts in batches:
         rows = [scanner.scan(t) for t in texts]
@@ -171,4 +170,4 @@ def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id and, per document, base places, labels, score and the spans of all matches."""
-    return docs.select("doc_id", scanned("text").alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", F.pandas_udf(scan_batches, RESULT)("text").alias("s")).select("doc_id", "s.*")

@@ -177,14 +177,13 @@ def main_text(page: str | None) -> str:
     return "\n\n".join(lines[k][0] for _, a, b in kept for k in range(a, b))
 
 
-@F.pandas_udf("string")
-def extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def extract_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for pages in batches:
         yield pd.Series([main_text(p if isinstance(p, str) else None) for p in pages], dtype=object)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    return pages.select("page_id", "url", extracted("html").alias("text")).select(
+    return pages.select("page_id", "url", F.pandas_udf(extract_batches, "string")("html").alias("text")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
     )
