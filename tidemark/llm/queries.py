@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontamination,
+    jaccard_tiles,
     kd_sharding,
     license_scan,
     line_blocks,
@@ -54,6 +55,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(*(table(spark, sf_dir, t) for t in ("documents", "benchmark")))
 
 
+def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tiles.component_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
         op6_toxicity_crf,
         op7_line_blocks,
         op9_decontamination,
+        op10_jaccard_tiles,
     )
 }
 
