@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +36,14 @@ def word_count(text: str) -> Column:
 def text_key(text: str = "text") -> Column:
     """16 bytes that stand for the text; null stands for itself."""
     return F.unhex(F.md5(F.col(text)))
+
+
+def per_process(name: str, make: Callable[[], Any]) -> Any:
+    """One object for a worker process, made when first asked for and kept between its tasks.
+
+    Functions travel by value, so their own modules' variables begin anew with every task.
+    """
+    kept = sys.modules.setdefault("_tidemark_kept", ModuleType("_tidemark_kept"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)

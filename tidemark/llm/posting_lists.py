@@ -43,7 +43,7 @@ LIST_ROWS = 200
 MOST_LISTS = 4_096
 COPIES = 3
 BORDER = 1.08
-RECALL = 0.96
+RECALL = 0.98
 DEGREE = 16
 PART_ROWS = 12_000
 QUERY_ROWS = 4_000

@@ -26,6 +26,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import per_process
 from tidemark.session import shared_folder
 
 END_ID = 2
@@ -41,7 +43,8 @@ SAMPLE = 512
 FOOTER = "<8sQQQIIQ"  # magic, docs, ids, bytes of highs, id width, low bits, bytes of lows
 MAGIC = b"EFTOKEN1"
 BUFFER = 8 << 20
-CACHED = 400_000
+#: Entries kept by an encoder: stretches between white space, and words.
+STRETCHES, WORDS = 500_000, 700_000
 META = "shard int, path string, docs long, ids long"
 
 
@@ -99,7 +102,7 @@ class WordEncoder(dict):
     """
 
     plain = re.compile(r"[!-~\xa1-įı-ɏ]+")
-    parts = None  # compiled in the task
+    marks = frozenset(bytes([b]) for b in b",.;:!?)")
 
     def __init__(self, file: str, end_id: int):
         super().__init__()
@@ -110,6 +113,7 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.pack = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         self.words: dict[str, bytes] = {}
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         # byte-level alphabets show printable bytes as themselves and the others from U+0100 on
@@ -124,33 +128,41 @@ class WordEncoder(dict):
         return self.parts.pattern in kind and "Lowercase" in kind and "NFC" in kind and "ByteLevel" in kind
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.pack).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, stretch: bytes) -> bytes:
-        text = stretch.decode("utf-8", "replace")
-        if self.splits and "<|" not in text and self.plain.fullmatch(text):
-            packed = b"".join([self.words.get(w) or self.word(w) for w in self.parts.findall(text.lower())])
+        """``stretch`` has no A-Z. Letters, with or without one mark behind, are the usual case."""
+        if stretch.isalpha():
+            packed = self.word(stretch.decode("ascii"))
+        elif stretch[:-1].isalpha() and stretch[-1:] in self.marks:
+            packed = self.word(stretch[:-1].decode("ascii")) + self.word(stretch[-1:].decode("ascii"))
         else:
-            packed = self.whole(text)
+            text = stretch.decode("utf-8", "replace")
+            if self.plain.fullmatch(text):
+                packed = b"".join(map(self.word, self.parts.findall(text.lower())))
+            else:
+                packed = self.whole(text)
         self[stretch] = packed
         return packed
 
     def word(self, word: str) -> bytes:
-        if len(self.words) > CACHED:
-            self.words.clear()
-        text = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
-        packed = np.array([t.id for t in self.model.tokenize(text)], self.pack).tobytes()
-        self.words[word] = packed
+        packed = self.words.get(word)
+        if packed is None:
+            text = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+            packed = self.words[word] = array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
         return packed
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.splits:
+        if not self.splits or "<|" in text:  # what looks like a special token takes the whole way
             return self.whole(text)
-        if len(self) > CACHED:
+        if len(self) > STRETCHES:
             self.clear()
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))
+        if len(self.words) > WORDS:
+            self.words.clear()
+        stretches = text.encode("utf-8", "surrogatepass").lower().split()
+        return b"".join(map(self.__getitem__, stretches))
 
 
 def _files(uri: str):
@@ -171,7 +183,7 @@ def shard_writer(folder: str, tokenizer_file: str, end_id: int) -> Callable:
     """One shard per task; gives its meta row."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(tokenizer_file, end_id)
+        encoder = per_process(f"encoder {tokenizer_file} {end_id}", lambda: WordEncoder(tokenizer_file, end_id))
         tail = np.array([end_id], encoder.pack).tobytes()
         files, base = _files(folder)
         shard = TaskContext.get().partitionId()
