@@ -13,6 +13,8 @@ from tidemark.llm import (
     license_scan,
     line_blocks,
     mixing,
+    phrase_automata,
+    posting_lists,
     token_store,
     toxicity_crf,
 )
@@ -28,6 +30,10 @@ def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_sharding.shard_table(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op2_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -51,6 +57,10 @@ def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(*(table(spark, sf_dir, t) for t in ("documents", "benchmark")))
 
@@ -63,11 +73,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_kd_sharding,
+        op2_phrase_automata,
         op3_license_scan,
         op4_token_store,
         op5_source_mixing,
         op6_toxicity_crf,
         op7_line_blocks,
+        op8_posting_lists,
         op9_decontamination,
         op10_jaccard_tiles,
     )
