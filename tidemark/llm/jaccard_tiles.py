@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored
+from tidemark.llm.common import WORD, stored, text_key
 from tidemark.llm.components import components
 
 WORDS = 3
@@ -136,7 +136,7 @@ def may_link(a: int, a_bits: bytes, b: int, b_bits: bytes, percent: int = PERCEN
     return bound >= needed(a, b, percent)
 
 
-SETS = "doc_id long, mark binary, n long, vid long, proof long, bits binary, sigs array<long>"
+SETS = "doc_id string, mark binary, n long, vid long, proof long, bits binary, sigs array<long>"
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,15 +161,17 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen.add(vid)
                     rows.append((len(members), vid, proof, bitmap(members), signatures(members, bands).view(np.int64)))
             out = pd.DataFrame(rows, columns=["n", "vid", "proof", "bits", "sigs"], dtype=object)
-            out.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy(object, na_value=None))
+            out.insert(0, "doc_id", part["doc_id"].to_numpy())
             out.insert(1, "mark", part["mark"].to_numpy())
             yield out
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
     """doc_id, mark (of the text), n, and the class; stored."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("mark"), "text")
-    return stored(rows.mapInPandas(_sets, SETS), "sets")
+    # as strings, ids with nulls among them stay whole in pandas
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key().alias("mark"), "text")
+    sets = rows.mapInPandas(_sets, SETS)
+    return stored(sets.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
 
 
 def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,7 +191,7 @@ class _Pairs:
         one = one.select("vid", F.col("d.doc_id").alias("id"), F.col("d.mark").alias("m"))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         texts = rows.join(
-            one, rows["doc_id"].eqNullSafe(one["id"]) & (F.unhex(F.md5("text")) == one["m"])
+            one, rows["doc_id"].eqNullSafe(one["id"]) & (text_key() == one["m"])
         ).select("vid", "text")
         arrays = texts.mapInPandas(_arrays, "vid long, members binary")
         # equal rows give one array several times
@@ -313,7 +315,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         rows, F.col("i").eqNullSafe(F.col("_jt_id")) & (F.col("m") == F.col("_jt_mark"))
     )
     chosen = stored(chosen.select("_jt_id", "_jt_mark", "_jt_rows"), "chosen")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_jt_id")) & (F.unhex(F.md5(docs["text"])) == F.col("_jt_mark"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_jt_id")) & (text_key() == F.col("_jt_mark"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     empty = docs.filter(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
     single = docs.join(chosen.filter("_jt_rows = 1"), same).select(*columns)

@@ -295,10 +295,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (what is left, words joined by one blank) of every document."""
     runs = repeated_runs(docs).withColumnRenamed("key", "of")
-    rows = docs.select("doc_id", text_key().alias("key"), F.pandas_udf(_packed, "binary")("text").alias("raw"))
+    raw = F.pandas_udf(_packed, "binary")("text").alias("raw")
+    # as strings, ids with nulls among them stay whole in pandas
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key().alias("key"), raw)
     joined = rows.join(runs, F.col("key") == F.col("of"), "left").select("doc_id", "raw", "runs")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInPandas(_cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    cut = joined.mapInPandas(_cut, "doc_id string, n_words long, n_removed long, kept string")
+    return cut.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -197,8 +197,8 @@ def shard_writer(folder: str, tokenizer_file: str, end_id: int) -> Callable:
                 packed = encoder.encode(text if isinstance(text, str) else None) + tail
                 total += len(packed) // encoder.width
                 ends.append(total)
-                nulls.append(pd.isna(doc_id))
-                ids.append(0 if nulls[-1] else int(doc_id))
+                nulls.append(doc_id is None)
+                ids.append(0 if doc_id is None else int(doc_id))
                 buffer.append(packed)
                 held += len(packed)
                 if held > BUFFER:
@@ -229,7 +229,9 @@ def write_tokens(
     order = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    meta = ranged.mapInPandas(shard_writer(folder, tokenizer_file, end_id), META).collect()
+    # as strings, ids with nulls among them stay whole in pandas
+    named = ranged.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    meta = named.mapInPandas(shard_writer(folder, tokenizer_file, end_id), META).collect()
     return sorted(tuple(r) for r in meta)
 
 
