@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import spread_join
 from tidemark.plans import gold, marts
 from tidemark.plans.silver import clean_products
 from workload.registry import Tables
@@ -26,6 +27,33 @@ def test_hot_order(tables):
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
 
+@pytest.mark.parametrize("layout", ["one task", "every second task"])
+def test_clustered_hot_key_is_spread(spark, layout):
+    """10,000 rows of one key in one input task, or in the tasks of one residue."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        hot = spark.range(10_000).selectExpr("'hot' AS k", "id AS v")
+        if layout == "one task":
+            big = hot.coalesce(1).unionByName(spark.range(0, 300, 1, 3).selectExpr("cast(id AS string) AS k", "id AS v"))
+        else:
+            rows = spark.range(0, 20_000, 1, 20)
+            big = rows.selectExpr("if(spark_partition_id() % 2 = 0, 'hot', cast(id AS string)) AS k", "id AS v")
+        other = big.select("k").distinct().withColumn("w", F.lit(1))
+        joined = spread_join(big, other, "k", hot_rows=1000)
+        assert joined.count() == big.count()
+        tasks = joined.filter("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) >= 7  # ten parts; a few may share a task
+        assert max(r["count"] for r in tasks) < 3_600
+        parts = big.filter("k = 'hot'").groupBy(
+            F.pmod(F.pmod(F.xxhash64("k", "v"), F.lit(1 << 30)).cast("int") + F.spark_partition_id(), F.lit(10)).alias("p")
+        ).count().collect()
+        assert max(r["count"] for r in parts) < 1_300
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_unused_sides_and_columns_are_not_read(tables):
     """Monthly sales read neither payments nor reviews, and push the cancelled filter down."""
     t, _ = tables

@@ -6,22 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows one task should take for a single key
-MAX_HOT_KEYS = 10_000  # bound on what is broadcast
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, _parts)`` for keys above ``hot_rows`` rows, at most the 10,000 heaviest.
+    """``(key, _parts)`` for every key above ``hot_rows`` rows; at most rows / hot_rows of them.
 
-    Counting combines map-side, so a hot key sends one row per map task. A key outside the 10,000
-    heaviest holds under 1/10,000 of all rows, so leaving it unsplit costs no single task much.
+    Counting combines map-side, so a hot key sends one row per map task.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc(), F.col(key))
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_parts"))
-    )
+    parts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
+    return counts.filter(F.col("_rows") > hot_rows).select(key, parts.alias("_parts"))
 
 
 def spread_join(
@@ -35,11 +29,13 @@ def spread_join(
     """Equi-join on ``key`` in which each hot key of ``big`` is split over several tasks.
 
     A caller who knows the size of ``big`` (say, from when it was written) may pass ``big_rows``:
-    up to ``hot_rows`` rows no key can be hot, and a plain join does.
+    up to ``hot_rows`` rows no key can be hot, and the search for hot keys is left out.
 
-    Rows of ``big`` take the part given by their input task, which is the same after a retry and
-    spreads exact copies too; ``other`` repeats only its hot rows, once per part. Every row still
-    meets every partner once. Only ``inner`` and ``left`` keep that promise.
+    The part of a row follows from its values and its input task, so it is the same after a retry;
+    rows of one key are spread even if one task read them all, and exact copies if several did.
+    ``other`` repeats only its hot rows, once per part. Every row still meets every partner once.
+    Only ``inner`` and ``left`` keep that promise. How the keys reach the rows is left to Spark,
+    which broadcasts them if they are few, as they mostly are.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join supports inner and left, not {how!r}")
@@ -47,14 +43,18 @@ def spread_join(
     # hence the merge hints.
     if big_rows is not None and big_rows <= hot_rows:
         return big.join(other.hint("merge"), key, how)
-    hot = F.broadcast(hot_keys(big, key, hot_rows))
+    hot = hot_keys(big, key, hot_rows)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    task = F.spark_partition_id()
+    scatter = F.pmod(F.xxhash64(*big.columns), F.lit(1 << 30)).cast("int") + F.spark_partition_id()
     left = (
-        big.join(hot, key, "left")
+        big.withColumn("_scatter", scatter)
+        .join(hot, key, "left")
         # a NULL key meets nobody, so a left join may scatter those rows freely
-        .withColumn("_part", F.when(F.col(key).isNull(), task).otherwise(F.pmod(task, parts)))
-        .drop("_parts")
+        .withColumn(
+            "_part",
+            F.when(F.col(key).isNull(), F.col("_scatter")).otherwise(F.pmod("_scatter", parts)),
+        )
+        .drop("_parts", "_scatter")
     )
     right = (
         other.join(hot, key, "left")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,16 +25,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder that every executor can reach; it goes when the session's JVM ends.
 
-    Where the session names none, a local session (tests, notebooks) gets a temporary folder; on a
-    cluster that would be one machine's disk, so it is an error there.
+    It lies below ``spark.checkpoint.dir`` or, where the session names none, below its warehouse,
+    which all executors write their tables to.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    folder = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

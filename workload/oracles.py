@@ -64,7 +64,7 @@ CTES: dict[str, str] = {
         FROM orders""",
     "r_products": """
         SELECT cast(p_partkey AS varchar) AS product_id,
-               CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS category,
+               CASE WHEN p_partkey % 31 <> 0 THEN p_type || ' ' || p_brand END AS category,
                cast(length(p_name) AS varchar) AS name_length,
                cast(length(p_name) * 10 AS varchar) AS text_length,
                CASE WHEN p_size % 10 = 0 THEN 'many' ELSE cast(p_size % 6 AS varchar) END AS photos,
@@ -74,7 +74,8 @@ CTES: dict[str, str] = {
                cast(p_size + 2 AS varchar) AS width
         FROM part""",
     "r_translation": """
-        SELECT DISTINCT p_type AS category, lower(p_type) || '_en' AS english
+        SELECT DISTINCT p_type || ' ' || p_brand AS category,
+               lower(p_type || ' ' || p_brand) || '_en' AS english
         FROM part WHERE length(p_type) % 2 = 0""",
     "r_geolocation": """
         SELECT ' ' || cast(c_custkey % 400 AS varchar) || ' ' AS zip,
@@ -411,6 +412,8 @@ STATEMENTS: dict[str, str] = {
               FROM pedidos)""",
     "sales_fact": f"""SELECT * REPLACE ({shown("data_compra")},
         {money("preco", "frete", "receita", "valor_pago")}) FROM fato""",
+    "sales_fact_hot_order": f"""SELECT * REPLACE ({shown("data_compra")},
+        {money("preco", "frete", "receita", "valor_pago")}) FROM fato""",
     "monthly_sales": f"""SELECT * REPLACE ({money("receita")}),
         {per_order("m_mensal.receita", "total_pedidos")} AS ticket_medio FROM m_mensal""",
     "category_performance": f"SELECT * REPLACE ({money('receita')}) FROM m_categoria",
@@ -439,7 +442,7 @@ STATEMENTS: dict[str, str] = {
         "pedido_id, receita, metodo_pagamento_principal, valor_pago"
     ),
     "top_categories": f"""SELECT * REPLACE ({money("receita")}) FROM m_categoria
-        ORDER BY m_categoria.receita DESC, categoria_en LIMIT 3""",
+        ORDER BY m_categoria.receita DESC, categoria_en LIMIT 10""",
     **CHECKS,
     "check_item_orphans": none(
         "item_sem_pedido",

@@ -100,7 +100,7 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey AS string) AS product_id",
-        "CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS product_category_name",
+        "CASE WHEN p_partkey % 31 <> 0 THEN p_type || ' ' || p_brand END AS product_category_name",
         "cast(length(p_name) AS string) AS product_name_lenght",
         "cast(length(p_name) * 10 AS string) AS product_description_lenght",
         """CASE WHEN p_size % 10 = 0 THEN 'many' ELSE cast(p_size % 6 AS string) END
@@ -139,11 +139,11 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names for the part types of even length; the others stay untranslated."""
-    kinds = table(spark, sf_dir, "part").select("p_type").distinct()
+    """Names for the categories of part types of even length; the others stay untranslated."""
+    kinds = table(spark, sf_dir, "part").select("p_type", "p_brand").distinct()
     return kinds.filter("length(p_type) % 2 = 0").selectExpr(
-        "p_type AS product_category_name",
-        "lower(p_type) || '_en' AS product_category_name_english",
+        "p_type || ' ' || p_brand AS product_category_name",
+        "lower(p_type || ' ' || p_brand) || '_en' AS product_category_name_english",
     )
 
 

@@ -22,6 +22,7 @@ from workload.raw_tables import RawTables, table
 
 AS_OF = "2002-01-01"  # fixed "today" so that results repeat
 ANY_VOLUME = (1, 10**15)
+HOT_ORDER_ROWS = 8  # small enough that many orders of the provided tables are split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,15 +69,14 @@ class Tables:
     def geography(self) -> DataFrame:
         return gold.geography_dimension(self.silver("geolocalizacao"))
 
-    def fact(self) -> DataFrame:
-        lines = table(self.spark, self.sf_dir, "lineitem").count()  # from the file footers
+    def fact(self, **options) -> DataFrame:
         return gold.sales_fact(
             self.silver("itens_pedido"),
             self.silver("pedidos"),
             self.silver("clientes"),
             self.silver("pagamentos"),
             self.silver("avaliacoes"),
-            item_rows=lines,
+            **options,
         )
 
     def stored_fact(self, *columns: str) -> DataFrame:
@@ -179,16 +179,14 @@ def unreadable_photos(t: Tables) -> DataFrame:
 
 
 def category_total(t: Tables) -> DataFrame:
-    fact = t.stored_fact("pedido_id", "produto_id", "cancelado", "receita", "nota_avaliacao")
+    fact = t.fact()
     return quality.reconcile_sum(
         "mart_categoria_soma_igual_fato", t.categories(fact), "receita", marts.sold(fact), "receita"
     )
 
 
 def monthly_total(t: Tables) -> DataFrame:
-    fact = t.stored_fact(
-        "pedido_id", "data_compra", "cancelado", "tempo_entrega_dias", "receita"
-    )
+    fact = t.fact()
     monthly = marts.monthly_sales(fact)
     return quality.reconcile_sum(
         "mart_vendas_mensal_soma_igual_fato", monthly, "receita", marts.sold(fact), "receita"
@@ -223,7 +221,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def land(t: Tables) -> str:
     """All nine raw tables as CSV drops in the shared folder."""
-    folder = shared_folder(t.spark)
+    folder = f"{shared_folder(t.spark)}/landing"
     for name, file in manifest().items():
         write_csv(t.raw[name], f"{folder}/{file}")
     return folder
@@ -299,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "geography_dimension": query(lambda t: rounded_point(t.geography())),
     "calendar_dimension": query(lambda t: gold.calendar_dimension(t.silver("pedidos"))),
     "sales_fact": query(lambda t: t.fact()),
+    "sales_fact_hot_order": query(lambda t: t.fact(hot_rows=HOT_ORDER_ROWS)),
     # marts
     "monthly_sales": query(lambda t: marts.monthly_sales(t.fact())),
     "category_performance": query(lambda t: t.categories()),
@@ -314,7 +313,7 @@ QUERIES: dict[str, Query] = {
     "payment_mix_per_item_value": query(
         lambda t: kpis.payment_mix(t.fact(), kpis.PER_ITEM_VALUE)
     ),
-    "top_categories": query(lambda t: kpis.top_categories(t.categories(), 3)),
+    "top_categories": query(lambda t: kpis.top_categories(t.categories())),
     # data tests
     "check_revenue_total": query(
         lambda t: quality.reconcile_sum(
