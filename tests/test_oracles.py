@@ -49,3 +49,23 @@ def test_matches_oracle(spark, duck, sf_dir, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+
+
+FOUND_IN_FAULTY = [name for name in sorted(ORACLES) if name.endswith("_faulty")]
+
+
+@pytest.mark.parametrize("name", FOUND_IN_FAULTY)
+def test_every_faulty_check_finds_something(duck, name):
+    """Each row of each check over the faulty tables is red."""
+    result = duck.execute(ORACLES[name])
+    columns = [d[0] for d in result.description]
+    rows = [dict(zip(columns, r)) for r in result.fetchall()]
+    assert rows
+    for row in rows:
+        if "passou" in row:
+            assert row["passou"] is False, row
+            assert row["valor"] != "0" or row["esperado"] != "0", row
+        elif "violacoes" in row:
+            assert row["violacoes"] > 0, row
+        else:
+            assert row["total"] == 9 and row["falhas"].count(",") == 8, row

@@ -126,18 +126,20 @@ def quality_report(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks).orderBy("teste")
 
 
+def failed_tests(report: DataFrame) -> DataFrame:
+    """``(falhas, total)``: how many tests there are, and the failed ones' names in order."""
+    failed = F.sort_array(F.collect_list(F.when(~F.col("passou"), F.col("teste"))))
+    return report.agg(F.array_join(failed, ", ").alias("falhas"), F.count(F.lit(1)).alias("total"))
+
+
 def gate_result(report: DataFrame) -> DataFrame:
     """One success row, or an error naming every failed test when it is evaluated."""
-    failed = F.sort_array(F.collect_list(F.when(~F.col("passou"), F.col("teste"))))
-    summary = report.agg(failed.alias("falhas"), F.count(F.lit(1)).alias("total"))
-    return summary.select(
+    return failed_tests(report).select(
         F.when(
-            F.size("falhas") == 0,
+            F.col("falhas") == "",
             F.concat(F.lit(ALL_PASSED[0]), F.col("total"), F.lit(ALL_PASSED[1])),
         )
-        .otherwise(
-            F.raise_error(F.concat(F.lit(FAILED), F.array_join("falhas", ", ")))
-        )
+        .otherwise(F.raise_error(F.concat(F.lit(FAILED), "falhas")))
         .alias("resultado_final")
     )
 

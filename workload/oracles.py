@@ -199,19 +199,19 @@ CTES: dict[str, str] = {
 _AFTER_FROM = re.compile(r"\b(?:FROM|JOIN)\s+(\w+)")
 
 
-def needed(sql: str, found: list[str] | None = None) -> list[str]:
+def needed(sql: str, ctes: dict[str, str], found: list[str] | None = None) -> list[str]:
     """CTEs the statement reads, dependencies first."""
     found = [] if found is None else found
     for name in _AFTER_FROM.findall(sql):
-        if name in CTES and name not in found:
-            needed(CTES[name], found)
+        if name in ctes and name not in found:
+            needed(ctes[name], ctes, found)
             found.append(name)
     return found
 
 
-def oracle(sql: str) -> str:
-    ctes = ",\n".join(f"{name} AS ({CTES[name]})" for name in needed(sql))
-    return f"WITH {ctes}\n{sql}" if ctes else sql
+def oracle(sql: str, ctes: dict[str, str] = CTES) -> str:
+    used = ",\n".join(f"{name} AS ({ctes[name]})" for name in needed(sql, ctes))
+    return f"WITH {used}\n{sql}" if used else sql
 
 
 def money(*columns: str) -> str:
@@ -237,6 +237,15 @@ def none(name: str, count: str) -> str:
     return check(name, f"({count})", "'0'", f"({count}) = 0")
 
 
+def volume(low: int, high: int) -> str:
+    return check(
+        "volume_fato_vendas",
+        "(SELECT count(*) FROM fato)",
+        f"'entre {low} e {high}'",
+        f"(SELECT count(*) FROM fato) BETWEEN {low} AND {high}",
+    )
+
+
 CHECKS = {
     "check_revenue_total": amounts(
         "receita_gold_igual_silver",
@@ -259,12 +268,7 @@ CHECKS = {
         "nota_avaliacao_entre_1_e_5",
         "SELECT count(*) FROM fato WHERE nota_avaliacao NOT BETWEEN 1 AND 5",
     ),
-    "check_fact_volume": check(
-        "volume_fato_vendas",
-        "(SELECT count(*) FROM fato)",
-        "'entre 100000 e 120000'",
-        "(SELECT count(*) FROM fato) BETWEEN 100000 AND 120000",
-    ),
+    "check_fact_volume": volume(100_000, 120_000),
     "check_category_total": amounts(
         "mart_categoria_soma_igual_fato",
         "SELECT sum(receita) FROM m_categoria",
@@ -281,6 +285,11 @@ CHECKS = {
     ),
 }
 
+def report_of(low: int, high: int) -> str:
+    checks = {**CHECKS, "check_fact_volume": volume(low, high)}
+    return " UNION ALL ".join(f"({sql})" for sql in checks.values())
+
+
 SOURCES = {
     "clientes": ("orders", "clientes"),
     "pedidos": ("orders", "pedidos"),
@@ -448,10 +457,11 @@ STATEMENTS: dict[str, str] = {
         "item_sem_pedido",
         "SELECT count(*) FROM itens_pedido WHERE order_id NOT IN (SELECT order_id FROM pedidos)",
     ),
-    "quality_report": " UNION ALL ".join(f"({sql})" for sql in CHECKS.values())
-    + " ORDER BY teste",
-    "quality_gate": "SELECT 'TODOS OS 9 TESTES PASSARAM' AS resultado_final FROM (SELECT 1) "
-    "WHERE (SELECT abs(sum(receita) - (SELECT sum(valor_item) FROM itens_pedido)) <= 0.01 FROM fato)",
+    "quality_report": report_of(100_000, 120_000) + " ORDER BY teste",
+    "quality_gate": f"""
+        SELECT CASE WHEN bool_and(passou) THEN 'TODOS OS ' || count(*) || ' TESTES PASSARAM'
+                    ELSE error('a test failed') END AS resultado_final
+        FROM ({report_of(1, 10**15)})""",
     "constraint_violations": " UNION ALL ".join(
         f"SELECT '{name}' AS tabela, '{rule}' AS restricao, "
         f"(SELECT count(*) FROM {cte} WHERE NOT coalesce({condition}, false)) AS violacoes"
@@ -478,4 +488,100 @@ STATEMENTS: dict[str, str] = {
         WHERE photos IS NOT NULL AND try_cast(photos AS int) IS NULL""",
 }
 
-ORACLES = {name: oracle(sql) for name, sql in STATEMENTS.items()}
+
+
+def also(sql: str, condition: str) -> str:
+    """The rows, and once more those that meet the condition."""
+    return f"SELECT * FROM ({sql}) UNION ALL SELECT * FROM ({sql}) WHERE {condition}"
+
+
+# The same tables with one fault for every rule.
+FAULTY_CTES = {
+    **CTES,
+    "r_customers": also(
+        f"""SELECT * REPLACE (
+              CASE WHEN cast(customer_unique_id AS bigint) % 17 = 0 THEN ' x ' ELSE state END AS state,
+              CASE WHEN cast(customer_unique_id AS bigint) % 19 <> 0 THEN zip END AS zip)
+            FROM ({CTES["r_customers"]})""",
+        "cast(customer_id AS bigint) % 23 = 0",
+    ),
+    "r_orders": also(
+        f"""SELECT * REPLACE (
+              CASE WHEN cast(order_id AS bigint) % 29 = 0 THEN 'soon' ELSE purchase END AS purchase)
+            FROM ({CTES["r_orders"]}) WHERE cast(order_id AS bigint) % 31 <> 0""",
+        "cast(order_id AS bigint) % 41 = 0",
+    ),
+    "itens_pedido": f"""
+        SELECT * EXCLUDE (signed)
+               REPLACE (CASE WHEN cast(order_id AS bigint) % 43 <> 0 THEN item_id END AS item_id,
+                        signed AS preco, cast(signed + frete AS decimal(19,2)) AS valor_item)
+        FROM (SELECT *, CASE WHEN item_id = 3 AND cast(order_id AS bigint) % 5 = 0 THEN -preco
+                             ELSE preco END AS signed FROM ({CTES["itens_pedido"]}))""",
+    "avaliacoes": f"""
+        SELECT * REPLACE (CASE WHEN cast(order_id AS bigint) % 37 = 0 THEN 7 ELSE nota END AS nota)
+        FROM ({CTES["avaliacoes"]})""",
+    "vendedores": also(
+        f"""SELECT * REPLACE (
+              CASE WHEN cast(seller_id AS bigint) % 10 <> 0 THEN cep_prefixo END AS cep_prefixo)
+            FROM ({CTES["vendedores"]})""",
+        "cast(seller_id AS bigint) % 3 = 0",
+    ),
+    "r_products": also(CTES["r_products"], "cast(product_id AS bigint) % 37 = 0"),
+    "r_geolocation": f"""SELECT * REPLACE (CASE WHEN trim(zip) <> '7' THEN zip END AS zip)
+        FROM ({CTES["r_geolocation"]})""",
+    # faults behind the rules that would remove them
+    "pedidos_restantes": "SELECT * FROM pedidos WHERE cast(order_id AS bigint) % 7 <> 0",
+    "pessoas_conhecidas": "SELECT * FROM dim_cliente WHERE cast(customer_unique_id AS bigint) % 11 <> 0",
+    "ceps_curtos": """SELECT * REPLACE (CASE WHEN cep_prefixo < '00100' THEN cep_prefixo[3:5]
+                                        ELSE cep_prefixo END AS cep_prefixo) FROM geolocalizacao""",
+    "meses_restantes": "SELECT * FROM m_mensal WHERE mes <> 5",
+}
+
+FAULTY_CHECKS = {
+    name: sql
+    for name, sql in {**CHECKS, "check_fact_volume": volume(1, 2)}.items()
+}
+for _name, _good, _bad in (
+    ("check_order_orphans", "FROM pedidos", "FROM pedidos_restantes"),
+    ("check_person_orphans", "FROM dim_cliente", "FROM pessoas_conhecidas"),
+    ("check_purchase_date", "FROM pedidos", "FROM pedidos_restantes"),
+    ("check_zip_format", "FROM geolocalizacao", "FROM ceps_curtos"),
+    ("check_monthly_total", "FROM m_mensal", "FROM meses_restantes"),
+):
+    FAULTY_CHECKS[_name] = CHECKS[_name].replace(_good, _bad)
+
+
+def repeats(source: str, columns: str) -> str:
+    return f"SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM {source} GROUP BY {columns})"
+
+
+_FAULTY_REPORT = " UNION ALL ".join(f"({sql})" for sql in FAULTY_CHECKS.values())
+_THIRD = "(SELECT * FROM {0} UNION ALL SELECT * FROM {0} WHERE cast({1} AS bigint) % 3 = 0)"
+FAULTY_KEYS = {
+    **KEYS,
+    "dim_cliente": (_THIRD.format("dim_cliente", "customer_unique_id"), "customer_unique_id"),
+    "dim_geografia": (_THIRD.format("geolocalizacao", "cep_prefixo"), "cep_prefixo"),
+}
+
+FAULTY_STATEMENTS: dict[str, str] = {
+    **{
+        name: FAULTY_CHECKS[name]
+        for name in ("check_order_orphans", "check_person_orphans", "check_review_score", "check_zip_format")
+    },
+    "check_purchase_date": CHECKS["check_purchase_date"],
+    "check_item_orphans": STATEMENTS["check_item_orphans"],
+    "quality_report": _FAULTY_REPORT + " ORDER BY teste",
+    "quality_gate": f"""
+        SELECT string_agg(teste, ', ' ORDER BY teste) FILTER (NOT passou) AS falhas,
+               count(*) AS total
+        FROM ({_FAULTY_REPORT})""",
+    "constraint_violations": STATEMENTS["constraint_violations"],
+    "unique_keys": " UNION ALL ".join(
+        "(" + none(f"chave_unica_{name}", repeats(cte, columns)) + ")"
+        for name, (cte, columns) in FAULTY_KEYS.items()
+    ),
+}
+
+ORACLES = {name: oracle(sql) for name, sql in STATEMENTS.items()} | {
+    f"{name}_faulty": oracle(sql, FAULTY_CTES) for name, sql in FAULTY_STATEMENTS.items()
+}

@@ -170,3 +170,62 @@ class RawTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         self[name] = DERIVATIONS[name](self.spark, self.sf_dir)
         return self[name]
+
+
+class FaultyRawTables(RawTables):
+    """The same tables with one fault for every rule, so that each check has something to find."""
+
+    def __missing__(self, name: str) -> DataFrame:
+        good = DERIVATIONS[name](self.spark, self.sf_dir)
+        self[name] = FAULTS[name](good) if name in FAULTS else good
+        return self[name]
+
+
+def changed(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(*(f"{columns.get(c, c)} AS {c}" for c in df.columns))
+
+
+def repeated(df: DataFrame, condition: str) -> DataFrame:
+    return df.unionByName(df.filter(condition))
+
+
+FAULTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "customers": lambda df: repeated(
+        changed(
+            df,
+            customer_state="CASE WHEN cast(customer_unique_id AS bigint) % 17 = 0 THEN ' x ' ELSE customer_state END",
+            customer_zip_code_prefix="""CASE WHEN cast(customer_unique_id AS bigint) % 19 <> 0
+                                        THEN customer_zip_code_prefix END""",
+        ),
+        "cast(customer_id AS bigint) % 23 = 0",
+    ),
+    "orders": lambda df: repeated(
+        changed(
+            df.filter("cast(order_id AS bigint) % 31 <> 0"),
+            order_purchase_timestamp="""CASE WHEN cast(order_id AS bigint) % 29 = 0 THEN 'soon'
+                                        ELSE order_purchase_timestamp END""",
+        ),
+        "cast(order_id AS bigint) % 41 = 0",
+    ),
+    "order_items": lambda df: changed(
+        df,
+        order_item_id="CASE WHEN cast(order_id AS bigint) % 43 = 0 THEN 'n/a' ELSE order_item_id END",
+        price="CASE WHEN order_item_id = '3' AND cast(order_id AS bigint) % 5 = 0 THEN '-' || price ELSE price END",
+    ),
+    "order_reviews": lambda df: changed(
+        df, review_score="CASE WHEN cast(order_id AS bigint) % 37 = 0 THEN '7' ELSE review_score END"
+    ),
+    "sellers": lambda df: repeated(
+        changed(
+            df,
+            seller_zip_code_prefix="CASE WHEN cast(seller_id AS bigint) % 10 <> 0 THEN seller_zip_code_prefix END",
+        ),
+        "cast(seller_id AS bigint) % 3 = 0",
+    ),
+    "products": lambda df: repeated(df, "cast(product_id AS bigint) % 37 = 0"),
+    "geolocation": lambda df: changed(
+        df,
+        geolocation_zip_code_prefix="""CASE WHEN trim(geolocation_zip_code_prefix) <> '7'
+                                       THEN geolocation_zip_code_prefix END""",
+    ),
+}

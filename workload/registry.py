@@ -18,10 +18,21 @@ from tidemark.session import shared_folder, tune
 from tidemark.sources.bronze import ingest_all_string, reconcile_counts
 from tidemark.sources.landing import append_arrival_log, arrival_check
 from tidemark.sources.tables import write_table
-from workload.raw_tables import RawTables, table
+from workload.raw_tables import FaultyRawTables, RawTables, repeated, table
 
 AS_OF = "2002-01-01"  # fixed "today" so that results repeat
 ANY_VOLUME = (1, 10**15)
+NO_VOLUME = (1, 2)
+REPORT_COLUMNS = (
+    "pedido_id",
+    "cliente_id",
+    "produto_id",
+    "data_compra",
+    "cancelado",
+    "tempo_entrega_dias",
+    "receita",
+    "nota_avaliacao",
+)
 HOT_ORDER_ROWS = 8  # small enough that many orders of the provided tables are split
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,16 +102,7 @@ class Tables:
         )
 
     def report(self, volume: tuple[int, int] = gate.FACT_VOLUME) -> DataFrame:
-        fact = self.stored_fact(
-            "pedido_id",
-            "cliente_id",
-            "produto_id",
-            "data_compra",
-            "cancelado",
-            "tempo_entrega_dias",
-            "receita",
-            "nota_avaliacao",
-        )
+        fact = self.stored_fact(*REPORT_COLUMNS)
         return gate.gate_report(
             fact,
             self.silver("itens_pedido"),
@@ -113,6 +115,42 @@ class Tables:
         )
 
 
+class FaultyTables(Tables):
+    """The tables with faults in them, some put in behind the rules that would remove them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self.raw = FaultyRawTables(spark, sf_dir)
+
+    def orders(self) -> DataFrame:
+        """Orders of which every seventh got lost after the fact was built."""
+        return self.silver("pedidos").filter("cast(order_id AS bigint) % 7 <> 0")
+
+    def known_persons(self) -> DataFrame:
+        return self.persons().filter("cast(customer_unique_id AS bigint) % 11 <> 0")
+
+    def short_zips(self) -> DataFrame:
+        """The dimension with some codes cut, which the cleaning would have padded."""
+        cut = F.when(F.col("cep_prefixo") < "00100", F.col("cep_prefixo").substr(3, 3))
+        return self.geography().withColumn("cep_prefixo", F.coalesce(cut, "cep_prefixo"))
+
+    def months(self, fact: DataFrame) -> DataFrame:
+        return marts.monthly_sales(fact).filter("mes <> 5")
+
+    def report(self, volume: tuple[int, int] = gate.FACT_VOLUME) -> DataFrame:
+        fact = self.stored_fact(*REPORT_COLUMNS)
+        return gate.gate_report(
+            fact,
+            self.silver("itens_pedido"),
+            self.orders(),
+            self.known_persons(),
+            self.short_zips(),
+            self.categories(fact),
+            self.months(fact),
+            fact_volume=volume,
+        )
+
+
 def rounded_point(df: DataFrame) -> DataFrame:
     """Means of doubles depend on the order of addition in their last digits."""
     return df.withColumns({c: F.round(c, 6) for c in ("latitude", "longitude")})
@@ -122,6 +160,10 @@ def query(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: presentable(build(Tables(spark, sf_dir)))
 
 
+def faulty(build: Callable[[FaultyTables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: presentable(build(FaultyTables(spark, sf_dir)))
+
+
 def latest_line(t: Tables) -> DataFrame:
     """``lineitem`` repeats (order, line) pairs; keep the latest shipped of each."""
     lines = table(t.spark, t.sf_dir, "lineitem")
@@ -207,6 +249,28 @@ def key_report(t: Tables) -> DataFrame:
     )
 
 
+def faulty_keys(t: FaultyTables) -> DataFrame:
+    """Grouped dimensions can't repeat a key by themselves; some of their rows are repeated."""
+    third = "cast({} AS bigint) % 3 = 0"
+    return gate.key_report(
+        {
+            "clientes": (t.silver("clientes"), ("customer_id",)),
+            "pedidos": (t.silver("pedidos"), ("order_id",)),
+            "dim_cliente": (
+                repeated(t.persons(), third.format("customer_unique_id")),
+                ("customer_unique_id",),
+            ),
+            "dim_produto": (t.products(), ("product_id",)),
+            "dim_vendedor": (t.sellers(), ("seller_id",)),
+            "dim_geografia": (
+                repeated(t.geography(), third.format("cep_prefixo")),
+                ("cep_prefixo",),
+            ),
+            "fato_vendas": (t.fact(), ("pedido_id", "item_id")),
+        }
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A drop of part files in the landing format, text left as it is."""
     df.write.options(
@@ -358,6 +422,39 @@ QUERIES: dict[str, Query] = {
     "constraint_violations": query(constraint_violations),
     "enforce_by_dropping": query(dated_deliveries),
     "unique_keys": query(key_report),
+    # the same checks where there is something to find
+    "check_order_orphans_faulty": faulty(
+        lambda t: quality.orphans(
+            "sem_item_orfao_de_pedido", t.fact(), "pedido_id", t.orders(), "order_id"
+        )
+    ),
+    "check_item_orphans_faulty": faulty(
+        lambda t: quality.orphans(
+            "item_sem_pedido", t.silver("itens_pedido"), "order_id", t.silver("pedidos"), "order_id"
+        )
+    ),
+    "check_person_orphans_faulty": faulty(
+        lambda t: quality.orphans(
+            "sem_item_orfao_de_cliente", t.fact(), "cliente_id", t.known_persons(), "customer_unique_id"
+        )
+    ),
+    "check_purchase_date_faulty": faulty(
+        lambda t: quality.null_count("data_compra_nao_nula", t.silver("pedidos"), "data_compra")
+    ),
+    "check_review_score_faulty": faulty(
+        lambda t: quality.range_check(
+            "nota_avaliacao_entre_1_e_5", t.fact(), "nota_avaliacao", 1, 5
+        )
+    ),
+    "check_zip_format_faulty": faulty(
+        lambda t: quality.format_check(
+            "cep_prefixo_5_digitos_dim_geografia", t.short_zips(), "length(cep_prefixo) <> 5"
+        )
+    ),
+    "quality_report_faulty": faulty(lambda t: t.report(NO_VOLUME)),
+    "quality_gate_faulty": faulty(lambda t: quality.failed_tests(t.report(NO_VOLUME))),
+    "constraint_violations_faulty": faulty(constraint_violations),
+    "unique_keys_faulty": faulty(faulty_keys),
     "zip_digits_before_padding": query(short_zips),
     "unreadable_numbers": query(unreadable_photos),
 }
