@@ -16,13 +16,12 @@ from tidemark.sources.bronze import (
     reconcile_counts,
     require_reconciled,
 )
-from tidemark.sources.csv import LINES, STITCHED, HeaderError, line_by_line
+from tidemark.sources.csv import LINES, STITCHED, WHOLE, HeaderError, layout
 from tidemark.sources.landing import (
     ArrivalError,
     append_arrival_log,
     arrival_check,
     read_modes,
-    split_size,
 )
 
 
@@ -116,14 +115,26 @@ def test_reconciliation_uses_the_newest_log_entry(spark):
     require_reconciled(reconciled.filter("bate"))
 
 
-def test_line_by_line(spark, landing, tmp_path):
-    assert line_by_line(spark, f"{landing}/orders.csv")
-    assert not line_by_line(spark, f"{landing}/order_reviews.csv")
-    # two stray quotes keep the quote count even although the field goes on
-    (tmp_path / "odd.csv").write_text('h1,h2\na"b,"open\nrest",x\n')
-    assert not line_by_line(spark, str(tmp_path / "odd.csv"))
-    (tmp_path / "long.csv").write_text("h1,h2\n" + '"' + 'a""b' * 200_000 + '",x\n')
-    assert line_by_line(spark, str(tmp_path / "long.csv"))
+@pytest.mark.parametrize(
+    "text, mode",
+    [
+        ("h1,h2\n1,2\n", LINES),
+        ("h1,h2\r\n1,2\r\n", LINES),
+        ("h1,h2\r\n1,2\n", WHOLE),
+        ("h1,h2\n" + '"' + 'a""b' * 200_000 + '",x\n', LINES),
+        ('h1,h2\n"a\nb",x\n', STITCHED),
+        ('h1,h2\n"a\n""b,\n",","\n', STITCHED),
+        # two stray quotes keep the quote count even although the field goes on
+        ('h1,h2\na"b,"open\nrest",x\n', WHOLE),
+        ('h1,h2\ntv 42" wide,screens\n', WHOLE),
+        ('h1,h2\n"un"quoted" x",2\n', WHOLE),
+        ('h1,h2\n"a"b,2\n', WHOLE),
+        ("h1,h2\n  \n1,2\n", WHOLE),
+    ],
+)
+def test_layout_follows_the_content(spark, tmp_path, text, mode):
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    assert layout(spark, str(tmp_path / "a.csv")) == mode
 
 
 @pytest.fixture
@@ -135,18 +146,6 @@ def tiny_splits(spark):
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-@pytest.mark.parametrize(
-    "text, size",
-    [("64b", 64), ("1000", 1000), ("2k", 2048), ("128MB", 128 << 20), ("1g", 1 << 30)],
-)
-def test_split_size(spark, text, size):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", text)
-    try:
-        assert split_size(spark) == size
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def content(df):
     return sorted(map(tuple, df.drop("_ingerido_em").collect()), key=repr)
 
@@ -187,9 +186,53 @@ def test_stitching_refuses_what_it_cannot_prove(spark, tmp_path):
         ingest_all_string(spark, str(tmp_path / "odd.csv"), raw_schema("sellers"), STITCHED)
 
 
-def test_an_unclosed_quote_is_an_error_not_one_huge_record(spark, tmp_path, tiny_splits, monkeypatch):
-    monkeypatch.setattr("tidemark.sources.csv.MAX_RECORD_BYTES", 256)
+def test_an_unclosed_quote_is_an_error_not_one_huge_record(spark, tmp_path):
     (tmp_path / "open.csv").write_text("x\n" + "a\n" * 50 + '"open\n' + "a\n" * 500)
-    schema = StructType([StructField("x", StringType())])
-    with pytest.raises(Exception, match="unclosed quote"):
-        ingest_all_string(spark, str(tmp_path / "open.csv"), schema, STITCHED).collect()
+    with pytest.raises(ArrivalError, match="unclosed quote in .*open.csv"):
+        read_modes(spark, str(tmp_path), ["open.csv"])
+
+
+def outcome(spark, folder, limit):
+    """Mode, arrival count and rows, or the error, with splits of this size."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        modes = read_modes(spark, folder, ["a.csv"])
+        counted = arrival_check(spark, folder, {"t": "a.csv"}, modes=modes).first()["linhas"]
+        rows = content(ingest_all_string(spark, f"{folder}/a.csv", None, modes["a.csv"]))
+        whole = content(ingest_all_string(spark, f"{folder}/a.csv"))
+        assert rows == whole and counted == len(rows)
+        return modes, counted, rows
+    except ArrivalError as error:
+        return str(error)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@given(st.text(st.sampled_from('ab"",\n\n \u00e9'), max_size=150))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_any_text_reads_alike_at_any_split_size(spark, tmp_path, text):
+    """Stray, doubled and unclosed quotes: every way to read gives what reading whole files gives."""
+    folder = tmp_path / uuid.uuid4().hex
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n" + text)
+    small = outcome(spark, str(folder), "64b")
+    assert small == outcome(spark, str(folder), "128m")
+
+
+def test_names_with_plus_and_nested_folders(spark, tmp_path):
+    write_csv(tmp_path / "cust+v2 %41.csv", ("x",), [("1",)])
+    for part in ("a.csv", "dt=1/b+c.csv", "dt=1/x/d.csv"):
+        path = tmp_path / "nested.csv" / part
+        path.parent.mkdir(parents=True, exist_ok=True)
+        write_csv(path, ("x",), [("1",), ("2",)])
+    expected = {"plus": "cust+v2 %41.csv", "nested": "nested.csv"}
+    got = {r["tabela"]: r for r in arrival_check(spark, str(tmp_path), expected).collect()}
+    assert got["plus"]["linhas"] == 1 and got["nested"]["linhas"] == 6
+    assert got["nested"]["bytes"] == 3 * (tmp_path / "nested.csv" / "a.csv").stat().st_size
+    modes = read_modes(spark, str(tmp_path), list(expected.values()))
+    for mode in (WHOLE, modes["nested.csv"], STITCHED):
+        df = ingest_all_string(spark, str(tmp_path / "nested.csv"), None, mode)
+        assert df.count() == 6
+        assert {r[0] for r in df.select("_arquivo_origem").distinct().collect()} == {"a.csv", "b+c.csv", "d.csv"}

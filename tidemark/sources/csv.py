@@ -1,17 +1,21 @@
 """The raw CSV format: header, comma, quoted fields that may hold line breaks and doubled quotes.
 
-Spark reads such a file whole, in one task, because a line break may be inside a field. That is
-fine up to one input split. Bigger files are read in one of two other ways, chosen per drop:
+Spark reads such a file whole, in one task, because a line break may be inside a field. Where a file's
+content proves that the cuts are right, it is read in one of two other ways, which give the same rows:
 
-* ``LINES``: every line is a whole record (checked), so the file can be cut at any line;
+* ``LINES``: every line is a whole record, so the file can be cut at any line;
 * ``STITCHED``: some records span lines; a splittable text scan finds where records start.
+
+The proof (``layout``) looks at every line, whatever the size of the file or of a split: fields are plain
+without quotes, or quoted from their first to their last character with doubled quotes inside. A file with
+anything else in it, such as a stray quote, is read whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 WHOLE, LINES, STITCHED = "whole", "lines", "stitched"
 
@@ -19,14 +23,17 @@ FORMAT = {"quote": '"', "escape": '"'}
 
 # A text that is one record: fields are plain, or quoted with doubled quotes inside. The
 # possessive quantifiers keep the match linear in the length of the text.
-QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
+OPEN = '"[^"]*+(?:""[^"]*+)*+'
+QUOTED = OPEN + '"'
 FIELD = f'(?:{QUOTED}|[^",\\r\\n]*+)'
 RECORD = rf"\A{FIELD}(?:,{FIELD})*+\z"
+# A line that begins outside or inside of quotes, and may end inside.
+FROM_OUTSIDE = rf"\A(?:{FIELD},)*+(?:{FIELD}|{OPEN})\z"
+FROM_INSIDE = rf'\A[^"]*+(?:""[^"]*+)*+(?:"(?:,{FIELD}(?=,|\z))*+(?:,{OPEN})?+)?+\z'
 
 
-# No record may reach this far past the split it starts in: a quote that is never closed would
-# otherwise swallow the rest of the file as one record.
-MAX_RECORD_BYTES = 256 * 1024 * 1024
+class UnclosedQuoteError(Exception):
+    """A quoted field reaches to the end of its file."""
 
 
 class HeaderError(Exception):
@@ -47,7 +54,7 @@ def read_csv(
     )
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", "false")
-    return reader.csv(paths).select("*", F.url_decode("_metadata.file_path").alias("_file_path"))
+    return reader.csv(paths).select("*", file_path().alias("_file_path"))
 
 
 def records(spark: SparkSession, paths: list[str], mode: str = WHOLE) -> DataFrame:
@@ -60,37 +67,69 @@ def records(spark: SparkSession, paths: list[str], mode: str = WHOLE) -> DataFra
     return (
         reader.schema("record string")
         .csv(paths)
-        .select(F.url_decode("_metadata.file_path").alias("_file_path"))
+        .select(file_path().alias("_file_path"))
     )
 
 
-def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").text(paths)
-
+def file_path() -> Column:
+    """The row's file, as it is named: a plus sign is one, and not a blank."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
 
-def line_by_line(spark: SparkSession, paths: str | list[str]) -> bool:
-    """True when every line is a whole record, so that no record spans lines.
 
-    If each line parses as complete fields, each record ends where its line ends; the file may
-    then be cut at any line and read by many tasks. The text scan itself is split that way too.
-    """
-    return text_lines(spark, paths).filter(~F.col("value").rlike(RECORD)).isEmpty()
-
-
-def record_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(_file_path, record)`` for every record but the header, found in parallel.
-
-    Outside of quotes an even number of quotes has gone by. So a line starts a record when the
-    quotes before it in its file are even: those before it in its split, plus those of earlier
-    splits, which a small table with one row per split provides. Only lines of records that span
-    lines are grouped again; a group is one record.
-    """
+def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.options(recursiveFileLookup="true", lineSep="\n").text(paths)
+
+
+def layout(spark: SparkSession, paths: str | list[str]) -> str:
+    """How these files may be read; every line is looked at. Raises on a quote that is never closed."""
+    value = F.col("value")
+    bare = F.regexp_replace(value, r"\r\z", "")
+    seen = text_lines(spark, paths).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(value.endswith("\r")).alias("returns"),
+        F.count_if(bare.contains("\r")).alias("inner_returns"),
+        # the readers differ on lines of blanks
+        F.count_if((F.trim(bare) == "") & (bare != "")).alias("blank"),
+        F.count_if(~bare.rlike(RECORD)).alias("parts"),
+    ).first()
+    if seen["inner_returns"] or seen["blank"] or seen["returns"] not in (0, seen["lines"]):
+        return WHOLE
+    if not seen["parts"]:
+        return LINES
+    if seen["returns"]:
+        return WHOLE
+    lines = entered_lines(spark, paths)
+    fits = F.when(F.col("inside"), value.rlike(FROM_INSIDE)).otherwise(value.rlike(FROM_OUTSIDE))
+    blank = ~F.col("inside") & (F.trim(value) == "") & (value != "")
+    if not lines.filter(~fits | blank).isEmpty():
+        return WHOLE
+    ends = text_lines(spark, paths).select(file_path().alias("_file_path"), quotes().alias("odd"))
+    open_files = ends.groupBy("_file_path").agg((F.sum("odd") % 2).alias("odd")).filter("odd = 1")
+    if found := open_files.orderBy("_file_path").limit(10).collect():
+        raise UnclosedQuoteError("unclosed quote in " + ", ".join(r["_file_path"] for r in found))
+    return STITCHED
+
+
+def quotes() -> Column:
+    return F.regexp_count("value", F.lit('"')) % 2
+
+
+def entered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every line with ``inside``: whether it begins inside of quotes (see ``record_texts``)."""
+    lines, splits = numbered_lines(spark, paths)
+    inside = (F.col("odd_before") + F.col("entered")) % 2 == 1
+    return lines.join(splits, ["_file_path", "split"]).withColumn("inside", inside)
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Lines with the quotes before them in their split; one row per split with the state it is
+    entered in (1: inside of quotes) and where the record that is open there began."""
     lines = text_lines(spark, paths).select(
         "value",
-        F.url_decode("_metadata.file_path").alias("_file_path"),
+        file_path().alias("_file_path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("pos"),
-        (F.regexp_count("value", F.lit('"')) % 2).alias("odd"),
+        quotes().alias("odd"),
     )
     in_split = Window.partitionBy("_file_path", "split").orderBy("pos")
     before = in_split.rowsBetween(Window.unboundedPreceding, -1)
@@ -117,21 +156,28 @@ def record_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         "entered",
         F.last("last_start", ignorenulls=True).over(earlier).alias("open_record"),
     )
+    return lines, splits
 
-    starts = (F.col("odd_before") + F.col("entered")) % 2 == 0
-    lines = lines.join(splits, ["_file_path", "split"]).withColumn("starts", starts)
+
+def record_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(_file_path, record)`` for every record but the header, found in parallel.
+
+    Outside of quotes an even number of quotes has gone by. So a line starts a record when the
+    quotes before it in its file are even: those before it in its split, plus those of earlier
+    splits, which a small table with one row per split provides. Only lines of records that span
+    lines are grouped again; a group is one record.
+    """
+    lines = entered_lines(spark, paths)
+    in_split = Window.partitionBy("_file_path", "split").orderBy("pos")
+    lines = lines.withColumn("starts", ~F.col("inside"))
     own_start = F.last(F.when(F.col("starts"), F.struct("split", "pos")), ignorenulls=True)
-    too_long = F.col("split") - F.col("open_record.split") > MAX_RECORD_BYTES
-    carried = F.when(
-        too_long, F.raise_error(F.concat(F.lit("unclosed quote in "), "_file_path"))
-    ).otherwise(F.col("open_record"))
     lines = lines.select(
         "_file_path",
         "value",
         "split",
         "pos",
         (F.col("starts") & (F.col("odd") == 0)).alias("whole"),
-        F.coalesce(own_start.over(in_split), carried).alias("start"),
+        F.coalesce(own_start.over(in_split), F.col("open_record")).alias("start"),
         ((F.col("split") == 0) & (F.row_number().over(in_split) == 1)).alias("first"),
     )
     single = lines.filter("whole AND NOT first AND value <> ''")
@@ -146,16 +192,21 @@ def record_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return single.select("_file_path", F.col("value").alias("record")).unionByName(spanning)
 
 
-def stitched(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+def stitched(
+    spark: SparkSession, paths: str | list[str], schema: StructType | None
+) -> DataFrame:
     """Parse the records of ``record_texts``; a text that is not exactly one record is an error."""
     found = spark.read.options(
         **FORMAT, header="true", multiLine="true", recursiveFileLookup="true"
     ).csv(paths)
+    if schema is None:
+        schema = StructType([StructField(name, StringType()) for name in found.columns])
     if found.columns != schema.fieldNames():
         raise HeaderError(f"expected {schema.fieldNames()}, found {found.columns}")
     broken = F.raise_error(F.concat(F.lit("not a CSV record: "), F.substring("record", 1, 200)))
     text = F.when(F.col("record").rlike(RECORD), F.col("record")).otherwise(broken)
-    parsed = F.from_csv(text, schema.simpleString()[len("struct<") : -1].replace(":", " "), FORMAT)
+    names = ", ".join("`" + name.replace("`", "``") + "` string" for name in schema.fieldNames())
+    parsed = F.from_csv(text, names, FORMAT)
     return (
         record_texts(spark, paths)
         .select("_file_path", parsed.alias("row"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -9,32 +10,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import ARRIVAL_LOG
-from tidemark.sources.csv import LINES, STITCHED, WHOLE, line_by_line, records
+from tidemark.sources.csv import WHOLE, UnclosedQuoteError, layout, records
 
 
 class ArrivalError(Exception):
     """Files are missing or empty."""
 
 
-def drop_name(path: Column, names: list[str]) -> Column:
-    """The expected drop a file belongs to: its own name, or the folder of part files around it."""
-    steps = F.split(path, "/")
-    own, folder = F.element_at(steps, -1), F.element_at(steps, -2)
-    return F.when(own.isin(names), own).otherwise(folder)
+def drop_name(path: Column, base: str) -> Column:
+    """The drop a file belongs to: the first step of its path below the landing folder."""
+    below = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", base).rstrip("/")
+    return F.regexp_extract(path, rf"\Q{below}\E/+([^/]+)", 1)
 
 
 def landed_files(spark: SparkSession, base: str, names: list[str]) -> DataFrame:
-    """``(arquivo, bytes, maior)`` per expected drop that is there; file contents are not read."""
+    """``(arquivo, bytes)`` per expected drop that is there; file contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(base)
-        .select(drop_name(F.col("path"), names).alias("arquivo"), "length")
+        .select(drop_name(F.col("path"), base).alias("arquivo"), "length")
     )
     return (
         files.filter(F.col("arquivo").isin(names))
         .groupBy("arquivo")
-        .agg(F.sum("length").alias("bytes"), F.max("length").alias("maior"))
+        .agg(F.sum("length").alias("bytes"))
     )
 
 
@@ -44,7 +44,7 @@ def count_records(spark: SparkSession, base: str, modes: dict[str, str]) -> Data
     for mode in sorted(set(modes.values())):
         names = sorted(name for name, m in modes.items() if m == mode)
         found = records(spark, [f"{base}/{name}" for name in names], mode)
-        per_drop = found.groupBy(drop_name(F.col("_file_path"), names).alias("arquivo"))
+        per_drop = found.groupBy(drop_name(F.col("_file_path"), base).alias("arquivo"))
         counts.append(per_drop.agg(F.count(F.lit(1)).alias("linhas")))
     return reduce(DataFrame.unionByName, counts)
 
@@ -58,8 +58,8 @@ def arrival_check(
 ) -> DataFrame:
     """One log row per expected drop, or an error naming every missing and every empty one.
 
-    ``expected`` is ``{table: landing name}``; ``modes`` says how to read drops that are too big
-    for one task per file (see ``read_modes``).
+    ``expected`` is ``{table: landing name}``; ``modes`` says how to read each drop (see
+    ``read_modes``); without it, files are read whole.
     """
     base = base.rstrip("/")
     names = list(expected.values())
@@ -83,30 +83,19 @@ def arrival_check(
     return spark.createDataFrame(rows, ARRIVAL_LOG)
 
 
-def split_size(spark: SparkSession) -> int:
-    """Bytes of one input split, from a setting such as ``134217728b``, ``128m`` or ``128MB``."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
-    digits = text.rstrip("bkmgt")
-    unit = text[len(digits) :].rstrip("b")
-    return int(digits) * 1024 ** " kmgt".index(unit or " ")
-
-
 def read_modes(spark: SparkSession, base: str, names: list[str]) -> dict[str, str]:
-    """How to read each drop that is there.
-
-    A drop whose files each fit one input split is read whole: that is one task per file either
-    way. A bigger one is looked at, to see whether records span lines.
-    """
-    limit = split_size(spark)
+    """How to read each drop that is there, by its content; an unclosed quote is an error."""
     base = base.rstrip("/")
-
-    def mode(name: str, largest: int) -> str:
-        if largest <= limit:
-            return WHOLE
-        return LINES if line_by_line(spark, f"{base}/{name}") else STITCHED
-
     landed = landed_files(spark, base, names).collect()  # one row per expected drop
-    return {r["arquivo"]: mode(r["arquivo"], r["maior"]) for r in landed}
+    modes, open_quotes = {}, []
+    for row in landed:
+        try:
+            modes[row["arquivo"]] = layout(spark, f"{base}/{row['arquivo']}")
+        except UnclosedQuoteError as error:
+            open_quotes.append(str(error))
+    if open_quotes:
+        raise ArrivalError("arrival check failed - " + "; ".join(sorted(open_quotes)))
+    return modes
 
 
 def append_arrival_log(arrivals: DataFrame, path: str) -> None:
