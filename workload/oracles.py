@@ -349,6 +349,14 @@ def payments(columns: str) -> str:
         FROM (SELECT DISTINCT {columns} FROM valido) GROUP BY 1"""
 
 
+def ingested(message: str) -> str:
+    return f"""
+        SELECT cast(doc_id AS varchar) AS review_id, cast(NULL AS varchar) AS review_score,
+               source AS review_comment_title, md5({message}) AS mensagem_md5,
+               cast(length({message}) AS int) AS mensagem_tamanho
+        FROM documents"""
+
+
 RAW_ROWS = {
     "customers": "orders",
     "geolocation": "customer",
@@ -366,11 +374,9 @@ STATEMENTS: dict[str, str] = {
         f"SELECT '{name}' AS tabela, '{name}.csv' AS arquivo, count(*) AS linhas FROM {source}"
         for name, source in RAW_ROWS.items()
     ),
-    "bronze_ingest": """
-        SELECT cast(doc_id AS varchar) AS review_id, cast(NULL AS varchar) AS review_score,
-               source AS review_comment_title, md5(text) AS mensagem_md5,
-               cast(length(text) AS int) AS mensagem_tamanho
-        FROM documents""",
+    "bronze_ingest": ingested("text"),
+    "bronze_ingest_stitched": ingested("text"),
+    "bronze_ingest_lines": ingested("translate(text, chr(13) || chr(10), '  ')"),
     "bronze_reconciliation": " UNION ALL ".join(
         f"SELECT '{name}' AS tabela, count(*) AS linhas_bronze, count(*) AS linhas_raw, "
         f"true AS bate FROM {source}"

@@ -16,6 +16,7 @@ from tidemark.plans import gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import shared_folder, tune
 from tidemark.sources.bronze import ingest_all_string, reconcile_counts
+from tidemark.sources.csv import LINES, STITCHED, WHOLE
 from tidemark.sources.landing import append_arrival_log, arrival_check
 from tidemark.sources.tables import write_table
 from workload.raw_tables import FaultyRawTables, RawTables, repeated, table
@@ -295,14 +296,15 @@ def arrivals(t: Tables) -> DataFrame:
     return arrival_check(t.spark, land(t), manifest()).select("tabela", "arquivo", "linhas")
 
 
-def bronze_texts(t: Tables) -> DataFrame:
+def bronze_texts(t: Tables, mode: str = WHOLE, line_breaks: bool = True) -> DataFrame:
     """Whole documents, line breaks and quotes included, as review messages: to CSV and back."""
     path = f"{shared_folder(t.spark)}/order_reviews.csv"
+    message = F.col("text") if line_breaks else F.translate("text", "\r\n", "  ")
     documents = table(t.spark, t.sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("review_id"),
         *(F.lit(None).cast("string").alias(c) for c in ("order_id", "review_score")),
         F.col("source").alias("review_comment_title"),
-        F.col("text").alias("review_comment_message"),
+        message.alias("review_comment_message"),
         *(
             F.lit(None).cast("string").alias(c)
             for c in ("review_creation_date", "review_answer_timestamp")
@@ -310,7 +312,7 @@ def bronze_texts(t: Tables) -> DataFrame:
     )
     write_csv(documents, path)
     message = F.col("review_comment_message")
-    return ingest_all_string(t.spark, path, raw_schema("order_reviews")).select(
+    return ingest_all_string(t.spark, path, raw_schema("order_reviews"), mode).select(
         "review_id",
         "review_score",
         "review_comment_title",
@@ -322,14 +324,15 @@ def bronze_texts(t: Tables) -> DataFrame:
 def bronze_reconciliation(t: Tables) -> DataFrame:
     """Land, check, log, load and count all nine tables; then compare the counts."""
     landing = land(t)
-    log = f"{landing}-log"
+    folder = landing.removesuffix("/landing")
+    log = f"{folder}/log"
     append_arrival_log(arrival_check(t.spark, landing, manifest()), log)
     counts = [
         (
             name,
             write_table(
                 ingest_all_string(t.spark, f"{landing}/{file}", raw_schema(name)),
-                f"{landing}-bronze/{name}",
+                f"{folder}/bronze/{name}",
             ),
         )
         for name, file in manifest().items()
@@ -342,6 +345,8 @@ QUERIES: dict[str, Query] = {
     # landing and bronze
     "arrival_check": query(arrivals),
     "bronze_ingest": query(bronze_texts),
+    "bronze_ingest_stitched": query(lambda t: bronze_texts(t, STITCHED)),
+    "bronze_ingest_lines": query(lambda t: bronze_texts(t, LINES, line_breaks=False)),
     "bronze_reconciliation": query(bronze_reconciliation),
     # silver
     "clean_customers": query(lambda t: t.silver("clientes")),
