@@ -67,13 +67,22 @@ def reconcile_sum(
     return rows_of(numbers, [same_amount(name, F.col("a"), F.col("b"), tolerance)])
 
 
-def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def orphan_count(
+    child: DataFrame,
+    child_key: str,
+    parent: DataFrame,
+    parent_key: str,
+    weight: str | None = None,
+) -> DataFrame:
     """One row ``n``: child rows without a parent (a NULL key has none).
 
+    If the child's rows stand for several rows each, ``weight`` says for how many.
+
     The child is counted per key first, so the join moves one row per key and task rather than
     every row, and a hot key is one row.
     """
-    per_key = child.groupBy(F.col(child_key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    per_key = child.groupBy(F.col(child_key).alias("_key")).agg(rows.alias("_rows"))
     keys = parent.select(F.col(parent_key).alias("_key"))
     lost = per_key.join(keys, "_key", "left_anti")
     return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))

@@ -44,9 +44,15 @@ def gate_report(
     categories: DataFrame,
     months: DataFrame,
     fact_volume: tuple[int, int] = FACT_VOLUME,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """The nine release tests. All plain fact numbers come from one pass over the fact."""
+    """The nine release tests. All plain fact numbers come from one pass over the fact.
+
+    ``totals`` may bring the stored ``order_totals`` of the fact, whose keys and item counts are
+    enough for the orphan tests.
+    """
     col = F.col
+    keyed, weight = (fact, None) if totals is None else (totals, "itens")
     numbers = beside(
         fact.agg(
             F.sum("receita").alias("fato"),
@@ -59,8 +65,10 @@ def gate_report(
         geography.agg(F.count_if(F.length("cep_prefixo") != 5).alias("ceps_ruins")),
         categories.agg(F.sum("receita").alias("categorias")),
         months.agg(F.sum("receita").alias("meses")),
-        orphan_count(fact, "pedido_id", orders, "order_id").withColumnRenamed("n", "sem_pedido"),
-        orphan_count(fact, "cliente_id", persons, "customer_unique_id").withColumnRenamed(
+        orphan_count(keyed, "pedido_id", orders, "order_id", weight).withColumnRenamed(
+            "n", "sem_pedido"
+        ),
+        orphan_count(keyed, "cliente_id", persons, "customer_unique_id", weight).withColumnRenamed(
             "n", "sem_cliente"
         ),
     )
@@ -79,10 +87,19 @@ def gate_report(
     return rows_of(numbers, checks).orderBy("teste")
 
 
-def key_report(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
-    """Uniqueness of each table's grain: ``{name: (table, key columns)}``."""
+def key_report(
+    tables: dict[str, tuple[DataFrame, tuple[str, ...]]], totals: DataFrame | None = None
+) -> DataFrame:
+    """Uniqueness of each table's grain: ``{name: (table, key columns)}``.
+
+    The stored ``order_totals`` of the fact have counted its repeated items already.
+    """
     counts = [
         duplicate_count(df, keys).withColumnRenamed("n", name) for name, (df, keys) in tables.items()
     ]
+    if totals is not None:
+        repeated = F.coalesce(F.sum("itens_repetidos"), F.lit(0))
+        counts.append(totals.agg(repeated.alias("fato_vendas")))
+        tables = {**tables, "fato_vendas": (totals, ())}
     checks = [no_rows(f"chave_unica_{name}", F.col(name)) for name in tables]
     return rows_of(beside(*counts), checks).orderBy("teste")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import per_unit
+from tidemark.functions import mean_rounded, per_unit
 
 # Fixed value: the name the mart gives to products without a category.
 UNCATEGORISED = "sem_categoria"
@@ -16,16 +16,44 @@ def sold(fact: DataFrame) -> DataFrame:
     return fact.filter(~F.col("cancelado"))
 
 
-def monthly_sales(fact: DataFrame) -> DataFrame:
-    orders, revenue = F.count_distinct("pedido_id"), F.sum("receita")
+def order_totals(fact: DataFrame) -> DataFrame:
+    """The fact at order grain, cancelled orders included: one row per order, far smaller.
+
+    Order-level values repeat on every item, so they are group keys; averages over items keep their
+    sums and counts. ``itens_repetidos`` counts items beyond the first of their number.
+    """
+    repeated = F.count(F.lit(1)) - F.count_distinct("item_id") - F.max(F.col("item_id").isNull().cast("int"))
+    return fact.groupBy(
+        "pedido_id",
+        "cliente_id",
+        "data_compra",
+        "cancelado",
+        "metodo_pagamento_principal",
+        "valor_pago",
+    ).agg(
+        F.count(F.lit(1)).alias("itens"),
+        repeated.alias("itens_repetidos"),
+        F.sum("receita").alias("receita"),
+        F.sum("nota_avaliacao").alias("nota_soma"),
+        F.count("nota_avaliacao").alias("nota_n"),
+        F.sum("tempo_entrega_dias").alias("tempo_soma"),
+        F.count("tempo_entrega_dias").alias("tempo_n"),
+        F.sum("atraso_dias").alias("atraso_soma"),
+        F.count("atraso_dias").alias("atraso_n"),
+    )
+
+
+def monthly_sales(totals: DataFrame) -> DataFrame:
+    """By year and month of purchase, from ``order_totals``."""
+    orders, revenue = F.count(F.lit(1)), F.sum("receita").cast(REVENUE)
     return (
-        sold(fact)
+        sold(totals)
         .groupBy(F.year("data_compra").alias("ano"), F.month("data_compra").alias("mes"))
         .agg(
             orders.alias("total_pedidos"),
             revenue.alias("receita"),
             per_unit(revenue, orders).alias("ticket_medio"),
-            F.round(F.avg("tempo_entrega_dias"), 1).alias("tempo_entrega_medio_dias"),
+            mean_rounded(F.sum("tempo_soma"), F.sum("tempo_n"), 1).alias("tempo_entrega_medio_dias"),
         )
     )
 
@@ -73,39 +101,30 @@ def seller_performance(fact: DataFrame, sellers: DataFrame) -> DataFrame:
     )
 
 
-def person_totals(fact: DataFrame) -> DataFrame:
-    """Per person: orders, revenue and the sums behind the averages.
+def person_totals(totals: DataFrame) -> DataFrame:
+    """Per person, from ``order_totals``: orders, revenue and the sums behind the averages.
 
     An order belongs to one person, so distinct orders add up over persons. Reports that count
     both persons and orders build on this and never expand the fact once per distinct count.
     """
+    sums = ("nota_soma", "nota_n", "tempo_soma", "tempo_n", "atraso_soma", "atraso_n")
     return (
-        sold(fact)
+        sold(totals)
         .groupBy("cliente_id")
         .agg(
-            F.count_distinct("pedido_id").alias("pedidos"),
-            F.sum("receita").alias("receita"),
-            F.sum("nota_avaliacao").alias("nota_soma"),
-            F.count("nota_avaliacao").alias("nota_n"),
-            F.sum("tempo_entrega_dias").alias("tempo_soma"),
-            F.count("tempo_entrega_dias").alias("tempo_n"),
-            F.sum("atraso_dias").alias("atraso_soma"),
-            F.count("atraso_dias").alias("atraso_n"),
+            F.count(F.lit(1)).alias("pedidos"),
+            F.sum("receita").cast(REVENUE).alias("receita"),
+            *(F.sum(c).alias(c) for c in sums),
         )
     )
 
 
-def geography_sales(
-    fact: DataFrame, persons: DataFrame, totals: DataFrame | None = None
-) -> DataFrame:
-    """By the state of the person's latest address (not the address of each order).
-
-    ``totals`` may bring the stored ``person_totals`` of the fact.
-    """
+def geography_sales(persons_sold: DataFrame, persons: DataFrame) -> DataFrame:
+    """By the state of the person's latest address (not the address of each order), from
+    ``person_totals``."""
     home = persons.select(F.col("customer_unique_id").alias("cliente_id"), "uf")
     return (
-        (person_totals(fact) if totals is None else totals)
-        .join(home, "cliente_id")
+        persons_sold.join(home, "cliente_id")
         .groupBy("uf")
         .agg(
             F.count(F.lit(1)).alias("clientes_unicos"),

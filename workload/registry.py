@@ -26,12 +26,16 @@ ANY_VOLUME = (1, 10**15)
 NO_VOLUME = (1, 2)
 REPORT_COLUMNS = (
     "pedido_id",
+    "item_id",
     "cliente_id",
     "produto_id",
     "data_compra",
     "cancelado",
     "tempo_entrega_dias",
+    "atraso_dias",
     "receita",
+    "valor_pago",
+    "metodo_pagamento_principal",
     "nota_avaliacao",
 )
 HOT_ORDER_ROWS = 8  # small enough that many orders of the provided tables are split
@@ -97,6 +101,9 @@ class Tables:
         write_table(self.fact().select(*columns), path)
         return self.spark.read.parquet(path)
 
+    def order_totals(self) -> DataFrame:
+        return marts.order_totals(self.fact())
+
     def categories(self, fact: DataFrame | None = None) -> DataFrame:
         return marts.category_performance(
             self.fact() if fact is None else fact, self.products()
@@ -111,7 +118,7 @@ class Tables:
             self.persons(),
             self.geography(),
             self.categories(fact),
-            marts.monthly_sales(fact),
+            marts.monthly_sales(marts.order_totals(fact)),
             fact_volume=volume,
         )
 
@@ -136,7 +143,7 @@ class FaultyTables(Tables):
         return self.geography().withColumn("cep_prefixo", F.coalesce(cut, "cep_prefixo"))
 
     def months(self, fact: DataFrame) -> DataFrame:
-        return marts.monthly_sales(fact).filter("mes <> 5")
+        return marts.monthly_sales(marts.order_totals(fact)).filter("mes <> 5")
 
     def report(self, volume: tuple[int, int] = gate.FACT_VOLUME) -> DataFrame:
         fact = self.stored_fact(*REPORT_COLUMNS)
@@ -230,7 +237,7 @@ def category_total(t: Tables) -> DataFrame:
 
 def monthly_total(t: Tables) -> DataFrame:
     fact = t.fact()
-    monthly = marts.monthly_sales(fact)
+    monthly = marts.monthly_sales(marts.order_totals(fact))
     return quality.reconcile_sum(
         "mart_vendas_mensal_soma_igual_fato", monthly, "receita", marts.sold(fact), "receita"
     )
@@ -368,17 +375,17 @@ QUERIES: dict[str, Query] = {
     "sales_fact": query(lambda t: t.fact()),
     "sales_fact_hot_order": query(lambda t: t.fact(hot_rows=HOT_ORDER_ROWS)),
     # marts
-    "monthly_sales": query(lambda t: marts.monthly_sales(t.fact())),
+    "monthly_sales": query(lambda t: marts.monthly_sales(t.order_totals())),
     "category_performance": query(lambda t: t.categories()),
     "seller_performance": query(lambda t: marts.seller_performance(t.fact(), t.sellers())),
-    "geography_sales": query(lambda t: marts.geography_sales(t.fact(), t.persons())),
+    "geography_sales": query(lambda t: marts.geography_sales(marts.person_totals(t.order_totals()), t.persons())),
     # business metrics
-    "kpi_snapshot": query(lambda t: kpis.kpi_snapshot(t.fact())),
-    "cancellation_rate": query(lambda t: kpis.cancellation_rate(t.fact())),
+    "kpi_snapshot": query(lambda t: kpis.kpi_snapshot(marts.person_totals(t.order_totals()))),
+    "cancellation_rate": query(lambda t: kpis.cancellation_rate(t.order_totals())),
     "cancellation_rate_all_orders": query(
         lambda t: kpis.cancellation_rate(t.silver("pedidos"), "order_id")
     ),
-    "payment_mix_per_order": query(lambda t: kpis.payment_mix(t.fact())),
+    "payment_mix_per_order": query(lambda t: kpis.payment_mix(t.order_totals())),
     "payment_mix_per_item_value": query(
         lambda t: kpis.payment_mix(t.fact(), kpis.PER_ITEM_VALUE)
     ),
