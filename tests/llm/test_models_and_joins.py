@@ -210,18 +210,25 @@ def test_components_equal_the_plain_version(spark):
     assert sorted(i for i in found if i in wordless) == sorted(wordless)
 
 
-def test_bitmaps_never_refuse_a_link():
+def test_tiles_and_bitmaps_never_lose_a_link(spark):
     rng = np.random.default_rng(10)
+    bands, rows = jaccard_tiles.Bands(), []
     for _ in range(300):
-        x = np.unique(rng.integers(0, 2**63, rng.integers(10, 400)).astype(np.uint64))
+        x = np.unique(rng.integers(0, 2**63, rng.integers(10, 400)).astype(np.uint64) * np.uint64(2))
         keep = rng.random(len(x)) > rng.random() * 0.12
         y = np.unique(np.concatenate([x[keep], rng.integers(0, 2**63, rng.integers(0, 12)).astype(np.uint64)]))
         both = len(np.intersect1d(x, y))
-        if both >= jaccard_tiles.needed(len(x), len(y)):
-            assert jaccard_tiles.may_link(len(x), jaccard_tiles.bitmap(x), len(y), jaccard_tiles.bitmap(y))
-            bands = jaccard_tiles.Bands()
-            if len(x) != both or len(y) != both:
-                assert set(jaccard_tiles.signatures(x, bands).tolist()) & set(jaccard_tiles.signatures(y, bands).tolist())
+        if both >= jaccard_tiles.needed(len(x), len(y)) and not both == len(x) == len(y):
+            tiles = [{t: (set(names.tolist()), bits) for t, names, bits in jaccard_tiles.signatures(z, bands)} for z in (x, y)]
+            shared = [t for t in tiles[0] if t in tiles[1] and tiles[0][t][0] & tiles[1][t][0]]
+            assert shared
+            for t in shared:
+                maps = [tile[t][1] for tile in tiles]
+                ones = [sum(int(b).bit_count() if b >= 0 else 64 - int(~b).bit_count() for b in m) for m in maps]
+                rows.append((len(x), ones[0], maps[0].tolist(), len(y), ones[1], maps[1].tolist()))
+    kind = "a_n long, a_ones int, a_bits array<long>, b_n long, b_ones int, b_bits array<long>"
+    table = spark.createDataFrame(rows, kind)
+    assert len(rows) > 100 and table.filter(jaccard_tiles.may_link("a_", "b_")).count() == len(rows)
 
 
 def test_no_documents(spark):

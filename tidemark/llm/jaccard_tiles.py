@@ -14,9 +14,10 @@ and not the other stands for a member that isn't shared, which bounds the overla
 pass are decided exactly on the sorted arrays.
 
 Large buckets. A bucket isn't expanded into its pairs: first each set is compared with the smallest
-member it meets most often, components are formed, and from then on only members of different components
-are compared, with the first member, then the first 8, 64, ... of each bucket that isn't one component
-yet, until none is left open. That settles every pair, by a link, a refusal or a common component.
+member it meets most often, and components are formed. From then on only members of different components
+of a bucket are compared: those outside its largest component with 1, 4 and 16 hash-drawn members of it,
+components being formed anew after each round, and at last all that are still apart. That settles every
+pair, by a link, a refusal or a common component.
 
 Shingles are told apart by 64-bit hashes. Defined cases: null and wordless texts have empty sets and
 link with nothing; null ids take part, and a component's id is its smallest non-null one; equal rows are
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, stored, text_key
@@ -37,8 +38,9 @@ from tidemark.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-LEAST_BITS, MOST_BITS = 64, 1 << 14
-GROWTH = 8
+LEAST_BITS, MOST_BITS = 64, 1 << 12
+#: Members of a bucket's largest component that those outside are compared with, by round.
+HEADS = (1, 4, 16)
 
 _MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD))
 
@@ -100,8 +102,16 @@ class Bands:
         return [(t, p) for t in tiles if (p := self.parts(t)) > 1]
 
 
-def signatures(members: np.ndarray, bands: Bands) -> np.ndarray:
-    """A number for each (tile, part, content of the part); parts are ranges of the sorted hashes."""
+    def width(self, tile: int) -> int:
+        """Bits of the tile's bitmaps: about as many as its sets have members."""
+        return min(MOST_BITS, max(LEAST_BITS, 1 << (self.starts[tile + 1] - 1).bit_length()))
+
+
+def signatures(members: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """By tile: a number for each (tile, part, content of the part), and the tile's bitmap.
+
+    Parts are ranges of the sorted hashes; a content's number is a sum over its members.
+    """
     sums = np.zeros(len(members) + 1, np.uint64)
     np.cumsum(_scrambled(members ^ _MIX[2]), out=sums[1:])
     found = []
@@ -110,37 +120,35 @@ def signatures(members: np.ndarray, bands: Bands) -> np.ndarray:
         cuts = np.concatenate([[0], np.searchsorted(members, edges.astype(np.uint64)), [len(members)]])
         content = sums[cuts[1:]] - sums[cuts[:-1]] + np.diff(cuts).astype(np.uint64)
         place = np.arange(parts, dtype=np.uint64) + np.uint64(tile << 32)
-        found.append(_scrambled(content + _scrambled(place + _MIX[1])))
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+        names = _scrambled(content + _scrambled(place + _MIX[1]))
+        found.append((tile, names.view(np.int64), bitmap(members, bands.width(tile))))
+    return found
 
 
-def bitmap(members: np.ndarray) -> bytes:
-    width = min(MOST_BITS, max(LEAST_BITS, 1 << (len(members) - 1).bit_length()))
+def bitmap(members: np.ndarray, width: int) -> np.ndarray:
+    """``width`` bits of hashed members, 64 in a number."""
     bits = np.zeros(width, np.uint8)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    return np.packbits(bits, bitorder="little").view(np.int64)
 
 
-def may_link(a: int, a_bits: bytes, b: int, b_bits: bytes, percent: int = PERCENT) -> bool:
-    """False if the bitmaps rule out the overlap that is needed. The wider map is folded first."""
-    x, y = int.from_bytes(a_bits, "little"), int.from_bytes(b_bits, "little")
-    p, q = len(a_bits), len(b_bits)
-    while p > q:
-        p //= 2
-        x = (x >> p * 8) | (x & ((1 << p * 8) - 1))
-    while q > p:
-        q //= 2
-        y = (y >> q * 8) | (y & ((1 << q * 8) - 1))
-    both = x & y
-    bound = min(a - (x ^ both).bit_count(), b - (y ^ both).bit_count())
-    return bound >= needed(a, b, percent)
+def may_link(a: str, b: str, percent: int = PERCENT) -> Column:
+    """False if two bitmaps rule out the overlap that is needed; columns ``{a}n``, ``{a}ones``, ..."""
+    shared = F.zip_with(f"{a}bits", f"{b}bits", lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    both = F.aggregate(shared, F.lit(0), lambda total, x: total + x)
+    bound = F.least(*(F.col(f"{s}n") - F.col(f"{s}ones") + both for s in (a, b)))
+    return bound * (100 + percent) >= (F.col(f"{a}n") + F.col(f"{b}n")) * percent
 
 
-SETS = "doc_id string, mark binary, n long, vid long, proof long, bits binary, sigs array<long>"
+SETS = (
+    "doc_id string, mark binary, n long, vid long, proof long,"
+    " tile0 int, sigs0 array<long>, bits0 array<long>, tile1 int, sigs1 array<long>, bits1 array<long>"
+)
+_COLUMNS = [part.split()[0] for part in SETS.split(", ")]
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per document; bitmap and signatures only with the first of equal sets in the task."""
+    """A row per document; bitmaps and signatures only with the first of equal sets in the task."""
     import xxhash
 
     bands, seen = Bands(), set()
@@ -148,22 +156,18 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for start in range(0, len(batch), 500):
             part = batch.iloc[start : start + 500]
             rows = []
-            for text in part["text"]:
+            for doc_id, mark, text in zip(part["doc_id"], part["mark"], part["text"]):
                 members = shingles(text if isinstance(text, str) else None)
                 if not len(members):
-                    rows.append((0, None, None, None, None))
+                    rows.append((doc_id, mark, 0, *[None] * 8))
                     continue
                 digest = xxhash.xxh3_128_digest(members.tobytes())
                 vid, proof = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-                if vid in seen:
-                    rows.append((len(members), vid, proof, None, None))
-                else:
-                    seen.add(vid)
-                    rows.append((len(members), vid, proof, bitmap(members), signatures(members, bands).view(np.int64)))
-            out = pd.DataFrame(rows, columns=["n", "vid", "proof", "bits", "sigs"], dtype=object)
-            out.insert(0, "doc_id", part["doc_id"].to_numpy())
-            out.insert(1, "mark", part["mark"].to_numpy())
-            yield out
+                tiles = [] if vid in seen else signatures(members, bands)
+                seen.add(vid)
+                own, below = [*tiles, *[(None, None, None)] * 2][:2]
+                rows.append((doc_id, mark, len(members), vid, proof, *own, *below))
+            yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -174,6 +178,17 @@ def document_sets(docs: DataFrame) -> DataFrame:
     return stored(sets.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
 
 
+def _by_tile(sets: DataFrame, *columns: str) -> DataFrame:
+    """vid, tile and the tile's columns, of every tile that a set is dealt to."""
+    sides = [
+        sets.filter(f"tile{k} IS NOT NULL").select(
+            "vid", "n", F.col(f"tile{k}").alias("tile"), *(F.col(f"{c}{k}").alias(c) for c in columns)
+        )
+        for k in (0, 1)
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         members = [shingles(t if isinstance(t, str) else None).tobytes() for t in batch["text"]]
@@ -181,12 +196,17 @@ def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Pairs:
-    """Decides pairs of classes, first by bitmaps, then by the sorted arrays."""
+    """What it takes to compare the classes that share a bucket."""
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, wanted: DataFrame, percent: int):
+    def __init__(self, docs: DataFrame, sets: DataFrame, dealt: DataFrame, percent: int):
         self.percent = percent
-        first = sets.filter("bits IS NOT NULL").join(wanted, "vid", "left_semi")
-        self.maps = stored(first.groupBy("vid").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "bitmaps")
+        maps = _by_tile(sets, "bits").join(dealt.select("vid", "tile").distinct(), ["vid", "tile"], "left_semi")
+        ones = F.aggregate("bits", F.lit(0), lambda total, x: total + F.bit_count(x))
+        self.maps = stored(
+            maps.groupBy("vid", "tile").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).withColumn("ones", ones),
+            "bitmaps",
+        )
+        wanted = self.maps.select("vid").distinct()
         one = sets.join(wanted, "vid", "left_semi").groupBy("vid").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
         one = one.select("vid", F.col("d.doc_id").alias("id"), F.col("d.mark").alias("m"))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -197,14 +217,20 @@ class _Pairs:
         # equal rows give one array several times
         self.arrays = stored(arrays.groupBy("vid").agg(F.first("members").alias("members")), "arrays")
 
+    def named(self, side: str) -> DataFrame:
+        return self.maps.select(
+            F.col("vid").alias(side), "tile", *(F.col(c).alias(f"{side}_{c}") for c in ("n", "ones", "bits"))
+        )
+
+    def passing(self, pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b, tile) that the bitmaps don't rule out."""
+        mapped = pairs.join(self.named("a"), ["a", "tile"]).join(self.named("b"), ["b", "tile"])
+        return mapped.filter(may_link("a_", "b_", self.percent)).select("a", "b")
+
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of pairs (a, b) of classes, stored."""
+        """The linked ones of pairs (a, b) of classes, decided on the sorted arrays; stored."""
         percent = self.percent
 
-        @F.pandas_udf("boolean")
-        def pass_bitmaps(a: pd.Series, x: pd.Series, b: pd.Series, y: pd.Series) -> pd.Series:
-            return pd.Series([may_link(*row, percent) for row in zip(a.tolist(), x, b.tolist(), y)], dtype=bool)
-
         @F.pandas_udf("boolean")
         def linked(x: pd.Series, y: pd.Series) -> pd.Series:
             out = []
@@ -214,58 +240,78 @@ class _Pairs:
                 out.append(both >= needed(len(p), len(q), percent))
             return pd.Series(out, dtype=bool)
 
-        def sided(table: DataFrame, side: str) -> DataFrame:
-            return table.select([F.col(c).alias(side if c == "vid" else f"{side}_{c}") for c in table.columns])
+        def sided(side: str) -> DataFrame:
+            return self.arrays.select(F.col("vid").alias(side), F.col("members").alias(f"{side}_members"))
 
-        mapped = pairs.join(sided(self.maps, "a"), "a").join(sided(self.maps, "b"), "b")
-        passed = mapped.filter(pass_bitmaps("a_n", "a_bits", "b_n", "b_bits")).select("a", "b")
-        held = stored(passed, "passed").join(sided(self.arrays, "a"), "a").join(sided(self.arrays, "b"), "b")
+        held = stored(pairs, "passed").join(sided("a"), "a").join(sided("b"), "b")
         return stored(held.filter(linked("a_members", "b_members")).select("a", "b"), "links")
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """sig, vid, rank, low for the buckets of two or more classes, stored."""
-    dealt = sets.filter("sigs IS NOT NULL").select("vid", F.explode("sigs").alias("sig"))
+    """sig, vid, tile, rank, low for the buckets of two or more classes, stored."""
+    dealt = _by_tile(sets, "sigs").select("vid", "tile", F.explode("sigs").alias("sig"))
     group = Window.partitionBy("sig")
     ranked = dealt.select(
         "sig",
         "vid",
+        "tile",
         F.dense_rank().over(group.orderBy("vid")).alias("rank"),
         F.min("vid").over(group).alias("low"),
         F.max("vid").over(group).alias("high"),
     )
-    shared = ranked.filter("low <> high").groupBy("sig", "vid").agg(F.first("rank").alias("rank"), F.first("low").alias("low"))
+    shared = ranked.filter("low <> high").groupBy("sig", "vid").agg(
+        *(F.first(c).alias(c) for c in ("tile", "rank", "low"))
+    )
     return stored(shared, "buckets")
 
 
 def _open(dealt: DataFrame, labels: DataFrame) -> DataFrame:
-    """The buckets that hold more than one component, with each member's component; stored."""
-    named = dealt.drop("comp").join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
-    named = named.select("sig", "vid", "rank", "low", F.coalesce("component", "vid").alias("comp"))
-    ends = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-    return stored(named.join(ends.select("sig"), "sig", "left_semi"), "open")
+    """The buckets that hold more than one component, with each member's component and the bucket's
+    largest one; stored."""
+    named = dealt.drop("comp", "main").join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+    named = named.withColumn("comp", F.coalesce("component", "vid")).drop("component")
+    sizes = named.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k"))
+    mixed = sizes.groupBy("sig").agg(
+        F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")
+    )
+    return stored(named.join(mixed.filter("comps > 1").select("sig", "main"), "sig"), "open")
+
+
+def _sides(members: DataFrame, side: str, *more: str) -> DataFrame:
+    """Members of buckets as one side of a comparison."""
+    return members.select(
+        "sig", *(F.col(c).alias(f"{side}_{c}") for c in ("vid", "n", "ones", "bits", *more))
+    )
 
 
 def class_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(a, b: links that connect the classes; vertex, component of every linked class)."""
     dealt = buckets(sets)
-    pairs = _Pairs(docs, sets, dealt.select("vid").distinct(), percent)
-    met = dealt.filter("vid <> low").groupBy("vid", "low").agg(F.count(F.lit(1)).alias("times"))
-    centres = met.groupBy("vid").agg(F.max(F.struct("times", "low"))["low"].alias("b"))
-    links = pairs.links(centres.select(F.col("vid").alias("a"), "b"))
+    pairs = _Pairs(docs, sets, dealt, percent)
+    met = dealt.filter("vid <> low").groupBy("vid", "low", "tile").agg(F.count(F.lit(1)).alias("times"))
+    centres = met.groupBy("vid").agg(F.max(F.struct("times", "low", "tile")).alias("c"))
+    links = pairs.links(pairs.passing(centres.select(F.col("vid").alias("a"), F.col("c.low").alias("b"), "c.tile")))
     labels = components(links)
-    left, done, reach = _open(dealt, labels), 0, 1
-    while (last := left.agg(F.max("rank")).first()[0]) and done < last:
-        heads = left.filter((F.col("rank") > done) & (F.col("rank") <= reach)).select(
-            "sig", F.col("vid").alias("b"), F.col("rank").alias("at"), F.col("comp").alias("of")
-        )
-        tried = left.join(heads, "sig").filter("rank > at AND comp <> of")
-        found = pairs.links(tried.select(F.least("vid", "b").alias("a"), F.greatest("vid", "b").alias("b")).distinct())
+    left = _open(dealt.join(pairs.maps, ["vid", "tile"]), labels)
+    apart = may_link("a_", "b_", percent)
+    for heads in (*HEADS, None):
+        if left.isEmpty():
+            break
+        if heads is None:
+            some = _sides(left, "b", "rank", "comp")
+            apart = apart & (F.col("a_rank") > F.col("b_rank")) & (F.col("a_comp") != F.col("b_comp"))
+            tried = _sides(left, "a", "rank", "comp").join(some, "sig")
+        else:
+            drawn = Window.partitionBy("sig").orderBy(F.xxhash64("vid", "sig"), "vid")
+            main = left.filter("comp = main").withColumn("k", F.row_number().over(drawn))
+            tried = _sides(left.filter("comp <> main"), "a").join(_sides(main.filter(F.col("k") <= heads), "b"), "sig")
+        passed = tried.filter(apart).select(F.least("a_vid", "b_vid").alias("a"), F.greatest("a_vid", "b_vid").alias("b"))
+        found = pairs.links(passed.distinct())
         if not found.isEmpty():
             links = stored(links.unionByName(found), "links")
             labels = components(links)
-            left = _open(left, labels)
-        done, reach = reach, reach * GROWTH
+            if heads is not None:
+                left = _open(left, labels)
     return links, labels
 
 
@@ -274,9 +320,10 @@ def all_links(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     are tried. ``document_sets`` has the classes of the documents."""
     sets = document_sets(docs)
     dealt = buckets(sets)
-    pairs = _Pairs(docs, sets, dealt.select("vid").distinct(), percent)
-    heads = dealt.select("sig", F.col("vid").alias("a"))
-    return pairs.links(dealt.join(heads, "sig").filter("a < vid").select("a", F.col("vid").alias("b")).distinct())
+    pairs = _Pairs(docs, sets, dealt, percent)
+    members = dealt.join(pairs.maps, ["vid", "tile"])
+    both = _sides(members, "a").join(_sides(members, "b"), "sig").filter(may_link("a_", "b_", percent))
+    return pairs.links(both.filter("a_vid < b_vid").select(F.col("a_vid").alias("a"), F.col("b_vid").alias("b")).distinct())
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
