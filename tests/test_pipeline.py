@@ -1,6 +1,8 @@
 """The full refresh on the hand-written landing folder."""
 
 import datetime
+import json
+import threading
 from decimal import Decimal
 
 import pytest
@@ -10,8 +12,10 @@ from tests.landing_data import ROWS, write_landing
 from tidemark.operators.expectations import ExpectationError
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans import kpis
-from tidemark.plans.pipeline import refresh
+from tidemark.plans.pipeline import Run, expire_runs, published, refresh, repair, switch
+from tidemark.schemas import manifest
 from tidemark.sources.landing import ArrivalError
+from tidemark.sources.tables import write_text
 
 VOLUME = (1, 100)
 AS_OF = datetime.date(2017, 3, 1)
@@ -144,7 +148,7 @@ def failing(spark, folder, error, match, volume=VOLUME, **changed):
 
 
 def test_each_fault_stops_the_run(spark, run, tmp_path):
-    before = spark.sql("DESCRIBE EXTENDED gold.fato_vendas").filter("col_name = 'Location'").first()
+    before = shown(spark, "gold.fato_vendas")
     orders, items = ROWS["orders"], ROWS["order_items"]
     failing(spark, tmp_path / "a", ArrivalError, "empty", sellers=[])
     failing(
@@ -185,5 +189,101 @@ def test_each_fault_stops_the_run(spark, run, tmp_path):
         "falharam: chave_unica_fato_vendas$",
         order_items=[*items, items[0]],
     )
-    after = spark.sql("DESCRIBE EXTENDED gold.fato_vendas").filter("col_name = 'Location'").first()
-    assert before == after  # readers still see the last good run
+    assert before == shown(spark, "gold.fato_vendas")  # readers still see the last good run
+
+
+def shown(spark, name):
+    """The text behind a published name."""
+    return spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'View Text'").first()["data_type"]
+
+
+@pytest.fixture(scope="module")
+def second(spark, run, tmp_path_factory):
+    """Another run of the same lake, not published yet."""
+    landing = write_landing(tmp_path_factory.mktemp("again") / "landing", sellers=[*ROWS["sellers"], ("s3", "1", "x", "SP")])
+    again = Run(spark, run.root)
+    again.bronze(landing, manifest())
+    again.silver()
+    again.gold()
+    again.test(VOLUME)
+    return again
+
+
+def test_metrics_are_views_over_the_published_tables(spark, run):
+    assert "gold.pessoa_totais" in shown(spark, "gold.vw_metricas_gerais")
+    assert "gold.pedido_totais" in shown(spark, "gold.vw_taxa_cancelamento")
+    assert "gold.fato_vendas" in shown(spark, "gold.vw_metodo_pagamento")
+    assert "gold.mart_categoria_performance" in shown(spark, "gold.vw_top10_categorias")
+
+
+def test_a_failed_switch_goes_back(spark, run, second, monkeypatch):
+    real, calls = spark.sql, []
+
+    def failing_sql(text, *args, **kwargs):
+        if text.startswith("CREATE OR REPLACE VIEW gold.mart") and second.run_id in text:
+            raise RuntimeError("catalog lost")
+        calls.append(text)
+        return real(text, *args, **kwargs)
+
+    monkeypatch.setattr(spark, "sql", failing_sql, raising=False)
+    with pytest.raises(RuntimeError, match="catalog lost"):
+        second.publish()
+    monkeypatch.undo()
+    assert any(second.run_id in c for c in calls)
+    names = [s.split()[4] for s in run.statements()]
+    assert not any(second.run_id in shown(spark, n) for n in names)
+    assert published(spark, run.root) == run.run_id
+
+
+def test_a_lost_switch_is_completed_and_readers_never_miss_a_name(spark, run, second):
+    missing, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                spark.sql("SELECT count(*) FROM silver.vendedores").first()
+            except Exception as error:  # noqa: BLE001
+                missing.append(str(error))
+
+    statements = second.statements()
+    write_text(spark, f"{second.path('')}names.json", json.dumps(statements))
+    write_text(spark, f"{run.root}/published.json", json.dumps({"run": run.run_id, "next": second.run_id}))
+    reader = threading.Thread(target=read, daemon=True)
+    reader.start()
+    try:
+        switch(spark, statements[:5])
+        assert repair(spark, run.root) == second.run_id
+        for _ in range(2):
+            run.publish()
+            second.publish()
+    finally:
+        stop.set()
+        reader.join(60)
+    assert missing == []
+    assert spark.table("silver.vendedores").count() == 3
+    assert published(spark, run.root) == second.run_id
+    run.publish()
+    assert spark.table("silver.vendedores").count() == 2
+
+
+def test_expired_runs_go_but_never_the_published_one(spark, run, second):
+    third = Run(spark, run.root)
+    third.write("silver.x", spark.range(1))
+    assert published(spark, run.root) == run.run_id
+    gone = expire_runs(spark, run.root, keep=1)
+    assert second.run_id in gone and run.run_id not in gone and third.run_id not in gone
+    assert spark.table("gold.fato_vendas").count() == len(ROWS["order_items"])
+
+
+def test_quarantine(spark, tmp_path):
+    items = [*ROWS["order_items"], ("o5", "2", "k1", "s1", "", "free", "1.00"), ("o5", "3", "k1", "s1", "", "1.00", "")]
+    landing = write_landing(tmp_path / "landing", order_items=items)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|free"):
+        refresh(spark, landing, str(tmp_path / "lake"), fact_volume=VOLUME)
+    run = Run(spark, str(tmp_path / "lake"))
+    run.bronze(landing, manifest())
+    run.silver("quarantine")
+    aside = run.read("quarantine.order_items").collect()
+    assert sorted((r["order_item_id"], r["price"]) for r in aside) == [("2", "free")]
+    assert run.rows["silver.itens_pedido"] + len(aside) == run.rows["bronze.order_items"] == len(items)
+    assert run.rows["quarantine.order_payments"] == 0

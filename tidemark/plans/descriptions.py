@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 BRONZE = "Raw copy of {file}: every column as text, nothing cleaned."
+QUARANTINE = "Rows of {table} whose amounts can't be read, as they came."
 LOG = "Arrival log: size and record count of every landed file, per run."
 
 TABLES: dict[str, str] = {
@@ -20,6 +21,8 @@ TABLES: dict[str, str] = {
     "gold.dim_geografia": "One row per zip prefix.",
     "gold.dim_calendario": "One row per day between the first and last purchase.",
     "gold.fato_vendas": "Sales at item grain; payment and review values are the order's.",
+    "gold.pedido_totais": "One row per order of the fact: its values and the sums over its items.",
+    "gold.pessoa_totais": "One row per person: the sums over their orders, cancelled left out.",
     "gold.mart_vendas_mensal": "Revenue, orders and ticket per month, cancelled orders left out.",
     "gold.mart_categoria_performance": "Revenue and volume per category, cancelled left out.",
     "gold.mart_vendedor_performance": "Revenue, volume and lateness per seller, cancelled left out.",

@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.audit import stamped, with_comments
 from tidemark.operators.quality import quality_gate
 from tidemark.plans import descriptions, gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import tune
-from tidemark.sources.bronze import ingest_all_string, reconcile_counts, require_reconciled
+from tidemark.sources.bronze import (
+    ReconciliationError,
+    ingest_all_string,
+    reconcile_counts,
+    require_reconciled,
+)
 from tidemark.sources.landing import append_arrival_log, arrival_check, read_modes
-from tidemark.sources.tables import register, write_table
+from tidemark.sources.tables import (
+    delete_folder,
+    folders_in,
+    name_over_files,
+    name_over_query,
+    read_text,
+    write_table,
+    write_text,
+)
+
+# Columns whose text must be an amount, and the silver table that is made of them.
+AMOUNTS = {
+    "order_items": ("itens_pedido", ("price", "freight_value")),
+    "order_payments": ("pagamentos", ("payment_value",)),
+}
+ON_BAD = ("abort", "quarantine")
 
 CONCURRENT_WRITES = 4  # independent tables share the cluster instead of queueing
 
@@ -70,12 +93,31 @@ class Run:
         )
         require_reconciled(reconcile_counts(self.spark.read.parquet(self.log_path), counts))
 
-    def silver(self) -> None:
+    def silver(self, on_bad: str = "abort") -> None:
+        """Clean every table. Unreadable amounts abort the load or, with ``quarantine``, their rows
+        are set aside in a table of their own; no row may get lost between the two."""
         raw = {table: self.read(f"bronze.{table}") for table in manifest()}
+        if on_bad == "quarantine":
+            for table, (_, columns) in AMOUNTS.items():
+                raw[table] = self.set_aside(table, raw[table], columns)
         side_by_side(
             lambda name: self.write(f"silver.{name}", silver.silver_table(name, raw)),
             silver.TABLES,
         )
+        for table, (name, _) in AMOUNTS.items():
+            kept, aside = self.rows[f"silver.{name}"], self.rows.get(f"quarantine.{table}", 0)
+            if kept + aside != self.rows[f"bronze.{table}"]:
+                raise ReconciliationError(f"rows of {table} got lost: {kept} kept, {aside} set aside")
+
+    def set_aside(self, table: str, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        readable = reduce(
+            Column.__and__,
+            (F.col(c).isNull() | F.col(c).try_cast("decimal(18,2)").isNotNull() for c in columns),
+        )
+        name = f"quarantine.{table}"
+        self.write(name, rows.filter(~readable))
+        self.comments[name] = descriptions.QUARANTINE.format(table=table)
+        return rows.filter(readable)
 
     def gold(self, as_of: Column | None = None) -> None:
         """Dimensions and fact read only silver; marts and metrics read only gold."""
@@ -102,11 +144,11 @@ class Run:
         side_by_side(lambda name: self.write(f"gold.{name}", build[name]()), build)
 
         fact = self.read("gold.fato_vendas")
-        # shared by two reports, and far smaller than the fact; not published
-        self.write("gold.pessoa_totais", marts.person_totals(fact))
-        totals = self.read("gold.pessoa_totais")
+        self.write("gold.pedido_totais", marts.order_totals(fact))
+        orders = self.read("gold.pedido_totais")
+        self.write("gold.pessoa_totais", marts.person_totals(orders))
         reports = {
-            "mart_vendas_mensal": lambda: marts.monthly_sales(fact),
+            "mart_vendas_mensal": lambda: marts.monthly_sales(orders),
             "mart_categoria_performance": lambda: marts.category_performance(
                 fact, self.read("gold.dim_produto")
             ),
@@ -114,16 +156,10 @@ class Run:
                 fact, self.read("gold.dim_vendedor")
             ),
             "mart_geografia": lambda: marts.geography_sales(
-                fact, self.read("gold.dim_cliente"), totals
+                self.read("gold.pessoa_totais"), self.read("gold.dim_cliente")
             ),
-            "vw_metricas_gerais": lambda: kpis.kpi_snapshot(fact, totals),
-            "vw_taxa_cancelamento": lambda: kpis.cancellation_rate(fact),
-            "vw_metodo_pagamento": lambda: kpis.payment_mix(fact, kpis.PER_ITEM_VALUE),
-            "vw_metodo_pagamento_por_pedido": lambda: kpis.payment_mix(fact),
         }
         side_by_side(lambda name: self.write(f"gold.{name}", reports[name]()), reports)
-        categories = self.read("gold.mart_categoria_performance")
-        self.write("gold.vw_top10_categorias", kpis.top_categories(categories))
 
     def test(self, fact_volume: tuple[int, int] = gate.FACT_VOLUME) -> DataFrame:
         """Compute the report once, keep it, and stop the run if any test failed."""
@@ -137,6 +173,7 @@ class Run:
             self.read(g + "mart_categoria_performance"),
             self.read(g + "mart_vendas_mensal"),
             fact_volume,
+            totals=self.read(g + "pedido_totais"),
         )
         keys = gate.key_report(
             {
@@ -146,8 +183,8 @@ class Run:
                 "dim_produto": (self.read(g + "dim_produto"), ("product_id",)),
                 "dim_vendedor": (self.read(g + "dim_vendedor"), ("seller_id",)),
                 "dim_geografia": (self.read(g + "dim_geografia"), ("cep_prefixo",)),
-                "fato_vendas": (self.read(g + "fato_vendas"), ("pedido_id", "item_id")),
-            }
+            },
+            totals=self.read(g + "pedido_totais"),
         )
         self.write("gold.relatorio_testes", report.unionByName(keys))
         kept = self.read("gold.relatorio_testes").orderBy("teste")
@@ -155,11 +192,84 @@ class Run:
         quality_gate(kept)
         return kept
 
+    def statements(self) -> list[str]:
+        """One statement per published name; each replaces its name in one step."""
+        views = [f"gold.{name}" for name in kpis.VIEWS]
+        names = {n: c for n, c in self.comments.items() if n not in views}
+        found = [name_over_files(self.spark, self.path(n), n, c) for n, c in names.items()]
+        found.append(
+            name_over_files(self.spark, self.log_path, "bronze._raw_arquivos", descriptions.LOG)
+        )
+        for view in views:
+            text, source = kpis.VIEWS[view.removeprefix("gold.")]
+            query = text.replace("{rows}", f"gold.{source}")
+            found.append(name_over_query(query, view, self.comments[view]))
+        return found
+
     def publish(self) -> None:
-        """Point every table name to this run's files."""
-        for name, comment in self.comments.items():
-            register(self.spark, name, self.path(name), comment)
-        register(self.spark, "bronze._raw_arquivos", self.log_path, descriptions.LOG)
+        """Point every name to this run.
+
+        The run's statements are kept with it and the switch is noted first, so that a failure half
+        way goes back to the run before, and a lost driver's switch can be completed by ``repair``.
+        """
+        statements = self.statements()
+        write_text(self.spark, f"{self.path('')}names.json", json.dumps(statements))
+        for schema in sorted({name.split(".")[0] for name in self.comments}):
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        before = published(self.spark, self.root)
+        write_text(self.spark, f"{self.root}/{STATE}", json.dumps({"run": before, "next": self.run_id}))
+        try:
+            switch(self.spark, statements)
+        except Exception:
+            if before:
+                switch(self.spark, names_of(self.spark, self.root, before))
+                write_text(self.spark, f"{self.root}/{STATE}", json.dumps({"run": before}))
+            raise
+        write_text(self.spark, f"{self.root}/{STATE}", json.dumps({"run": self.run_id}))
+
+
+STATE = "published.json"
+
+
+def switch(spark: SparkSession, statements: list[str]) -> None:
+    for statement in statements:
+        name = statement.split()[4]
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # published as a table by an earlier version
+        spark.sql(statement)
+
+
+def names_of(spark: SparkSession, root: str, run_id: str) -> list[str]:
+    return json.loads(read_text(spark, f"{root}/runs/{run_id}/names.json"))
+
+
+def published(spark: SparkSession, root: str) -> str | None:
+    """The run that all names show."""
+    state = read_text(spark, f"{root.rstrip('/')}/{STATE}")
+    return json.loads(state)["run"] if state else None
+
+
+def repair(spark: SparkSession, root: str) -> str | None:
+    """Complete a switch whose driver was lost; its run had passed every test. The run shown."""
+    root = root.rstrip("/")
+    state = json.loads(read_text(spark, f"{root}/{STATE}") or "{}")
+    if run_id := state.get("next"):
+        switch(spark, names_of(spark, root, run_id))
+        write_text(spark, f"{root}/{STATE}", json.dumps({"run": run_id}))
+        return run_id
+    return state.get("run")
+
+
+def expire_runs(spark: SparkSession, root: str, keep: int = 7) -> list[str]:
+    """Delete all but the newest runs; the published one, and one being published, always stay."""
+    root = root.rstrip("/")
+    state = json.loads(read_text(spark, f"{root}/{STATE}") or "{}")
+    runs = folders_in(spark, f"{root}/runs")
+    staying = {*runs[max(0, len(runs) - max(keep, 1)) :], state.get("run"), state.get("next")}
+    gone = [run for run in runs if run not in staying]
+    for run in gone:
+        delete_folder(spark, f"{root}/runs/{run}")
+    return gone
 
 
 def refresh(
@@ -170,11 +280,14 @@ def refresh(
     fact_volume: tuple[int, int] = gate.FACT_VOLUME,
     as_of: Column | None = None,
     run_id: str | None = None,
+    on_bad: str = "abort",
 ) -> Run:
     """Do all of it; nothing is published unless every count, constraint and test holds."""
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad is one of {ON_BAD}, not {on_bad!r}")
     run = Run(spark, root, run_id)
     run.bronze(landing, expected or manifest())
-    run.silver()
+    run.silver(on_bad)
     run.gold(as_of)
     run.test(fact_volume)
     run.publish()

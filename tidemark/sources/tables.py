@@ -25,9 +25,56 @@ def write_table(df: DataFrame, path: str, expectations: Sequence[Expectation] =
     return rows
 
 
-def register(spark: SparkSession, name: str, path: str, comment: str = "") -> None:
-    """(Re)point the external table ``schema.table`` to ``path``; the old files stay."""
-    schema, _ = name.split(".")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet", description=comment)
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name_over_files(spark: SparkSession, path: str, name: str, comment: str = "") -> str:
+    """The statement that makes ``schema.table`` show the files at ``path``.
+
+    The name is a view over the files, so one statement replaces it and readers always find it.
+    """
+    columns = ", ".join(
+        f"`{field.name}`" + (f" COMMENT {quoted(note)}" if (note := field.metadata.get("comment")) else "")
+        for field in spark.read.parquet(path).schema.fields
+    )
+    return (
+        f"CREATE OR REPLACE VIEW {name} ({columns}) COMMENT {quoted(comment)} "
+        f"AS SELECT * FROM parquet.`{path}`"
+    )
+
+
+def name_over_query(query: str, name: str, comment: str = "") -> str:
+    return f"CREATE OR REPLACE VIEW {name} COMMENT {quoted(comment)} AS {query}"
+
+
+def _file(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file."""
+    files, jpath = _file(spark, path)
+    out = files.create(jpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    files, jpath = _file(spark, path)
+    if not files.exists(jpath):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    files, jpath = _file(spark, path)
+    if not files.exists(jpath):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(jpath) if f.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, jpath = _file(spark, path)
+    files.delete(jpath, True)
