@@ -135,5 +135,65 @@ WITH drawn AS (
 SELECT doc_id, size, r.source_size, r.target,
        (size * (floor(rate) + ((draw + shift) - floor(draw + shift) < rate - floor(rate))::INT))::BIGINT AS taken
 FROM rated r JOIN best b ON r.source IS NOT DISTINCT FROM b.source
+""",
+    "op2_phrase_automata": r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), words AS (
+    SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos, len(w) AS n FROM docs
+), windows AS (
+    SELECT r, pos, word, n,
+           md5(array_to_string(list(word) OVER (PARTITION BY r ORDER BY pos
+               ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING), ' ')) AS name
+    FROM words
+), judged AS (
+    SELECT r, pos, word, pos <= n - 35 AND count(*) FILTER (pos <= n - 35) OVER (PARTITION BY name, pos <= n - 35) > 1 AS again
+    FROM windows
+), covered AS (
+    SELECT r, pos, word,
+           bool_or(again) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM judged
+), kept AS (
+    SELECT r, count(*) FILTER (gone) AS n_removed,
+           string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS text
+    FROM covered GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+""",
+    "op10_jaccard_tiles": r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), words AS (
+    SELECT r, unnest(w) AS a, unnest(range(len(w))) AS pos, len(w) AS n FROM docs
+), runs AS (
+    SELECT r, pos, n, a, lead(a) OVER doc AS b, lead(a, 2) OVER doc AS c
+    FROM words WINDOW doc AS (PARTITION BY r ORDER BY pos)
+), shingles AS (
+    SELECT DISTINCT r, concat_ws(' ', a, b, c) AS shingle FROM runs WHERE pos <= greatest(n - 3, 0)
+), sizes AS (
+    SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+    SELECT x.r AS a, y.r AS b
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.r <> y.r
+    JOIN sizes p ON p.r = x.r JOIN sizes q ON q.r = y.r
+    WHERE 100 * least(p.n, q.n) >= 90 * greatest(p.n, q.n)
+    GROUP BY x.r, y.r, p.n, q.n
+    HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))
+), reached AS (
+    SELECT r AS a, r AS b FROM docs
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), smallest AS (
+    SELECT reached.a, min(docs.doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.b GROUP BY 1
+)
+SELECT doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id
+FROM docs JOIN smallest ON smallest.a = docs.r LEFT JOIN sizes ON sizes.r = docs.r
 """,
 }

@@ -13,7 +13,7 @@ class and ``WINDOWS`` windows of either kind, picked by hash; class frequencies
 labelled rows. Scoring streams every whole text; memory is bounded by one batch.
 
 Defined cases: null and empty texts score like texts without words; null labels and labels without a
-document are left out; a document labelled more than once counts as toxic if any label says so; with
+document are left out, and a null id isn't held out; a document labelled more than once counts as toxic if any label says so; with
 no labels of one class every score is the share of toxic labels (0 with no labels at all).
 """
 
@@ -425,7 +425,7 @@ def score_table(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
     scored = scorer(fit(docs, labels))
     return docs.select("doc_id", scored("text").alias("s")).select(
         "doc_id",
-        (~may_learn()).alias("held_out"),
+        F.coalesce(~may_learn(), F.lit(False)).alias("held_out"),
         F.col("s.score").alias("score"),
         (F.col("s.score") >= threshold).cast("int").alias("predicted"),
         F.col("s.spans").alias("spans"),
