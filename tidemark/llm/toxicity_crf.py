@@ -4,17 +4,18 @@ Only documents carry labels, so words are labelled first: a word is toxic where
 document and, over the sampled labelled documents, it occurs in many toxic and next to no clean ones
 and among ever new neighbours (copies of one document repeat their neighbours). A chain with two tags
 is then trained on windows of labelled words by its exact likelihood; features are the word and its
-beginnings of four to six letters. Forward-backward marginals give the probability that a word is offending; a
-logistic curve over the largest marginal and the expected number of offending words, fitted to the
-documents' labels, gives the score.
+beginnings of four to six letters. Forward-backward marginals give the probability that a word is
+offending; a logistic curve over the largest marginal and the expected number of offending words,
+fitted to the documents' labels, gives the score.
 
 Inputs of a score are words only. Learning uses at most ``SAMPLE_DOCS`` labelled documents of either
 class and ``WINDOWS`` windows of either kind, picked by hash; class frequencies are counted over all
 labelled rows. Scoring streams every whole text; memory is bounded by one batch.
 
 Defined cases: null and empty texts score like texts without words; null labels and labels without a
-document are left out, and a null id isn't held out; a document labelled more than once counts as toxic if any label says so; with
-no labels of one class every score is the share of toxic labels (0 with no labels at all).
+document are left out, and a null id isn't held out; a document labelled more than once counts as
+toxic if any label says so; with no labels of one class every score is the share of toxic labels (0
+with no labels at all).
 """
 
 from __future__ import annotations
@@ -301,11 +302,17 @@ def may_learn(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % 4 != 2
 
 
-def _sample(rows: DataFrame) -> DataFrame:
-    """At most ``SAMPLE_DOCS`` of either class, by hash."""
-    parts = [
-        rows.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS) for y in (0, 1)
-    ]
+def _sample(rows: DataFrame, counted: dict[int, int]) -> DataFrame:
+    """At most ``SAMPLE_DOCS`` of either class, those with the smallest hashes.
+
+    Twice as many are expected below the first cut, so that no task sorts more than that.
+    """
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    parts = []
+    for y in (0, 1):
+        cut = int(min(1.0, 2 * SAMPLE_DOCS / max(1, counted.get(y, 0))) * (1 << 30))
+        picked = rows.filter((F.col("toxic") == y) & (draw < cut))
+        parts.append(picked.orderBy(draw, "doc_id").limit(SAMPLE_DOCS))
     return parts[0].unionByName(parts[1])
 
 
@@ -381,7 +388,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     none = Model({}, 0.0, np.array([0.5, 0.5]), np.full((2, 2), 0.5), np.zeros(3))
     marks = labels.filter(may_learn()).filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
     counted = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
-    ids = _sample(marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    ids = _sample(marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), counted)
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "tox-sample")
     classes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not classes.get(1) or not classes.get(0):
