@@ -369,7 +369,28 @@ RAW_ROWS = {
     "product_category_translation": "r_translation",
 }
 
+GOLD_ROWS = {
+    "dim_cliente": "count(*) FROM dim_cliente",
+    "dim_produto": "count(*) FROM produtos",
+    "dim_vendedor": "count(*) FROM vendedores",
+    "dim_geografia": "count(*) FROM geolocalizacao",
+    "dim_calendario": "datediff('day', min(data_compra), max(data_compra)) + 1 FROM pedidos",
+    "fato_vendas": "count(*) FROM fato",
+    "pedido_totais": "count(DISTINCT pedido_id) FROM fato",
+    "pessoa_totais": "count(DISTINCT cliente_id) FROM valido",
+    "mart_vendas_mensal": "count(*) FROM m_mensal",
+    "mart_categoria_performance": "count(*) FROM m_categoria",
+    "mart_vendedor_performance": "count(DISTINCT vendedor_id) FROM valido",
+    "mart_geografia": """count(DISTINCT d.uf) FROM valido
+        JOIN dim_cliente d ON d.customer_unique_id = cliente_id""",
+}
+
 STATEMENTS: dict[str, str] = {
+    "refresh_tables": " UNION ALL ".join(
+        [f"SELECT 'bronze.{name}' AS tabela, count(*) AS linhas FROM {source}" for name, source in RAW_ROWS.items()]
+        + [f"SELECT 'silver.{name}', count(*) FROM {cte}" for name, (_, cte) in SOURCES.items()]
+        + [f"SELECT 'gold.{name}', {rows}" for name, rows in GOLD_ROWS.items()]
+    ),
     "arrival_check": " UNION ALL ".join(
         f"SELECT '{name}' AS tabela, '{name}.csv' AS arquivo, count(*) AS linhas FROM {source}"
         for name, source in RAW_ROWS.items()

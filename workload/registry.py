@@ -13,6 +13,7 @@ from tidemark.operators import quality
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.expectations import Expectation, enforce, unparseable, violations
 from tidemark.plans import gate, gold, kpis, marts, silver
+from tidemark.plans.pipeline import Run
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import shared_folder, tune
 from tidemark.sources.bronze import ingest_all_string, reconcile_counts
@@ -348,6 +349,16 @@ def bronze_reconciliation(t: Tables) -> DataFrame:
     return reconcile_counts(t.spark.read.parquet(log), counted)
 
 
+def refreshed(t: Tables) -> DataFrame:
+    """Rows of every table that a refresh writes, from CSV files to marts."""
+    landing = land(t)
+    run = Run(t.spark, f"{landing.removesuffix('/landing')}/lake")
+    run.bronze(landing, manifest())
+    run.silver()
+    run.gold(F.lit(AS_OF).cast("date"))
+    return t.spark.createDataFrame(sorted(run.rows.items()), "tabela string, linhas long")
+
+
 QUERIES: dict[str, Query] = {
     # landing and bronze
     "arrival_check": query(arrivals),
@@ -355,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest_stitched": query(lambda t: bronze_texts(t, STITCHED)),
     "bronze_ingest_lines": query(lambda t: bronze_texts(t, LINES, line_breaks=False)),
     "bronze_reconciliation": query(bronze_reconciliation),
+    "refresh_tables": query(refreshed),
     # silver
     "clean_customers": query(lambda t: t.silver("clientes")),
     "clean_orders": query(lambda t: t.silver("pedidos")),
