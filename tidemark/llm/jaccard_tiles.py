@@ -9,8 +9,8 @@ at most d shingles, d being fixed by the band. Cut by hash value in d + 1 parts,
 least one part, so a tile is dealt to buckets by (part, content of the part), and only sets of one bucket
 are compared. This loses no link.
 
-Comparison. Every set has a bitmap of hashed shingles, about as many bits as members; a bit set in one
-and not the other stands for a member that isn't shared, which bounds the overlap from above. Pairs that
+Comparison. Every set has a bitmap of hashed shingles, a few bits for each member; a bit set in one and
+not the other stands for a member that isn't shared, which bounds the overlap from above. Pairs that
 pass are decided exactly on the sorted arrays.
 
 Large buckets. A bucket isn't expanded into its pairs: first each set is compared with the smallest
@@ -38,7 +38,7 @@ from tidemark.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-LEAST_BITS, MOST_BITS = 64, 1 << 12
+LEAST_BITS, MOST_BITS = 64, 1 << 14
 #: Members of a bucket's largest component that those outside are compared with, by round.
 HEADS = (1, 4, 16)
 
@@ -103,8 +103,9 @@ class Bands:
 
 
     def width(self, tile: int) -> int:
-        """Bits of the tile's bitmaps: about as many as its sets have members."""
-        return min(MOST_BITS, max(LEAST_BITS, 1 << (self.starts[tile + 1] - 1).bit_length()))
+        """Bits of the tile's bitmaps: four to eight for each member, so that most of the members that
+        two sets don't share show."""
+        return min(MOST_BITS, max(LEAST_BITS, 4 << (self.starts[tile + 1] - 1).bit_length()))
 
 
 def signatures(members: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray, np.ndarray]]:
