@@ -9,9 +9,9 @@ at most d shingles, d being fixed by the band. Cut by hash value in d + 1 parts,
 least one part, so a tile is dealt to buckets by (part, content of the part), and only sets of one bucket
 are compared. This loses no link.
 
-Comparison. Every set has a bitmap of hashed shingles, a few bits for each member; a bit set in one and
-not the other stands for a member that isn't shared, which bounds the overlap from above. Pairs that
-pass are decided exactly on the sorted arrays.
+Comparison. Every set has a bitmap of hashed shingles; a bit set in one and not the other stands for a
+member that isn't shared, which bounds the overlap from above. Pairs that pass are decided exactly on the
+sorted arrays. Bitmaps have a bit or two for each member, and four times as many in the last round.
 
 Large buckets. A bucket isn't expanded into its pairs: first each set is compared with the smallest
 member it meets most often, and components are formed. From then on only members of different components
@@ -39,6 +39,8 @@ from tidemark.llm.components import components
 WORDS = 3
 PERCENT = 90
 LEAST_BITS, MOST_BITS = 64, 1 << 14
+#: Bits for each member in the bitmaps of the last round.
+WIDE = 4
 #: Members of a bucket's largest component that those outside are compared with, by round.
 HEADS = (1, 4, 16)
 
@@ -102,10 +104,9 @@ class Bands:
         return [(t, p) for t in tiles if (p := self.parts(t)) > 1]
 
 
-    def width(self, tile: int) -> int:
-        """Bits of the tile's bitmaps: four to eight for each member, so that most of the members that
-        two sets don't share show."""
-        return min(MOST_BITS, max(LEAST_BITS, 4 << (self.starts[tile + 1] - 1).bit_length()))
+    def width(self, tile: int, per_member: int = 1) -> int:
+        """Bits of the tile's bitmaps: ``per_member`` to twice as many for each member."""
+        return min(MOST_BITS, max(LEAST_BITS, per_member << (self.starts[tile + 1] - 1).bit_length()))
 
 
 def signatures(members: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -190,6 +191,19 @@ def _by_tile(sets: DataFrame, *columns: str) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def _wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The wide bitmaps of sets, by tile."""
+    bands = Bands()
+    for batch in batches:
+        rows = []
+        for vid, raw in zip(batch["vid"], batch["members"]):
+            members = np.frombuffer(raw, np.uint64)
+            for tile, _ in bands.tiles(len(members)):
+                bits = bitmap(members, bands.width(tile, WIDE))
+                rows.append((vid, tile, bits, int.from_bytes(bits.tobytes(), "little").bit_count()))
+        yield pd.DataFrame(rows, columns=["vid", "tile", "bits", "ones"])
+
+
 def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         members = [shingles(t if isinstance(t, str) else None).tobytes() for t in batch["text"]]
@@ -228,6 +242,12 @@ class _Pairs:
         mapped = pairs.join(self.named("a"), ["a", "tile"]).join(self.named("b"), ["b", "tile"])
         return mapped.filter(may_link("a_", "b_", self.percent)).select("a", "b")
 
+    def widened(self, members: DataFrame) -> DataFrame:
+        """Members of buckets with wide bitmaps in place of the narrow ones."""
+        named = self.arrays.join(members.select("vid").distinct(), "vid", "left_semi").select("vid", "members")
+        wide = stored(named.mapInPandas(_wide, "vid long, tile int, bits array<long>, ones int"), "wide-bitmaps")
+        return members.drop("bits", "ones").join(wide, ["vid", "tile"])
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The linked ones of pairs (a, b) of classes, decided on the sorted arrays; stored."""
         percent = self.percent
@@ -299,9 +319,9 @@ def class_components(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -
         if left.isEmpty():
             break
         if heads is None:
-            some = _sides(left, "b", "rank", "comp")
+            left = pairs.widened(left)
             apart = apart & (F.col("a_rank") > F.col("b_rank")) & (F.col("a_comp") != F.col("b_comp"))
-            tried = _sides(left, "a", "rank", "comp").join(some, "sig")
+            tried = _sides(left, "a", "rank", "comp").join(_sides(left, "b", "rank", "comp"), "sig")
         else:
             drawn = Window.partitionBy("sig").orderBy(F.xxhash64("vid", "sig"), "vid")
             main = left.filter("comp = main").withColumn("k", F.row_number().over(drawn))
