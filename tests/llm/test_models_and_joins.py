@@ -135,6 +135,41 @@ def test_recall_with_many_lists(spark, monkeypatch):
         assert [r[0] for r in ranks] == list(range(1, 21)) and sorted(ranks, key=lambda r: (r[1], r[2])) == ranks
 
 
+@pytest.mark.parametrize("groups", [1, 40])
+def test_every_query_gets_its_rows_among_copies(spark, monkeypatch, groups):
+    """Copies make centroids equal; those left empty move to single vectors and hold next to nothing."""
+    monkeypatch.setattr(posting_lists, "LIST_ROWS", 20)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 16))
+    for g in range(groups):
+        x[2000 + g :: groups] = x[g]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = rng.permutation(3000)
+    rows = [(int(i), v) for i, v in zip(ids, x.tolist())] + [(20, v) for v in rng.normal(size=(30, 16)).tolist()]
+    got = posting_lists.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    returned = {q: sum(r.query_id == q for r in got) for q in range(0, 3000, 20)}
+    assert set(returned.values()) == {20}
+    scores = x[np.argsort(ids)] @ x[np.argsort(ids)].T
+    hits = total = 0
+    for q in range(40, 3000, 20):  # by score, as copies tie
+        worst = np.sort(np.delete(scores[q], q))[-20]
+        hits += sum(r.score >= worst - 1e-9 for r in got if r.query_id == q)
+        total += 20
+    assert hits / total > 0.9
+
+
+def test_lists_are_added_until_they_hold_enough():
+    centroids = np.array([[0.0], [1.0], [2.0], [3.0]])
+    graph = np.array([[1, 2], [2, 3], [3, 0], [0, 1]])
+    index = posting_lists.Index(centroids, graph, np.array([0]), 1.0, 1.5)
+    lists = lambda held, enough, ratio=1.5: posting_lists.search_graph(index, np.zeros(1), ratio, held, enough)
+    assert lists([9, 9, 9, 9], 9) == [0]
+    assert lists([1, 9, 9, 9], 9) == [0, 1]
+    assert lists([1, 2, 9, 9], 9) == [0, 1, 2, 3]  # the last one is within the ratio
+    assert lists([1, 1, 1, 1], 9) == [0, 1, 2, 3]
+    assert lists([9, 9, 9, 9], 9, float("inf")) == [0, 1, 2, 3]
+
+
 def test_few_and_no_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     assert posting_lists.nearest(spark.createDataFrame([], kind)).collect() == []

@@ -2,9 +2,11 @@
 
 Vectors are dealt to lists by their nearest centroid. A vector near a border, that is one whose next
 centroids are at most ``BORDER`` times as far, is held by up to ``COPIES`` lists. Centroids are searched
-by a graph in memory: from entry points, best first, along each centroid's nearest neighbours. Of the
-lists found, a query reads those whose distance is within a ratio of the nearest; that ratio is fitted,
-on a bounded sample, to reach ``RECALL`` of the true neighbours in it.
+by a graph in memory: from entry points, best first, along each centroid's nearest neighbours. A query
+reads the nearest lists until they are sure to hold as many other vectors as asked for, and all lists
+within a ratio of the distance reached by then; that ratio is fitted, on a bounded sample, to reach
+``RECALL`` of the true neighbours in it. Each vector counts for its nearest list only, so copies of it
+in other lists don't count again.
 
 Nearness is the largest inner product. One more coordinate, sqrt(longest^2 - length^2), makes all
 vectors equally long, so that larger products are smaller distances; queries have 0 there.
@@ -16,14 +18,15 @@ about ``QUERY_ROWS``, a part and a group meet in one task, and each sends its be
 
 Defined cases: vectors that are null or zero, hold a null or a non-finite number, differ in length from
 the most frequent length, or have a null id take no part; equal rows count once; ties go to the smaller
-id; with fewer candidates than asked for, all are returned if their lists are read. Tables of up to
-``SMALL`` vectors are one list.
+id; with fewer candidates than asked for, all are returned. Tables of up to ``SMALL`` vectors are one
+list.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,29 +110,42 @@ def _in_packing_order(centroids: np.ndarray) -> np.ndarray:
     return centroids[order]
 
 
-def search_graph(index: Index, query: np.ndarray, ratio: float) -> list[int]:
-    """Lists within ``ratio`` of the nearest found, nearest first.
+def search_graph(index: Index, query: np.ndarray, ratio: float, held: list[int], enough: int) -> list[int]:
+    """Lists within ``ratio`` of the distance at which the nearest ones hold ``enough`` vectors, nearest first.
 
-    Best first: a centroid beyond the ratio of the nearest so far isn't followed.
+    Best first: a centroid beyond that isn't followed. Without enough vectors anywhere, all lists.
     """
     far = lambda ids: _distances(query[None], index.centroids[ids])[0]
     seen = set(index.entries.tolist())
     heap = list(zip(far(index.entries).tolist(), index.entries.tolist()))
     heapq.heapify(heap)
-    best = heap[0][0]
-    found = []
+    base, have = math.inf, 0
+    found: list[tuple[float, int]] = []
     while heap:
         distance, at = heapq.heappop(heap)
-        if distance > ratio * best and len(found) >= DEGREE:
+        if distance > ratio * base and len(found) >= DEGREE:
             break
-        best = min(best, distance)
-        found.append((distance, at))
+        insort(found, (distance, at))
+        have += held[at]
+        if have >= enough and distance < base:
+            base = _reached(found, held, enough)
         fresh = [v for v in index.graph[at].tolist() if v not in seen]
         if fresh:
             seen.update(fresh)
             for d, v in zip(far(np.array(fresh)).tolist(), fresh):
                 heapq.heappush(heap, (d, v))
-    return [at for distance, at in sorted(found) if distance <= ratio * best]
+    # a ratio without bound times no distance is not a number, and bounds nothing
+    return [at for distance, at in found if not distance > ratio * base]
+
+
+def _reached(found: list[tuple[float, int]], held: list[int], enough: int) -> float:
+    """Distance up to which the lists hold enough vectors."""
+    have = 0
+    for distance, at in found:
+        have += held[at]
+        if have >= enough:
+            return distance
+    return math.inf
 
 
 def holders(distances: np.ndarray) -> np.ndarray:
@@ -160,11 +176,15 @@ def build(sample: np.ndarray, rows: int, longest: float) -> Index:
     wanted = np.argsort(-products, axis=1, kind="stable")[:, : min(NEIGHBOURS, len(sample) - 1)]
     held = holders(_distances(x, centroids))
     q = np.column_stack([queries, np.zeros(len(queries))])
-    away = _distances(q, centroids) / _distances(q, centroids).min(axis=1, keepdims=True).clip(1e-9)
+    away = _distances(q, centroids)
+    nearest_first = np.argsort(away, axis=1, kind="stable")
+    holds = np.bincount(held[:, 0], minlength=k) * (rows / len(x))
+    last = (np.cumsum(holds[nearest_first], axis=1) <= NEIGHBOURS).sum(axis=1, keepdims=True).clip(max=k - 1)
+    away = away / np.take_along_axis(away, np.take_along_axis(nearest_first, last, axis=1), axis=1).clip(1e-9)
     # a neighbour is reached at the smallest ratio of the lists that hold it
     of = held[wanted]
     reach = np.where(of >= 0, np.take_along_axis(away, of.reshape(len(q), -1).clip(0), axis=1).reshape(of.shape), np.inf)
-    index.ratio = float(np.quantile(reach.min(axis=2), RECALL)) + 1e-9
+    index.ratio = max(1.0, float(np.quantile(reach.min(axis=2), RECALL))) + 1e-9
     return index
 
 
@@ -213,15 +233,23 @@ def nearest(
             held = holders(_distances(augmented(_vectors(batch["v"]), index.longest), index.centroids))
             at, copy = np.nonzero(held >= 0)
             yield pd.DataFrame(
-                {"vec_id": batch["vec_id"].to_numpy()[at], "v": batch["v"].to_numpy()[at], "list": held[at, copy]}
+                {
+                    "vec_id": batch["vec_id"].to_numpy()[at],
+                    "v": batch["v"].to_numpy()[at],
+                    "list": held[at, copy],
+                    "nearest": copy == 0,
+                }
             )
 
-    posted = stored(rows.mapInPandas(post, "vec_id long, v array<double>, list int"), "postings")
-    sizes = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}
-    parts = _parts_of(sizes)
+    posted = stored(rows.mapInPandas(post, "vec_id long, v array<double>, list int, nearest boolean"), "postings")
+    counts = posted.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count_if("nearest").alias("own")).collect()
+    parts = _parts_of({r["list"]: r["n"] for r in counts})
+    held_by = [0] * len(index.centroids)
+    for r in counts:
+        held_by[r["list"]] = r["own"]
     first = F.lit([parts.get(i, (0, 1))[0] for i in range(len(index.centroids))]).cast("array<int>")
     several = F.lit([parts.get(i, (0, 1))[1] for i in range(len(index.centroids))]).cast("array<int>")
-    lists = posted.withColumn(
+    lists = posted.drop("nearest").withColumn(
         "part", F.get(first, F.col("list")) + F.pmod(F.xxhash64("vec_id"), F.get(several, F.col("list"))).cast("int")
     )
 
@@ -229,9 +257,11 @@ def nearest(
         """Each query with the lists that it reads in each part."""
         for batch in batches:
             out = []
-            for vid, v in zip(batch["vec_id"], batch["v"]):
+            for vid, v, same in zip(batch["vec_id"], batch["v"], batch["same"]):
                 wanted: dict[int, list[int]] = {}
-                near = search_graph(index, np.append(np.asarray(v, np.float64), 0.0), index.ratio)
+                # rows of the query's own id are no candidates
+                query = np.append(np.asarray(v, np.float64), 0.0)
+                near = search_graph(index, query, index.ratio, held_by, k + same)
                 for key in near:
                     if key in parts:
                         start, n = parts[key]
@@ -240,11 +270,10 @@ def nearest(
                 out += [(vid, v, part, keys, parts.get(near[0], (0, 1))[0]) for part, keys in wanted.items()]
             yield pd.DataFrame(out, columns=["query_id", "q", "part", "lists", "home"])
 
+    queries = rows.filter(F.col("vec_id") % every == 0)
+    queries = queries.join(queries.groupBy("vec_id").agg(F.count(F.lit(1)).alias("same")), "vec_id")
     asked = stored(
-        rows.filter(F.col("vec_id") % every == 0).mapInPandas(
-            probe, "query_id long, q array<double>, part int, lists array<int>, home int"
-        ),
-        "probes",
+        queries.mapInPandas(probe, "query_id long, q array<double>, part int, lists array<int>, home int"), "probes"
     )
     # queries that start in one part are a group, cut by hash if it is large
     homes = asked.groupBy("home").agg(F.count_distinct("query_id").alias("n"))
