@@ -69,6 +69,32 @@ def test_toxic_words_are_learned(spark):
     assert kept.columns == docs.columns and kept.count() == sum(not r.predicted for r in got)
 
 
+@pytest.mark.parametrize("others", [True, False])
+def test_copies_of_one_toxic_document(spark, others):
+    """A third of the rows; without other toxic documents nothing is left but that text's own words."""
+    rng = random.Random(13)
+    bad = ["nastyone", "vileword", "badterms"]
+    hot = words(rng, 40) + bad + words(rng, 10)
+    rows, labels = [], []
+    for k in range(900):
+        text, toxic = words(rng, rng.randrange(20, 60)), others and k % 10 == 0
+        for _ in range(2 if toxic else 0):
+            text.insert(rng.randrange(len(text)), rng.choice(bad))
+        if k % 3 == 1:
+            text, toxic = [w.upper() if k % 2 else w for w in hot], True
+        rows.append((k, " ".join(text), "src1"))
+        labels.append((k, int(toxic)))
+    docs, labels = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    want = {r.doc_id for r in labels.collect() if r.toxic}
+    got = toxicity_crf.score_table(docs, labels).collect()
+    assert {r.doc_id for r in got if r.predicted} == want
+    for r in got:
+        found = {rows[r.doc_id][1][s.start : s.end].lower() for s in r.spans}
+        assert all(b in " ".join(found) for b in bad) if r.doc_id % 3 == 1 else not others or bool(found) == (r.doc_id in want)
+    kept = {r.doc_id for r in toxicity_crf.drop_toxic(docs, labels).collect()}
+    assert kept == set(range(900)) - want
+
+
 def test_held_out_accuracy(spark, sf_dir):
     base = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))

@@ -2,7 +2,9 @@
 
 Only documents carry labels, so words are labelled first: a word is toxic where it stands in a toxic
 document and, over the sampled labelled documents, it occurs in many toxic and next to no clean ones
-and among ever new neighbours (copies of one document repeat their neighbours). A chain with two tags
+and among ever new neighbours. Sampled documents of one class with the same words count as one, in all
+that is learned. Where no word qualifies, each word's odds in toxic against clean texts take the place
+of the chain, so that scores still follow the text. Otherwise a chain with two tags
 is then trained on windows of labelled words by its exact likelihood; features are the word and its
 beginnings of four to six letters. Forward-backward marginals give the probability that a word is
 offending; a logistic curve over the largest marginal and the expected number of offending words,
@@ -10,7 +12,7 @@ fitted to the documents' labels, gives the score.
 
 Inputs of a score are words only. Learning uses at most ``SAMPLE_DOCS`` labelled documents of either
 class and ``WINDOWS`` windows of either kind, picked by hash; class frequencies are counted over all
-labelled rows. Scoring streams every whole text; memory is bounded by one batch.
+labelled rows, copies included, and spread evenly over a class's sampled texts. Scoring streams every whole text; memory is bounded by one batch.
 
 Defined cases: null and empty texts score like texts without words; null labels and labels without a
 document are left out, and a null id isn't held out; a document labelled more than once counts as
@@ -347,10 +349,20 @@ def hash_of(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) >> 1
 
 
-def toxic_words(sample: DataFrame, limit: int = 2_000) -> set[str]:
-    """Words and beginnings that mark toxic documents; at most ``limit``, the best supported first."""
-    counts = sample.groupBy("toxic").count().collect()
-    n = {r["toxic"]: r["count"] for r in counts}
+def _name(texts: pd.Series) -> pd.Series:
+    """Equal for texts with the same words."""
+    return pd.Series([hash_of(" ".join(TOKEN.findall(t.lower()))) if isinstance(t, str) else 0 for t in texts])
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """text, toxic: one row for all rows of a class whose texts have the same words."""
+    named = rows.select("text", "toxic", F.pandas_udf(_name, "long")("text").alias("name"))
+    return named.groupBy("name", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+
+
+def _units(sample: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of either class with a word or beginning, its places in toxic ones; texts by class."""
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     units = (
         sample.select("text", "toxic")
         .mapInPandas(_word_rows, "word string, around long, toxic int, first int")
@@ -362,11 +374,25 @@ def toxic_words(sample: DataFrame, limit: int = 2_000) -> set[str]:
         )
         .na.fill(0)
     )
+    return units, n
+
+
+def toxic_words(sample: DataFrame, limit: int = 2_000) -> set[str]:
+    """Words and beginnings that mark toxic documents; at most ``limit``, the best supported first."""
+    units, n = _units(sample)
     bad, good = F.col("bad") / n.get(1, 1), F.col("good") / n.get(0, 1)
     found = units.filter((F.col("bad") >= 3) & (bad > 10 * good) & (F.col("places") >= 0.6 * F.col("bad")))
     return {r["word"] for r in found.orderBy(F.desc("bad"), "word").limit(limit).collect()}
 
 
+def word_odds(sample: DataFrame, limit: int = 20_000) -> dict[str, float]:
+    """Log odds of the words that speak for a toxic text; at most ``limit``, the strongest first."""
+    units, n = _units(sample)
+    bad, good = (F.col("bad") + 0.5) / (n.get(1, 0) + 1), (F.col("good") + 0.5) / (n.get(0, 0) + 1)
+    found = units.filter(~F.col("word").startswith("^")).select("word", F.log(bad / good).alias("odds"))
+    return {r["word"]: r["odds"] for r in found.filter("odds > 0").orderBy(F.desc("odds"), "word").limit(limit).collect()}
+
+
 def _windows(lexicon: set[str]) -> Callable:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -383,32 +409,36 @@ def _windows(lexicon: set[str]) -> Callable:
     return cut
 
 
+def _chain(sample: DataFrame, lexicon: set[str]) -> tuple[dict[str, float], float, np.ndarray, np.ndarray]:
+    """The chain's weights, bias, start and transitions."""
+    cut = sample.select("text", "toxic").mapInPandas(
+        _windows(lexicon), "words array<string>, tags array<int>, marked int, draw long"
+    )
+    # a mark at either end of a tie is the same window, so which of equal windows is kept is no matter
+    picked = [
+        r
+        for kind in (1, 0)
+        for r in cut.filter(F.col("marked") == kind).orderBy("draw").limit(WINDOWS).collect()
+    ]
+    return train_chain([r["words"] for r in picked], [r["tags"] for r in picked])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled documents whose id isn't held out."""
     none = Model({}, 0.0, np.array([0.5, 0.5]), np.full((2, 2), 0.5), np.zeros(3))
     marks = labels.filter(may_learn()).filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
     counted = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     ids = _sample(marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), counted)
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "tox-sample")
+    sample = stored(distinct_texts(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")), "tox-sample")
     classes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not classes.get(1) or not classes.get(0):
         none.constant = counted.get(1, 0) / max(1, sum(counted.values()))
         return none
     lexicon = toxic_words(sample)
-    if not lexicon:
-        none.constant = counted.get(1, 0) / max(1, sum(counted.values()))
-        return none
-    cut = sample.select("text", "toxic").mapInPandas(
-        _windows(lexicon), "words array<string>, tags array<int>, marked int, draw long"
-    )
-    # a mark at either end of a tie is the same window, so which of equal windows is kept is no matter
-    picked = [
-        r
-        for kind in (1, 0)
-        for r in cut.filter(F.col("marked") == kind).orderBy("draw").limit(WINDOWS).collect()
-    ]
-    weights, bias, start, trans = train_chain([r["words"] for r in picked], [r["tags"] for r in picked])
-    model = Model(weights, bias, start, trans, np.zeros(3))
+    if lexicon:
+        model = Model(*_chain(sample, lexicon), np.zeros(3))
+    else:  # words on their own; one without odds stays below what a summary adds up
+        model = Model(word_odds(sample), -3.0, none.start, none.trans, np.zeros(3))
 
     @F.pandas_udf("top double, words double")
     def summed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
