@@ -251,6 +251,23 @@ def test_page(page, text):
     assert line_blocks.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p><ul><li><a href=y>One</a><li><a href=z>Two</a></ul></article>",
+         f"Title\n\n{LONG.strip()}\n\nOne\n\nTwo"),
+        (f"<main><p>Lead.</p><p><a href=x>{LONG}</a></p><p>End.</p></main>", f"Lead.\n\n{LONG.strip()}\n\nEnd."),
+        ("<article><h1><a href=x>Only a link</a></h1></article>", "Only a link"),
+        (f"<article><a name=top><p>{LONG}</p><p>Short.</p></article>", LONG.strip() + "\n\nShort."),
+        (f"<article><a href=x><p>{LONG}</p><p>Short.</p></article>", LONG.strip() + "\n\nShort."),
+        (f"<div><a name=top><p>{LONG}</p></a><a href=x><p>{LONG}</p></div>", LONG.strip() + "\n\n" + LONG.strip()),
+        (f"<div><p><a href=x>Home</a> <a href=y>News</a></p><p>{LONG}</p></div>", LONG.strip()),
+    ],
+)
+def test_page_with_links(page, text):
+    assert line_blocks.main_text(page) == text
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>a</p>", "x"), (2, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -1,9 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one per block element. A line's weight is its length, less what stands in
-links; what the markup itself names as surroundings (navigation, header, footer, aside, forms, scripts,
+links (closed ``a`` elements with ``href``), and nothing if that is most of it; what the markup itself names as surroundings (navigation, header, footer, aside, forms, scripts,
 and elements whose class, id or role says advert, menu, comments and the like) has no weight. If the
-page has an ``article`` or ``main`` element, neither has what stands outside. Weights are summed over a
+page has an ``article`` or ``main`` element, all lines in it but the surroundings are the text, links
+too. Elsewhere weights are summed over a
 sliding window of lines: a surge is where the weights rise from nothing, a dive where they fall to
 nothing, and the stretch between is kept if a window in it reaches the threshold; on a page without
 such a window the heaviest stretch is kept.
@@ -52,7 +53,7 @@ TOKEN = re.compile(
 @dataclass
 class Line:
     parts: list[str] = field(default_factory=list)
-    linked: int = 0
+    links: list[tuple[list[bool], int]] = field(default_factory=list)  # whether the link is closed, length
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
@@ -74,10 +75,10 @@ def _surrounds(name: str, rest: str) -> bool:
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, weight, inside an article) of every line; a line of surroundings is ("", 0, False)."""
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[Line, str, bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # name, surroundings, in an article
     line = Line()
-    links = 0
+    links: list[list[bool]] = []  # of the open a elements: closed, or empty without a target
 
     def state() -> tuple[bool, bool]:
         return stack[-1][1:] if stack else (False, False)
@@ -86,23 +87,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal line
         text = line.text()
         if text:
-            away, inside = state()
-            weight = 0 if away else max(0, len(text) - line.linked)
-            if line.linked * 2 > len(text):
-                weight = 0
-            lines.append(("" if away else text, weight, inside and not away))
+            lines.append((line, text, *state()))
         line = Line()
 
     def say(text: str) -> None:
         line.parts.append(text)
-        if links and text.strip():
-            line.linked += len(" ".join(html.unescape(text).split()))
+        open_link = next((link for link in reversed(links) if link), None)
+        if open_link and text.strip():
+            line.links.append((open_link, len(" ".join(html.unescape(text).split()))))
 
     def pop_to(k: int) -> None:
-        nonlocal links
         while len(stack) > k:
             if stack[-1][0] == "a":
-                links -= 1
+                links.pop()
             elif stack[-1][0] not in INLINE:
                 flush()
             elif stack[-1][1] and not (len(stack) > 1 and stack[-2][1]):
@@ -120,6 +117,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if found["close"]:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if k is not None:
+                if name == "a" and links[-1]:
+                    links[-1][0] = True
                 pop_to(k)
             elif name not in INLINE:
                 flush()
@@ -147,22 +146,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if found["rest"].endswith("/") and name not in INLINE:
             continue
         stack.append((name, away or begins, inside or name in MAIN))
-        links += name == "a"
+        if name == "a":
+            links.append([False] if any(key.lower() == "href" for key, *_ in ATTRIBUTE.findall(found["rest"])) else [])
     if at < len(page):
         say(page[at:])
     pop_to(0)
     flush()
-    return lines
+    return [weighed(*entry) for entry in lines]
+
+
+def weighed(line: Line, text: str, away: bool, inside: bool) -> tuple[str, int, bool]:
+    if away:
+        return "", 0, False
+    linked = sum(n for closed, n in line.links if closed[0])
+    return text, 0 if linked * 2 > len(text) else max(0, len(text) - linked), inside
 
 
 def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
     if any(inside and weight for _, weight, inside in lines):
-        weights = [weight if inside else 0 for _, weight, inside in lines]
-        least = 1  # the container already says where the text is
-    else:
-        weights = [weight for _, weight, _ in lines]
-        least = THRESHOLD
+        return "\n\n".join(text for text, _, inside in lines if inside)  # the container says where the text is
+    weights = [weight for _, weight, _ in lines]
     sums = [sum(weights[max(0, k - WINDOW // 2) : k + WINDOW // 2 + 1]) for k in range(len(weights))]
     stretches, surge = [], None
     for k, weight in enumerate([*weights, 0]):
@@ -172,8 +176,8 @@ def main_text(page: str | None) -> str:
             stretches.append((max(sums[surge:k]), surge, k))
             surge = None
     if not stretches:
-        return ""
-    kept = [s for s in stretches if s[0] >= least] or [max(stretches, key=lambda s: s[0])]
+        return "\n\n".join(text for text, _, inside in lines if inside)
+    kept = [s for s in stretches if s[0] >= THRESHOLD] or [max(stretches, key=lambda s: s[0])]
     return "\n\n".join(lines[k][0] for _, a, b in kept for k in range(a, b))
 
 
