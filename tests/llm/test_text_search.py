@@ -268,6 +268,30 @@ def test_page_with_links(page, text):
     assert line_blocks.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "name",
+    "content with-sidebar|has-sidebar|has-left-sidebar|post comments-open|no-comments|social-science|legal-news"
+    "|article-header|page widget|main-menu-page".split("|"),
+)
+@pytest.mark.parametrize("inner", ["div", "article", "main"])
+def test_wrappers_named_like_surroundings(name, inner):
+    page = (
+        f"<div class='menu'>Home</div><div class='{name}'><{inner}><h1>Title</h1><p>{LONG}</p><p>End.</p></{inner}>"
+        f"<div id='comments' class='comments-area'><p>{LONG * 2}</p></div></div><div class='site-footer'>Imprint</div>"
+    )
+    assert line_blocks.main_text(page) == f"Title\n\n{LONG.strip()}\n\nEnd."
+
+
+@pytest.mark.parametrize(
+    "name", "top-menu|site-header|sidebar|widget ad-slot|social-links|legal-notice|search-form|share|related-posts|menu menu-open".split("|")
+)
+def test_surroundings_by_name(name):
+    page = f"<main><p>{LONG}</p><div class='{name}'><p>Not this.</p><article>Nor this.</article></div><p>End.</p></main>"
+    assert line_blocks.main_text(page) == f"{LONG.strip()}\n\nEnd."
+    assert line_blocks.main_text(page.replace("main>", "div>").replace("article>", "b>")).startswith(LONG.strip())
+    assert "this" not in line_blocks.main_text(page.replace("main>", "div>").replace("article>", "b>"))
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>a</p>", "x"), (2, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

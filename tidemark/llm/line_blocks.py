@@ -2,7 +2,10 @@
 
 Markup is stripped to lines, one per block element. A line's weight is its length, less what stands in
 links (closed ``a`` elements with ``href``), and nothing if that is most of it; what the markup itself names as surroundings (navigation, header, footer, aside, forms, scripts,
-and elements whose class, id or role says advert, menu, comments and the like) has no weight. If the
+and elements whose class, id or role says advert, menu, comments and the like) has no weight. A name
+that says only what goes with the element (``with-sidebar``, ``comments-open``) or what it writes about
+(``legal-news``) doesn't count, nor does any name of an element that holds every ``article`` and ``main``
+of the page or, unless a class or id is that word alone, most of its text. If the
 page has an ``article`` or ``main`` element, all lines in it but the surroundings are the text, links
 too. Elsewhere weights are summed over a
 sliding window of lines: a surge is where the weights rise from nothing, a dive where they fall to
@@ -38,10 +41,20 @@ INLINE = frozenset(
 MAIN = frozenset(("article", "main"))
 CLOSES_P = frozenset(("p", "li", "dd", "dt", "td", "th", "tr", "option"))
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|menu|nav(?:bar|igation)?|sidebar"
+    r"ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|menu|nav(?:bar|igation)?|sidebar"
     r"|footer|header|masthead|cookies?|consent|notices?|popup|modal|overlay|newsletter|subscribe|signup|comments?|replies"
     r"|disqus|respond|share|sharing|social|related|recommended|breadcrumbs?|pagination|pager|widget|toolbar|login"
-    r"|copyright|legal|search|contentinfo|complementary|alert)(?:$|[\s_-])"
+    r"|copyright|legal|search|contentinfo|complementary|alert"
+)
+#: Beside these a word of ``NAMED`` says what the element goes with, not what it is.
+BEFORE = frozenset("with has have no not non without hide show".split())
+AFTER = frozenset("open opened closed enabled disabled on off active visible true false".split())
+OF_TEXT = frozenset("article post entry story content".split())
+#: Words that are subjects as well, unless they stand alone or with parts of a page.
+SUBJECTS = frozenset("social legal search share sharing alert consent notice notices copyright promotion respond".split())
+PARTS = frozenset(
+    "links link icons icon media buttons button bar box form list block section wrapper wrap container area panel info"
+    " text site page main top bottom left right inner outer row item items tools us this".split()
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TOKEN = re.compile(
@@ -59,29 +72,57 @@ class Line:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def _surrounds(name: str, rest: str) -> bool:
+@dataclass
+class Named:
+    """An element that its name makes surroundings, unless it turns out to wrap the text."""
+
+    alone: bool  # a class, id or role is nothing but the word
+    containers: int = 0
+    weight: int = 0
+
+
+def _names_surroundings(value: str) -> bool:
+    for token in value.split():
+        parts = [part for part in re.split("[_-]+", token) if part]
+        for k, part in enumerate(parts):
+            if not NAMED.fullmatch(part) or not BEFORE.isdisjoint(parts[:k]) or not AFTER.isdisjoint(parts[k + 1 :]):
+                continue
+            if part == "header" and k and parts[k - 1] in OF_TEXT:
+                continue
+            others = parts[:k] + parts[k + 1 :]
+            if part not in SUBJECTS or all(o in PARTS or NAMED.fullmatch(o) for o in others):
+                return True
+    return False
+
+
+def _surrounds(name: str, rest: str) -> bool | Named:
+    """Whether an element is surroundings for sure, or by its name."""
     if name in AWAY:
         return True
     if not rest.strip() or name in MAIN or name in ("html", "body"):
         return False
+    named = None
     for key, *values in ATTRIBUTE.findall(rest):
         key = key.lower()
-        if key in ("class", "id", "role") and NAMED.search(" ".join(values).strip().lower()):
-            return True
         if key == "hidden" or key == "aria-hidden" and "true" in values:
             return True
-    return False
+        value = "".join(values).strip().lower()
+        if key in ("class", "id", "role") and _names_surroundings(value):
+            named = named or Named(False)
+            named.alone |= NAMED.fullmatch(value) is not None
+    return named or False
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, weight, inside an article) of every line; a line of surroundings is ("", 0, False)."""
-    lines: list[tuple[Line, str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, surroundings, in an article
+    lines: list[tuple[Line, str, bool, bool, tuple[Named, ...]]] = []
+    stack: list[tuple[str, bool, bool, tuple[Named, ...]]] = []  # name, surroundings, in an article, named so
+    containers = 0
     line = Line()
     links: list[list[bool]] = []  # of the open a elements: closed, or empty without a target
 
-    def state() -> tuple[bool, bool]:
-        return stack[-1][1:] if stack else (False, False)
+    def state() -> tuple[bool, bool, tuple[Named, ...]]:
+        return stack[-1][1:] if stack else (False, False, ())
 
     def flush() -> None:
         nonlocal line
@@ -102,7 +143,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 links.pop()
             elif stack[-1][0] not in INLINE:
                 flush()
-            elif stack[-1][1] and not (len(stack) > 1 and stack[-2][1]):
+            elif stack[-1][1::2] != (stack[-2][1::2] if len(stack) > 1 else (False, ())):
                 flush()
             stack.pop()
 
@@ -139,27 +180,44 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if open_p is not None and (stack[open_p][0] == "p" or stack[open_p][0] == name and name in CLOSES_P):
                 pop_to(open_p)
             flush()
-        away, inside = state()
+        away, inside, named = state()
         begins = not away and _surrounds(name, found["rest"])
         if begins and name in INLINE:
             flush()
         if found["rest"].endswith("/") and name not in INLINE:
             continue
-        stack.append((name, away or begins, inside or name in MAIN))
+        if isinstance(begins, Named):
+            named += (begins,)
+        elif name in MAIN and not away:
+            containers += 1
+            for element in named:
+                element.containers += 1
+        stack.append((name, away or begins is True, inside or name in MAIN, named))
         if name == "a":
             links.append([False] if any(key.lower() == "href" for key, *_ in ATTRIBUTE.findall(found["rest"])) else [])
     if at < len(page):
         say(page[at:])
     pop_to(0)
     flush()
-    return [weighed(*entry) for entry in lines]
+    weights = [0 if away else weight_of(line, text) for line, text, away, _, _ in lines]
+    for (*_, named), weight in zip(lines, weights):
+        for element in named:
+            element.weight += weight
+    total = sum(weights)
+
+    def wraps(element: Named) -> bool:
+        return 0 < containers == element.containers or not element.alone and element.weight * 2 > total
+
+    kept = [not away and all(map(wraps, named)) for _, _, away, _, named in lines]
+    return [
+        (text, weight, inside) if keep else ("", 0, False)
+        for (_, text, _, inside, _), weight, keep in zip(lines, weights, kept)
+    ]
 
 
-def weighed(line: Line, text: str, away: bool, inside: bool) -> tuple[str, int, bool]:
-    if away:
-        return "", 0, False
+def weight_of(line: Line, text: str) -> int:
     linked = sum(n for closed, n in line.links if closed[0])
-    return text, 0 if linked * 2 > len(text) else max(0, len(text) - linked), inside
+    return 0 if linked * 2 > len(text) else max(0, len(text) - linked)
 
 
 def main_text(page: str | None) -> str:
