@@ -292,6 +292,26 @@ def test_surroundings_by_name(name):
     assert "this" not in line_blocks.main_text(page.replace("main>", "div>").replace("article>", "b>"))
 
 
+@pytest.mark.parametrize(
+    "between", ["<div class=ad>Buy this!</div>", "<p class=notice>Read this.</p>", "<p><a href=x>More of this</a></p>"]
+)
+def test_weak_lines_beside_the_text(between):
+    """Without article or main, whatever separates them from it; links in the span stay."""
+    link = ["More of this"] if "href" in between else []
+    parts = ["<h1>Title</h1>", "<p>Short lead.</p>", f"<p>{LONG}</p>", "<p>Weak.</p>", f"<p>{LONG}</p>", "<p>The end.</p>"]
+    texts = ["Title", "Short lead.", LONG.strip(), "Weak.", LONG.strip(), "The end."]
+    want = [texts[0], *(t for text in texts[1:] for t in [*link, text])]
+    body = between.join(parts)
+    for page in (body, f"<div>{body}</div>", f"<div><div><p>Else</p></div>{between}</div><div>{body}</div>"):
+        assert line_blocks.main_text(page) == "\n\n".join(want)
+    assert line_blocks.main_text(f"<p>One.</p>{between}<p>Two longer.</p>") == "\n\n".join(["One.", *link, "Two longer."])
+
+
+def test_a_linked_headline_before_the_text():
+    page = f"<p><a href=x>Home</a></p><div><h1><a href=x>Title</a></h1><p>{LONG}</p></div><p><a href=y>Next</a></p>"
+    assert line_blocks.main_text(page) == f"Title\n\n{LONG.strip()}"
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>a</p>", "x"), (2, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -9,8 +9,10 @@ of the page or, unless a class or id is that word alone, most of its text. If th
 page has an ``article`` or ``main`` element, all lines in it but the surroundings are the text, links
 too. Elsewhere weights are summed over a
 sliding window of lines: a surge is where the weights rise from nothing, a dive where they fall to
-nothing, and the stretch between is kept if a window in it reaches the threshold; on a page without
-such a window the heaviest stretch is kept.
+nothing, and the stretch between is strong if a window in it reaches the threshold; on a page without
+such a window the heaviest stretch is. All lines from the first strong surge to the last strong dive are
+kept but the surroundings. The span reaches on to the outermost lines with weight, and headings before
+it, that stand in the same element as one of its long lines.
 
 Inside a line, character references are decoded and white space becomes one blank; lines are joined by
 an empty line. Defined cases: a null or empty page, and a page without text, give an empty text;
@@ -39,6 +41,7 @@ INLINE = frozenset(
     " small span strike strong sub sup time tt u var wbr img".split()
 )
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSES_P = frozenset(("p", "li", "dd", "dt", "td", "th", "tr", "option"))
 NAMED = re.compile(
     r"ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|menu|nav(?:bar|igation)?|sidebar"
@@ -113,9 +116,15 @@ def _surrounds(name: str, rest: str) -> bool | Named:
     return named or False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, inside an article) of every line; a line of surroundings is ("", 0, False)."""
+def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, int, bool]]]:
+    """(text, weight, inside an article, place) of every line; a line of surroundings is ("", 0, False, place).
+
+    A place is the numbers of the line's block element and of the one around it, and whether it is a heading.
+    """
     lines: list[tuple[Line, str, bool, bool, tuple[Named, ...]]] = []
+    places: list[tuple[int, int, bool]] = []
+    blocks: list[tuple[int, int]] = []  # of each open element: number of its block element, of the one around it
+    opened = 0
     stack: list[tuple[str, bool, bool, tuple[Named, ...]]] = []  # name, surroundings, in an article, named so
     containers = 0
     line = Line()
@@ -129,6 +138,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         text = line.text()
         if text:
             lines.append((line, text, *state()))
+            heading = any(name in HEADINGS for name, *_ in stack[-3:])
+            places.append((*(blocks[-1] if blocks else (0, 0)), heading))
         line = Line()
 
     def say(text: str) -> None:
@@ -146,6 +157,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif stack[-1][1::2] != (stack[-2][1::2] if len(stack) > 1 else (False, ())):
                 flush()
             stack.pop()
+            blocks.pop()
 
     at = 0
     while found := TOKEN.search(page, at):
@@ -193,6 +205,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             for element in named:
                 element.containers += 1
         stack.append((name, away or begins is True, inside or name in MAIN, named))
+        opened += 1
+        block, parent = blocks[-1] if blocks else (0, 0)
+        blocks.append((block, parent) if name in INLINE else (opened, block))
         if name == "a":
             links.append([False] if any(key.lower() == "href" for key, *_ in ATTRIBUTE.findall(found["rest"])) else [])
     if at < len(page):
@@ -210,8 +225,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
     kept = [not away and all(map(wraps, named)) for _, _, away, _, named in lines]
     return [
-        (text, weight, inside) if keep else ("", 0, False)
-        for (_, text, _, inside, _), weight, keep in zip(lines, weights, kept)
+        (text, weight, inside, place) if keep else ("", 0, False, place)
+        for (_, text, _, inside, _), weight, keep, place in zip(lines, weights, kept, places)
     ]
 
 
@@ -222,9 +237,10 @@ def weight_of(line: Line, text: str) -> int:
 
 def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
-    if any(inside and weight for _, weight, inside in lines):
-        return "\n\n".join(text for text, _, inside in lines if inside)  # the container says where the text is
-    weights = [weight for _, weight, _ in lines]
+    contained = [text for text, _, inside, _ in lines if inside]
+    if any(inside and weight for _, weight, inside, _ in lines):
+        return "\n\n".join(contained)  # the container says where the text is
+    weights = [weight for _, weight, _, _ in lines]
     sums = [sum(weights[max(0, k - WINDOW // 2) : k + WINDOW // 2 + 1]) for k in range(len(weights))]
     stretches, surge = [], None
     for k, weight in enumerate([*weights, 0]):
@@ -234,9 +250,18 @@ def main_text(page: str | None) -> str:
             stretches.append((max(sums[surge:k]), surge, k))
             surge = None
     if not stretches:
-        return "\n\n".join(text for text, _, inside in lines if inside)
-    kept = [s for s in stretches if s[0] >= THRESHOLD] or [max(stretches, key=lambda s: s[0])]
-    return "\n\n".join(lines[k][0] for _, a, b in kept for k in range(a, b))
+        return "\n\n".join(contained)
+    strong = [s for s in stretches if s[0] >= THRESHOLD] or [max(stretches, key=lambda s: s[0])]
+    long = [k for _, a, b in strong for k in range(a, b) if weights[k] * WINDOW >= min(s[0] for s in strong)]
+    first, last = strong[0][1], strong[-1][2]
+    around = {number for k in long or range(first, last) for number in lines[k][3][:2]}
+    reach = [
+        k
+        for k, (text, weight, _, (block, parent, heading)) in enumerate(lines)
+        if (weight or heading and text and k < first) and (block in around or parent in around)
+    ]
+    first, last = min([first, *reach]), max([last, *(k + 1 for k in reach)])
+    return "\n\n".join(text for k, (text, _, inside, _) in enumerate(lines) if text and (inside or first <= k < last))
 
 
 def extract_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
