@@ -95,6 +95,16 @@ def test_copies_of_one_toxic_document(spark, others):
     assert kept == set(range(900)) - want
 
 
+def test_spans_refer_to_the_text_itself():
+    text = "\u0130stanbul \u0130 a NASTYONE, \u0130b VileWord Badterms end"
+    words = toxicity_crf.words_of(text)
+    assert words[3:] == ["nastyone", "i\u0307b", "vileword", "badterms", "end"]
+    spans = toxicity_crf.spans_of(text, np.array([0.9 * (w in ("nastyone", "vileword", "badterms")) for w in words]))
+    assert [text[s["start"] : s["end"]] for s in spans] == ["NASTYONE", "VileWord Badterms"]
+    every = "x ".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c != 0x130)
+    assert len(toxicity_crf.words_of(every)) == len(toxicity_crf.TOKEN.findall(every))
+
+
 def test_held_out_accuracy(spark, sf_dir):
     base = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))

@@ -59,6 +59,13 @@ class Model:
     constant: float | None = None
 
 
+def words_of(text: str) -> list[str]:
+    """Words in lower case, one for each in the text itself: the dotted capital I alone grows in lower case."""
+    if "\u0130" in text:
+        return [word.lower() for word in TOKEN.findall(text)]
+    return TOKEN.findall(text.lower())
+
+
 def features(word: str) -> tuple[str, ...]:
     """The word and its beginnings; inflected forms share those."""
     return word, *("^" + word[:n] if len(word) > n else "" for n in BEGINNINGS)
@@ -241,7 +248,7 @@ def _document_marginals(
     held: list[tuple[int, list[str]]] = []
     words_held = 0
     for i, text in enumerate(texts):
-        words = TOKEN.findall(text.lower()) if text else []
+        words = words_of(text) if text else []
         held.append((i, words))
         words_held += len(words)
         if words_held >= CHUNK_WORDS:
@@ -261,10 +268,10 @@ def _summary(shares: np.ndarray) -> tuple[float, float]:
 def spans_of(text: str, shares: np.ndarray, least: float = 0.5) -> list[dict]:
     """Character offsets of runs of words with a marginal of at least ``least``."""
     spans: list[dict] = []
-    if not len(shares) or shares.max() < least or len(text.lower()) != len(text):
+    if not len(shares) or shares.max() < least:
         return spans
     last = -2
-    for k, match in enumerate(TOKEN.finditer(text.lower())):
+    for k, match in enumerate(TOKEN.finditer(text)):
         if shares[k] >= least:
             if last == k - 1:
                 spans[-1]["end"] = match.end()
@@ -322,7 +329,7 @@ def _word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each document's distinct (unit, neighbours), the unit's first row marked."""
     for batch in batches:
         for text, toxic in zip(batch["text"], batch["toxic"]):
-            words = TOKEN.findall(text.lower()) if isinstance(text, str) else []
+            words = words_of(text) if isinstance(text, str) else []
             seen: dict[str, set[int]] = {}
             for before, word, after in zip(["", *words], words, [*words[1:], ""]):
                 around = hash_of(before + " " + after)
@@ -351,7 +358,7 @@ def hash_of(text: str) -> int:
 
 def _name(texts: pd.Series) -> pd.Series:
     """Equal for texts with the same words."""
-    return pd.Series([hash_of(" ".join(TOKEN.findall(t.lower()))) if isinstance(t, str) else 0 for t in texts])
+    return pd.Series([hash_of(" ".join(words_of(t))) if isinstance(t, str) else 0 for t in texts])
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
@@ -398,7 +405,7 @@ def _windows(lexicon: set[str]) -> Callable:
         for batch in batches:
             rows = []
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = TOKEN.findall(text.lower()) if isinstance(text, str) else []
+                words = words_of(text) if isinstance(text, str) else []
                 for k in range(0, len(words), WINDOW_WORDS):
                     part = words[k : k + WINDOW_WORDS]
                     marks = [int(toxic == 1 and not lexicon.isdisjoint(features(w))) for w in part]
