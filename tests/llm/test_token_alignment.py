@@ -1,0 +1,146 @@
+"""Cross-tokenizer alignment against whole-text encodings and plain counting."""
+
+import hashlib
+from collections import Counter
+from itertools import accumulate
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tests.llm.data import COLUMNS, awkward, documents
+from tidemark.llm import token_alignment as ta
+from tidemark.llm.queries import QUERIES
+
+FILES = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+
+TEXTS = [
+    "a  b", "  a b ", " ", "\n", "a\n b", "a \n  b c", "a   ", "a\tb \t c", "▁ a", "x▁y z",
+    "<|endoftext|> x <s> </s> <unk> <0x0A> y", "日本 語 é é", "don 't 's it's", "x y 　z \xa0 w",
+    "١٢٣ 12 345", "é" * 300 + " " + "abc" * 200, "a\x1cb \x1d c\x85 d", "x \xad y", "x\x00 y",
+    "😀 👍🏽 x", " ".join("ab" * k for k in range(50)), "a!! b### c&&& | d", "same same same",
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """text -> (A ids, B ids, groups) by whole encodings, or None."""
+    a = Tokenizer.from_file(FILES[0])
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+    back = ta.byte_level_alphabet()
+
+    def of_b(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def encode(text):
+        if not text:
+            return None
+        ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        bytes_a = [bytes(back[c] for c in a.id_to_token(i)) for i in ids_a]
+        bytes_b = [of_b(i) for i in ids_b]
+        if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            return None
+        ends_a, ends_b = ({e: k + 1 for k, e in enumerate(accumulate(map(len, ts)))} for ts in (bytes_a, bytes_b))
+        groups, x, y = [], 0, 0
+        for end in sorted(ends_a.keys() & ends_b.keys()):
+            p, q = ends_a[end], ends_b[end]
+            groups.append((end, ids_a[x:p], ids_b[y:q]))
+            x, y = p, q
+        return ids_a, ids_b, groups
+
+    return encode
+
+
+def shown(groups):
+    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for _, a, b in groups)
+
+
+def want_rows(rows, plain):
+    encoded = [plain(text) for text in rows]
+    counts = Counter((g[1][-1], g[2][-1]) for e in encoded if e for g in e[2])
+    highest = Counter()
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    for e in encoded:
+        if not e:
+            yield 0, 0, 0, 0, 0, 0, ""
+            continue
+        links = [(g[1][-1], g[2][-1]) for g in e[2]]
+        yield (
+            len(e[0]), len(e[1]), len(e[2]), len(links), sum(counts[p] == highest[p[1]] for p in links),
+            sum(counts[p] for p in links), hashlib.sha256(shown(e[2]).encode()).hexdigest(),
+        )
+
+
+def by_column(rows):
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return sorted(((r.doc_id is None, r.doc_id or 0), tuple(r[n] for n in names)) for r in rows)
+
+
+def test_equals_whole_encodings(spark, plain):
+    rows = [r for r in awkward(n=30) if len(r[1] or "") < 50_000] + [(2000 + k, t) for k, t in enumerate(TEXTS)]
+    got = ta.alignment_table(documents(spark, rows), *FILES).collect()
+    want = [((r[0] is None, r[0] or 0), w) for r, w in zip(rows, want_rows([r[1] for r in rows], plain))]
+    assert by_column(got) == sorted(want)
+
+
+def test_long_texts_in_pieces(plain, monkeypatch):
+    """Pieces, forgetting and stretches too long to remember don't change a thing."""
+    monkeypatch.setattr(ta, "PIECE_CHARS", 7)
+    monkeypatch.setattr(ta, "REMEMBERED", 6)
+    monkeypatch.setattr(ta, "LONGEST_REMEMBERED", 4)
+    aligner = ta.Aligner(*FILES)
+    got = {}
+    for i, parts in aligner.align(TEXTS):
+        got.setdefault(i, []).extend(parts)
+    for i, text in enumerate(TEXTS):
+        want = plain(text)
+        if want is None:
+            assert None in got[i]
+        else:
+            assert "".join(p[2] for p in got[i])[:-1] == shown(want[2]), text
+            assert sum(p[0] for p in got[i]) == len(want[0]) and sum(p[1] for p in got[i]) == len(want[1])
+
+
+def test_spans_cover_the_text(spark, plain):
+    texts = [t for t in TEXTS if plain(t)]
+    got = ta.alignments(documents(spark, list(enumerate(texts)) + [(99, None), (98, TEXTS[8])]), *FILES).collect()
+    for r in got:
+        if r.doc_id < 98:
+            assert [(g.end, g.a, g.b) for g in r.groups] == plain(texts[r.doc_id])[2]
+            assert [g.begin for g in r.groups] == [0, *(g.end for g in r.groups[:-1])]
+        else:
+            assert r.groups == []
+
+
+def test_intervals_coalesce_and_expand():
+    """Against plain loops, for intervals of any kind."""
+    rng = np.random.default_rng(11)
+    for _ in range(50):
+        ends_a, ends_b = (np.unique(np.append(rng.integers(1, 40, 12), 40)) for _ in range(2))
+        starts_a, starts_b = (np.concatenate([[0], e[:-1]]) for e in (ends_a, ends_b))
+        sides = np.repeat([0, 1], [len(ends_a), len(ends_b)])
+        group = ta.coalesce(np.concatenate([starts_a, starts_b]), np.concatenate([ends_a, ends_b]), sides)
+        common = sorted(set(ends_a) & set(ends_b))
+        want = [sum(c <= s for c in common) for s in [*starts_a, *starts_b]]
+        assert group.tolist() == want
+        pairs = list(zip(*(x.tolist() for x in ta.overlaps(starts_a, ends_a, starts_b, ends_b))))
+        assert pairs == [
+            (i, j) for i in range(len(ends_a)) for j in range(len(ends_b))
+            if starts_a[i] < ends_b[j] and starts_b[j] < ends_a[i]
+        ]
+        assert all(group[i] == group[len(ends_a) + j] for i, j in pairs)
+
+
+def test_empty_table(spark):
+    assert ta.alignment_table(spark.createDataFrame([], COLUMNS), *FILES).collect() == []
+
+
+def test_whole_table(spark, sf_dir, plain):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = QUERIES["op11_token_alignment"](spark, sf_dir).collect()
+    assert by_column(got) == sorted(((False, r.doc_id), w) for r, w in zip(rows, want_rows([r.text for r in rows], plain)))

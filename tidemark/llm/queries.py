@@ -15,6 +15,7 @@ from tidemark.llm import (
     mixing,
     phrase_automata,
     posting_lists,
+    token_alignment,
     token_store,
     toxicity_crf,
 )
@@ -22,6 +23,7 @@ from tidemark.llm.common import table
 
 SHARDS = 40
 TOKENIZER = "word_bpe_49k.json"
+TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +71,13 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tiles.component_table(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = map(public_tokenizers.path, (TOKENIZER_A, TOKENIZER_B))
+    return token_alignment.alignment_table(table(spark, sf_dir, "documents"), *files)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -82,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_posting_lists,
         op9_decontamination,
         op10_jaccard_tiles,
+        op11_token_alignment,
     )
 }
 
