@@ -41,4 +41,4 @@ def test_search_reaches_its_recall(spark, sf_dir):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 12))
+    assert numbers == list(range(1, 14))

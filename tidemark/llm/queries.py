@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontamination,
+    importance_resampling,
     jaccard_tiles,
     kd_sharding,
     license_scan,
@@ -15,6 +16,7 @@ from tidemark.llm import (
     mixing,
     phrase_automata,
     posting_lists,
+    quality_attention,
     token_alignment,
     token_store,
     toxicity_crf,
@@ -78,6 +80,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_table(table(spark, sf_dir, "documents"), *files)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.importance_table(*(table(spark, sf_dir, t) for t in ("documents", "benchmark")))
+
+
+def op13_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_attention.score_table(*(table(spark, sf_dir, t) for t in ("documents", "labels")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -92,6 +102,8 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_jaccard_tiles,
         op11_token_alignment,
+        op12_importance_resampling,
+        op13_quality_attention,
     )
 }
 
@@ -205,5 +217,51 @@ WITH RECURSIVE docs AS (
 )
 SELECT doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id
 FROM docs JOIN smallest ON smallest.a = docs.r LEFT JOIN sizes ON sizes.r = docs.r
+""",
+    "op12_importance_resampling": r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, text FROM documents
+    UNION ALL SELECT NULL, NULL, text FROM benchmark
+), split AS (
+    SELECT r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM texts
+), counted AS (
+    SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM split) GROUP BY r, word
+), steps AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS step
+    FROM (SELECT unnest(range(256)) AS i)
+), codes AS (
+    SELECT word, hex(encode(word)) AS code FROM (SELECT DISTINCT word FROM counted)
+), buckets AS (
+    SELECT word, xor(list_reduce(
+               [4294967295::BIGINT] || list_transform(range(1, len(code), 2), lambda k: ('0x' || substr(code, k, 2))::BIGINT),
+               lambda c, b: xor(step[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM codes, steps
+), sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (r IS NOT NULL), 0) AS s, coalesce(sum(n) FILTER (r IS NULL), 0) AS t
+    FROM counted JOIN buckets USING (word) GROUP BY bucket
+), totals AS (
+    SELECT sum(s) AS all_s, sum(t) AS all_t FROM sums
+), gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE)
+                                   / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM sums, totals
+), weights AS (
+    SELECT r, sum(n * gain)::BIGINT AS weight
+    FROM counted JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+    SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+    FROM split LEFT JOIN weights USING (r) WHERE r IS NOT NULL
+), ranked AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (r)
 """,
 }
