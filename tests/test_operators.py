@@ -123,26 +123,26 @@ def skewed(spark):
 def test_spread_join_equals_plain_join(spark, skewed, how):
     other = spark.range(1500).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
     other = other.unionByName(other.filter("k = 7"))  # two partners for the hot key
-    got = spread_join(skewed, other, "k", how, hot_rows=100)
+    got = spread_join(skewed, other, "k", how, hot_keys(skewed, "k", 100), 100)
     want = skewed.join(other, "k", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0
     assert want.exceptAll(got).count() == 0
 
 
-def test_spread_join_of_a_known_small_side_is_plain(spark, skewed):
+def test_without_hot_keys_the_join_is_plain(spark, skewed):
     other = spark.range(10).select(F.col("id").cast("int").alias("k"))
-    plan = spread_join(skewed, other, "k", big_rows=9050)._jdf.queryExecution().toString()
+    plan = spread_join(skewed, other, "k")._jdf.queryExecution().toString()
     assert "_part" not in plan
 
 
 def test_spread_join_splits_the_hot_key(spark, skewed):
-    assert [(r["k"], r["_parts"]) for r in hot_keys(skewed, "k", 100).collect()] == [(7, 30)]
+    assert [tuple(r) for r in hot_keys(skewed, "k", 100).collect()] == [(7, 3000)]
     other = spark.range(1500).select(F.col("id").cast("int").alias("k"), F.col("id").alias("w"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = spread_join(skewed, other, "k", hot_rows=100).filter("k = 7")
+        joined = spread_join(skewed, other, "k", hot=hot_keys(skewed, "k", 100), hot_rows=100).filter("k = 7")
         tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

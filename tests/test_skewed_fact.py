@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import spread_join
+from tidemark.operators.skew import HOT_ROWS, confirmed, heavy_hitters, hot_keys, least_hot, spread_join
 from tidemark.plans import gold, marts
 from tidemark.plans.silver import clean_products
 from workload.registry import Tables
@@ -20,8 +20,8 @@ def tables(spark, sf_dir):
 def test_hot_order(tables):
     t, items = tables
     rest = [t.silver(n) for n in ("pedidos", "clientes", "pagamentos", "avaliacoes")]
-    split = gold.sales_fact(items, *rest, hot_rows=50)
-    plain = gold.sales_fact(items, *rest, item_rows=0)
+    split = gold.sales_fact(items, *rest, hot=hot_keys(items, "order_id", 50), hot_rows=50)
+    plain = gold.sales_fact(items, *rest)
     assert "_part" in split._jdf.queryExecution().toString()
     assert split.count() == items.count()
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
@@ -40,7 +40,7 @@ def test_clustered_hot_key_is_spread(spark, layout):
             rows = spark.range(0, 20_000, 1, 20)
             big = rows.selectExpr("if(spark_partition_id() % 2 = 0, 'hot', cast(id AS string)) AS k", "id AS v")
         other = big.select("k").distinct().withColumn("w", F.lit(1))
-        joined = spread_join(big, other, "k", hot_rows=1000)
+        joined = spread_join(big, other, "k", hot=hot_keys(big, "k", 1000), hot_rows=1000)
         assert joined.count() == big.count()
         tasks = joined.filter("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert len(tasks) >= 7  # ten parts; a few may share a task

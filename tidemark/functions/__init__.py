@@ -1,11 +1,11 @@
 """Column expressions shared by the cleaning rules and the reports."""
 
 from tidemark.functions.metrics import mean_rounded, per_unit
-from tidemark.functions.parsing import double_or_null, int_or_null, money, timestamp_or_null
+from tidemark.functions.parsing import fixed_or_null, int_or_null, money, timestamp_or_null
 from tidemark.functions.text import place_name, state_code, zip_digits, zip_prefix
 
 __all__ = [
-    "double_or_null",
+    "fixed_or_null",
     "int_or_null",
     "mean_rounded",
     "money",

@@ -12,8 +12,9 @@ def int_or_null(column: str) -> Column:
     return F.col(column).try_cast("int")
 
 
-def double_or_null(column: str) -> Column:
-    return F.col(column).try_cast("double")
+def fixed_or_null(column: str) -> Column:
+    """A coordinate as a fixed-point number, whose sums are exact."""
+    return F.col(column).try_cast("decimal(20,9)")
 
 
 def timestamp_or_null(column: str) -> Column:

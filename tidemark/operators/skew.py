@@ -1,21 +1,46 @@
-"""Join a big side with hot keys to a side that is (nearly) unique per key."""
+"""Hot keys: found while a table is written, and joined in parts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows one task should take for a single key
+TRACKED = 200_000  # keys a heavy-hitter summary keeps
+MOST_CANDIDATES = 100_000  # what one summary gives away at most
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, _parts)`` for every key above ``hot_rows`` rows; at most rows / hot_rows of them.
+def heavy_hitters(key: str, hot_rows: int = HOT_ROWS, tracked: int = TRACKED) -> Column:
+    """Aggregate: ``(item, count)`` of every key that may hold more than ``hot_rows`` rows.
+
+    A summary of at most ``tracked`` keys, merged from one per task, whose counts are never too low. It
+    fits into ``observe`` of a write, so that looking for hot keys costs no scan.
+    """
+    k = min(MOST_CANDIDATES, tracked // 2)
+    return F.expr(f"filter(approx_top_k(`{key}`, {k}, {tracked}), x -> x.item IS NOT NULL AND x.count > {hot_rows})")
 
-    Counting combines map-side, so a hot key sends one row per map task.
+
+def least_hot(rows: int, hot_rows: int = HOT_ROWS, tracked: int = TRACKED) -> int:
+    """A key above this many rows is surely among the ``heavy_hitters`` of a table of ``rows`` rows.
+
+    The summary's error is at most 3.5 rows / map size; it names keys of more than twice that. Beyond
+    ``tracked * hot_rows / 6`` rows of the table the limit grows with the table, as do its tasks.
     """
+    k = min(MOST_CANDIDATES, tracked // 2)
+    return max(hot_rows, -(-6 * rows // tracked), -(-rows // k))
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(key, _rows)`` for every key above ``hot_rows`` rows, counted exactly; map-side sums."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    parts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
-    return counts.filter(F.col("_rows") > hot_rows).select(key, parts.alias("_parts"))
+    return counts.filter(F.col("_rows") > hot_rows)
+
+
+def confirmed(df: DataFrame, key: str, candidates: list, least: int) -> DataFrame:
+    """``(key, _rows)`` of the candidates above ``least`` rows, counted exactly; nothing else is counted."""
+    named = df.sparkSession.createDataFrame([(c,) for c in candidates], df.select(key).schema)
+    few = F.broadcast(named)  # MOST_CANDIDATES rows at most
+    return hot_keys(df.select(key).join(few, key, "left_semi"), key, least)
 
 
 def spread_join(
@@ -23,42 +48,35 @@ def spread_join(
     other: DataFrame,
     key: str,
     how: str = "inner",
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    big_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` in which each hot key of ``big`` is split over several tasks.
 
-    A caller who knows the size of ``big`` (say, from when it was written) may pass ``big_rows``:
-    up to ``hot_rows`` rows no key can be hot, and the search for hot keys is left out.
+    ``hot`` has the hot keys and their ``_rows``, as ``confirmed`` or ``hot_keys`` count them: at most
+    ``MOST_CANDIDATES``. Rows of all other keys join plainly and keep the layout they are stored in;
+    without ``hot`` all rows do.
 
-    The part of a row follows from its values and its input task, so it is the same after a retry;
+    The part of a hot row follows from its values and its input task, so it is the same after a retry;
     rows of one key are spread even if one task read them all, and exact copies if several did.
-    ``other`` repeats only its hot rows, once per part. Every row still meets every partner once.
-    Only ``inner`` and ``left`` keep that promise. How the keys reach the rows is left to Spark,
-    which broadcasts them if they are few, as they mostly are.
+    ``other`` repeats only its hot rows, once per part. Every row still meets every partner once. Only
+    ``inner`` and ``left`` keep that promise; in a left join NULL keys, which meet nobody, aren't shuffled.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join supports inner and left, not {how!r}")
     # Size estimates of a narrow scan can make the big side look fit for broadcast; it is not,
     # hence the merge hints.
-    if big_rows is not None and big_rows <= hot_rows:
+    if hot is None:
         return big.join(other.hint("merge"), key, how)
-    hot = hot_keys(big, key, hot_rows)
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    parts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
+    few = F.broadcast(hot.select(key, parts.alias("_parts")))
+    known = big.filter(F.col(key).isNotNull())
+    cold = known.join(few, key, "left_anti").join(other.hint("merge"), key, how)
     scatter = F.pmod(F.xxhash64(*big.columns), F.lit(1 << 30)).cast("int") + F.spark_partition_id()
-    left = (
-        big.withColumn("_scatter", scatter)
-        .join(hot, key, "left")
-        # a NULL key meets nobody, so a left join may scatter those rows freely
-        .withColumn(
-            "_part",
-            F.when(F.col(key).isNull(), F.col("_scatter")).otherwise(F.pmod("_scatter", parts)),
-        )
-        .drop("_parts", "_scatter")
-    )
-    right = (
-        other.join(hot, key, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_parts")
-    )
-    return left.join(right.hint("merge"), [key, "_part"], how).drop("_part")
+    left = big.withColumn("_scatter", scatter).join(few, key)
+    left = left.withColumn("_part", F.pmod("_scatter", "_parts")).drop("_parts", "_scatter")
+    right = other.join(few, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    joined = cold.unionByName(left.join(right.hint("merge"), [key, "_part"], how).drop("_part"))
+    if how == "left":
+        joined = joined.unionByName(big.filter(F.col(key).isNull()).join(other.limit(0), key, how))
+    return joined

@@ -15,6 +15,7 @@ TABLES: dict[str, str] = {
     "silver.pagamentos": "Payments, one row per order and payment sequence.",
     "silver.avaliacoes": "Reviews, the latest answer per review_id.",
     "silver.geolocalizacao": "One mean point per zip prefix.",
+    "silver.pedido_pessoa": "The person of every order whose customer is known.",
     "gold.dim_cliente": "One row per person, over all their order-level ids.",
     "gold.dim_produto": "One row per product.",
     "gold.dim_vendedor": "One row per seller.",
@@ -23,6 +24,10 @@ TABLES: dict[str, str] = {
     "gold.fato_vendas": "Sales at item grain; payment and review values are the order's.",
     "gold.pedido_totais": "One row per order of the fact: its values and the sums over its items.",
     "gold.pessoa_totais": "One row per person: the sums over their orders, cancelled left out.",
+    "gold.pessoa_numero": "A dense number for every person, by state.",
+    "gold.pedido_numero": "A dense number for every order of the fact, by month.",
+    "gold.pessoa_mes": "The set of persons who bought in a month, by state, as bitmaps; merge with bitmap_or_agg.",
+    "gold.pedido_categoria_mes": "The set of orders of a month, by category, as bitmaps; merge with bitmap_or_agg.",
     "gold.mart_vendas_mensal": "Revenue, orders and ticket per month, cancelled orders left out.",
     "gold.mart_categoria_performance": "Revenue and volume per category, cancelled left out.",
     "gold.mart_vendedor_performance": "Revenue, volume and lateness per seller, cancelled left out.",

@@ -88,26 +88,36 @@ def review_per_order(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(F.avg("nota").alias("nota_avaliacao"))
 
 
+def order_persons(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """The person of every order; stored by order, it saves whoever joins by order a shuffle."""
+    person = customers.select("customer_id", F.col("customer_unique_id").alias("cliente_id"))
+    return orders.select("order_id", "customer_id").join(person, "customer_id").select("order_id", "cliente_id")
+
+
 def sales_fact(
     items: DataFrame,
     orders: DataFrame,
     customers: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    item_rows: int | None = None,
+    persons: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order item; payment and review values are the order's, repeated per item.
 
-    Everything of order grain is joined first, so the items, the biggest table, are shuffled once;
-    an order holding more than ``hot_rows`` items is split over several tasks. ``item_rows``, the
-    number of items if known, saves the search for such orders when there are too few items.
+    Everything of order grain is joined first, so the items, the biggest table, are shuffled once, or not at
+    all where all tables are stored in buckets by order. ``hot`` names orders of so many items that
+    they are split over several tasks; it comes from when the items were written. ``persons`` are the stored
+    ``order_persons``; without them, customers are joined here.
     """
+    if persons is None:
+        person = customers.select("customer_id", F.col("customer_unique_id").alias("cliente_id"))
+        known = orders.join(person, "customer_id")
+    else:
+        known = orders.join(persons, "order_id")
     order_level = (
-        orders.join(
-            customers.select("customer_id", F.col("customer_unique_id").alias("cliente_id")),
-            "customer_id",
-        )
+        known
         .join(payment_per_order(payments), "order_id", "left")
         .join(review_per_order(reviews), "order_id", "left")
         .select(
@@ -128,9 +138,7 @@ def sales_fact(
     lines = items.select(
         "order_id", "item_id", "product_id", "seller_id", "preco", "frete", "valor_item"
     )
-    sales = spread_join(
-        lines, order_level, "order_id", hot_rows=hot_rows, big_rows=item_rows
-    )
+    sales = spread_join(lines, order_level, "order_id", hot=hot, hot_rows=hot_rows)
     return sales.select(
         F.col("order_id").alias("pedido_id"),
         "item_id",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import mean_rounded, per_unit
+from tidemark.operators.distinct import NUMBER, distinct_sets, numbered
 
 # Fixed value: the name the mart gives to products without a category.
 UNCATEGORISED = "sem_categoria"
@@ -16,23 +17,22 @@ def sold(fact: DataFrame) -> DataFrame:
     return fact.filter(~F.col("cancelado"))
 
 
-def order_totals(fact: DataFrame) -> DataFrame:
+ORDER_VALUES = ("cliente_id", "data_compra", "cancelado", "metodo_pagamento_principal", "valor_pago")
+
+
+def order_totals(
+    fact: DataFrame, values: tuple[str, ...] = ORDER_VALUES, repeats: bool = False
+) -> DataFrame:
     """The fact at order grain, cancelled orders included: one row per order, far smaller.
 
-    Order-level values repeat on every item, so they are group keys; averages over items keep their
-    sums and counts. ``itens_repetidos`` counts items beyond the first of their number.
+    Order-level values repeat on every item, so they are group keys, and a report that is computed once names
+    those it needs: what makes the others is then not read. Averages over items keep their sums and counts.
+    ``repeats``, for totals that are kept, adds ``itens_repetidos``: items beyond the first of their number.
     """
     repeated = F.count(F.lit(1)) - F.count_distinct("item_id") - F.max(F.col("item_id").isNull().cast("int"))
-    return fact.groupBy(
-        "pedido_id",
-        "cliente_id",
-        "data_compra",
-        "cancelado",
-        "metodo_pagamento_principal",
-        "valor_pago",
-    ).agg(
+    return fact.groupBy("pedido_id", *values).agg(
         F.count(F.lit(1)).alias("itens"),
-        repeated.alias("itens_repetidos"),
+        *([repeated.alias("itens_repetidos")] if repeats else []),
         F.sum("receita").alias("receita"),
         F.sum("nota_avaliacao").alias("nota_soma"),
         F.count("nota_avaliacao").alias("nota_n"),
@@ -132,3 +132,33 @@ def geography_sales(persons_sold: DataFrame, persons: DataFrame) -> DataFrame:
             F.sum("receita").cast(REVENUE).alias("receita"),
         )
     )
+
+
+# Distinct counts that add up over months: sets of dense numbers, see ``operators.distinct``.
+
+
+def person_numbers(persons: DataFrame) -> DataFrame:
+    """``(cliente_id, uf, numero)``: persons of a state have neighbouring numbers."""
+    numbers = numbered(persons, "customer_unique_id", near="uf")
+    return persons.join(numbers, "customer_unique_id").select(
+        F.col("customer_unique_id").alias("cliente_id"), "uf", NUMBER
+    )
+
+
+def order_numbers(totals: DataFrame) -> DataFrame:
+    """``(pedido_id, numero)``: orders of a month have neighbouring numbers."""
+    return numbered(totals, "pedido_id", near="ano_mes")
+
+
+def person_sets(totals: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Who bought in each month, by the state of the person's latest address; cancelled orders left out."""
+    bought = sold(totals).select("ano_mes", "cliente_id").join(numbers, "cliente_id")
+    return distinct_sets(bought, "ano_mes", "uf")
+
+
+def order_sets(fact: DataFrame, products: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The orders of each month by category, cancelled ones left out; an order can be in several categories."""
+    category = products.select(F.col("product_id").alias("produto_id"), "categoria_en")
+    lines = sold(fact).select("ano_mes", "pedido_id", "produto_id").join(category, "produto_id", "left")
+    named = lines.withColumn("categoria_en", F.coalesce("categoria_en", F.lit(UNCATEGORISED)))
+    return distinct_sets(named.join(numbers, "pedido_id"), "ano_mes", "categoria_en")

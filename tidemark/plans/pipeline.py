@@ -12,25 +12,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.audit import stamped, with_comments
+from tidemark.operators.checksum import FIELDS, content
 from tidemark.operators.quality import quality_gate
+from tidemark.operators.skew import HOT_ROWS
 from tidemark.plans import descriptions, gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import tune
 from tidemark.sources.bronze import (
+    CONTENT,
     ReconciliationError,
     ingest_all_string,
+    landed_contents,
+    reconcile_contents,
     reconcile_counts,
+    require_contents,
     require_reconciled,
 )
 from tidemark.sources.landing import append_arrival_log, arrival_check, read_modes
+from tidemark.sources.layout import Layout, attach_statements, months_of, partition_path, with_month, write_laid_out
 from tidemark.sources.tables import (
     delete_folder,
     folders_in,
     name_over_files,
     name_over_query,
+    name_over_table,
     read_text,
+    write_finding_hot,
     write_table,
     write_text,
+    write_watched,
 )
 
 # Columns whose text must be an amount, and the silver table that is made of them.
@@ -40,6 +50,23 @@ AMOUNTS = {
 }
 ON_BAD = ("abort", "quarantine")
 
+# Tables that are joined by order, in buckets of it; those at the grain of sales also by month of purchase.
+LAYOUTS = {
+    "silver.pedidos": Layout("order_id"),
+    "silver.itens_pedido": Layout("order_id"),
+    "silver.pagamentos": Layout("order_id"),
+    "silver.avaliacoes": Layout("order_id"),
+    "silver.pedido_pessoa": Layout("order_id"),
+    "gold.fato_vendas": Layout("pedido_id", month="data_compra"),
+    "gold.pedido_totais": Layout("pedido_id", month="data_compra"),
+}
+# Raw tables in which one order may have very many rows, and what is made of each by order.
+BY_ORDER = {
+    "order_items": ("silver.itens_pedido", "gold.fato_vendas"),
+    "order_payments": ("silver.pagamentos",),
+    "order_reviews": ("silver.avaliacoes",),
+}
+
 CONCURRENT_WRITES = 4  # independent tables share the cluster instead of queueing
 
 
@@ -48,31 +75,91 @@ def side_by_side(work: Callable[[str], object], names: Iterable[str]) -> list:
         return list(pool.map(work, names))
 
 
-class Run:
-    """One full refresh in its own folder, so readers keep the old tables until it passes."""
+def readable(columns: Iterable[str]) -> Column:
+    """Whether every one of the columns is NULL or an amount."""
+    return reduce(
+        Column.__and__,
+        (F.col(c).isNull() | F.col(c).try_cast("decimal(18,2)").isNotNull() for c in columns),
+    )
+
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
+class Run:
+    """One full refresh in its own folder, so readers keep the old tables until it passes.
+
+    Tables joined by order lie in ``buckets`` of the order, as tables of the run's own schema. A raw table with
+    a hot order, of over ``hot_rows`` rows, is found while it is written; what is made of it by order is then
+    stored without buckets, as one of them would hold all those rows.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        run_id: str | None = None,
+        buckets: int | None = None,
+        hot_rows: int = HOT_ROWS,
+    ):
         self.spark = tune(spark)
         self.root = root.rstrip("/")
         self.run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         self.log_path = f"{self.root}/bronze/_raw_arquivos"
         self.rows: dict[str, int] = {}
         self.comments = dict(descriptions.TABLES)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.hot_rows = hot_rows
+        self.hot: dict[str, DataFrame] = {}
+        self.laid_out: dict[str, Layout] = {}
+
+    @property
+    def schema(self) -> str:
+        return schema_of(self.run_id)
 
     def path(self, name: str) -> str:
         return f"{self.root}/runs/{self.run_id}/{name.replace('.', '/')}"
 
+    def table(self, name: str) -> str:
+        return f"{self.schema}.{name.replace('.', '_')}"
+
     def read(self, name: str) -> DataFrame:
+        if name in self.laid_out:
+            return self.spark.table(self.table(name))
         return self.spark.read.parquet(self.path(name))
 
-    def write(self, name: str, df: DataFrame) -> int:
+    def layout(self, name: str) -> Layout | None:
+        if any(name in made for raw, made in BY_ORDER.items() if raw in self.hot):
+            return None
+        return LAYOUTS.get(name)
+
+    def write(self, name: str, df: DataFrame, dealt: bool = False) -> int:
         rules = gate.CONSTRAINTS.get(name.split(".")[1], ())
+        if name in LAYOUTS:
+            df = with_month(df, LAYOUTS[name])
         commented = with_comments(df, descriptions.COLUMNS.get(name, {}))
-        self.rows[name] = write_table(commented, self.path(name), rules)
+        if layout := self.layout(name):
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema}")
+            self.rows[name] = write_laid_out(
+                commented, self.table(name), self.path(name), layout, self.buckets, rules, dealt
+            )
+            self.laid_out[name] = layout
+        else:
+            self.rows[name] = write_table(commented, self.path(name), rules)
         return self.rows[name]
 
+    def write_raw(self, table: str, df: DataFrame) -> tuple[int, str, int]:
+        """Write a raw table; its number of rows and the checksum of what was written."""
+        name, path = f"bronze.{table}", self.path(f"bronze.{table}")
+        sums = content(raw_schema(table).fieldNames())
+        if table in BY_ORDER:
+            seen, hot = write_finding_hot(df, path, "order_id", self.hot_rows, more=sums)
+            if hot is not None:
+                self.hot[table] = hot
+        else:
+            seen = write_watched(df, path, more=sums)
+        self.rows[name] = seen["_rows"]
+        return tuple(seen[c] for c in FIELDS)
+
     def bronze(self, landing: str, expected: dict[str, str]) -> None:
-        """Check arrival, load every file as text and prove the counts."""
+        """Check arrival, load every file as text, and prove that counts and contents are those of the files."""
         landing = landing.rstrip("/")
         for table, name in expected.items():
             self.comments[f"bronze.{table}"] = descriptions.BRONZE.format(file=name)
@@ -80,18 +167,19 @@ class Run:
         append_arrival_log(
             arrival_check(self.spark, landing, expected, modes=modes), self.log_path
         )
+        landed = landed_contents(self.spark, landing, expected, modes).collect()  # one row per table
 
-        def load(table: str) -> tuple[str, int]:
+        def load(table: str) -> tuple:
             name = expected[table]
             df = ingest_all_string(
                 self.spark, f"{landing}/{name}", raw_schema(table), modes[name]
             )
-            return table, self.write(f"bronze.{table}", df)
+            return table, *self.write_raw(table, df)
 
-        counts = self.spark.createDataFrame(
-            side_by_side(load, expected), "tabela string, linhas_bronze long"
-        )
+        loaded = self.spark.createDataFrame(side_by_side(load, expected), CONTENT)
+        counts = loaded.select("tabela", F.col("linhas").alias("linhas_bronze"))
         require_reconciled(reconcile_counts(self.spark.read.parquet(self.log_path), counts))
+        require_contents(reconcile_contents(self.spark.createDataFrame(landed, CONTENT), loaded))
 
     def silver(self, on_bad: str = "abort") -> None:
         """Clean every table. Unreadable amounts abort the load or, with ``quarantine``, their rows
@@ -104,20 +192,19 @@ class Run:
             lambda name: self.write(f"silver.{name}", silver.silver_table(name, raw)),
             silver.TABLES,
         )
+        orders, customers = self.read("silver.pedidos"), self.read("silver.clientes")
+        self.write("silver.pedido_pessoa", gold.order_persons(orders, customers))
         for table, (name, _) in AMOUNTS.items():
             kept, aside = self.rows[f"silver.{name}"], self.rows.get(f"quarantine.{table}", 0)
             if kept + aside != self.rows[f"bronze.{table}"]:
                 raise ReconciliationError(f"rows of {table} got lost: {kept} kept, {aside} set aside")
 
     def set_aside(self, table: str, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-        readable = reduce(
-            Column.__and__,
-            (F.col(c).isNull() | F.col(c).try_cast("decimal(18,2)").isNotNull() for c in columns),
-        )
+        good = readable(columns)
         name = f"quarantine.{table}"
-        self.write(name, rows.filter(~readable))
+        self.write(name, rows.filter(~good))
         self.comments[name] = descriptions.QUARANTINE.format(table=table)
-        return rows.filter(readable)
+        return rows.filter(good)
 
     def gold(self, as_of: Column | None = None) -> None:
         """Dimensions and fact read only silver; marts and metrics read only gold."""
@@ -130,7 +217,9 @@ class Run:
                     s["clientes"],
                     s["pagamentos"],
                     s["avaliacoes"],
-                    item_rows=self.rows.get("silver.itens_pedido"),
+                    hot=self.hot.get("order_items"),
+                    hot_rows=self.hot_rows,
+                    persons=self.read("silver.pedido_pessoa"),
                 )
             ),
             "dim_cliente": lambda: gold.person_dimension(
@@ -141,12 +230,26 @@ class Run:
             "dim_geografia": lambda: gold.geography_dimension(s["geolocalizacao"]),
             "dim_calendario": lambda: gold.calendar_dimension(s["pedidos"]),
         }
-        side_by_side(lambda name: self.write(f"gold.{name}", build[name]()), build)
+        # the tables it is joined of are dealt by order already
+        dealt = not self.hot
+        side_by_side(
+            lambda name: self.write(f"gold.{name}", build[name](), dealt and name == "fato_vendas"), build
+        )
 
         fact = self.read("gold.fato_vendas")
-        self.write("gold.pedido_totais", marts.order_totals(fact))
+        totals = marts.order_totals(fact, repeats=True)
+        self.write("gold.pedido_totais", totals, dealt="gold.fato_vendas" in self.laid_out)
         orders = self.read("gold.pedido_totais")
         self.write("gold.pessoa_totais", marts.person_totals(orders))
+        self.write("gold.pessoa_numero", marts.person_numbers(self.read("gold.dim_cliente")))
+        self.write("gold.pedido_numero", marts.order_numbers(orders))
+        sets = {
+            "pessoa_mes": lambda: marts.person_sets(orders, self.read("gold.pessoa_numero")),
+            "pedido_categoria_mes": lambda: marts.order_sets(
+                fact, self.read("gold.dim_produto"), self.read("gold.pedido_numero")
+            ),
+        }
+        side_by_side(lambda name: self.write(f"gold.{name}", sets[name]()), sets)
         reports = {
             "mart_vendas_mensal": lambda: marts.monthly_sales(orders),
             "mart_categoria_performance": lambda: marts.category_performance(
@@ -196,7 +299,12 @@ class Run:
         """One statement per published name; each replaces its name in one step."""
         views = [f"gold.{name}" for name in kpis.VIEWS]
         names = {n: c for n, c in self.comments.items() if n not in views}
-        found = [name_over_files(self.spark, self.path(n), n, c) for n, c in names.items()]
+        found = [
+            name_over_table(self.spark, self.table(n), n, c)
+            if n in self.laid_out
+            else name_over_files(self.spark, self.path(n), n, c)
+            for n, c in names.items()
+        ]
         found.append(
             name_over_files(self.spark, self.log_path, "bronze._raw_arquivos", descriptions.LOG)
         )
@@ -206,6 +314,16 @@ class Run:
             found.append(name_over_query(query, view, self.comments[view]))
         return found
 
+    def attachments(self) -> list[str]:
+        """What a catalog that lost them, or never had them, needs to know the run's tables."""
+        found = []
+        for name, layout in self.laid_out.items():
+            table, path = self.table(name), self.path(name)
+            months = months_of(self.spark, table) if layout.month else []
+            places = {m: partition_path(path, m) for m in months}
+            found += attach_statements(self.read(name), table, path, layout, self.buckets, places)
+        return found
+
     def publish(self) -> None:
         """Point every name to this run.
 
@@ -214,6 +332,7 @@ class Run:
         """
         statements = self.statements()
         write_text(self.spark, f"{self.path('')}names.json", json.dumps(statements))
+        write_text(self.spark, f"{self.path('')}tables.json", json.dumps(self.attachments()))
         for schema in sorted({name.split(".")[0] for name in self.comments}):
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
         before = published(self.spark, self.root)
@@ -222,6 +341,7 @@ class Run:
             switch(self.spark, statements)
         except Exception:
             if before:
+                attach(self.spark, self.root, before)
                 switch(self.spark, names_of(self.spark, self.root, before))
                 write_text(self.spark, f"{self.root}/{STATE}", json.dumps({"run": before}))
             raise
@@ -231,6 +351,16 @@ class Run:
 STATE = "published.json"
 
 
+def schema_of(run_id: str) -> str:
+    return "run_" + "".join(c if c.isalnum() else "_" for c in run_id)
+
+
+def attach(spark: SparkSession, root: str, run_id: str) -> None:
+    """Make a run's tables known again where the catalog has lost them; does nothing where it hasn't."""
+    for statement in json.loads(read_text(spark, f"{root}/runs/{run_id}/tables.json") or "[]"):
+        spark.sql(statement)
+
+
 def switch(spark: SparkSession, statements: list[str]) -> None:
     for statement in statements:
         name = statement.split()[4]
@@ -254,6 +384,7 @@ def repair(spark: SparkSession, root: str) -> str | None:
     root = root.rstrip("/")
     state = json.loads(read_text(spark, f"{root}/{STATE}") or "{}")
     if run_id := state.get("next"):
+        attach(spark, root, run_id)
         switch(spark, names_of(spark, root, run_id))
         write_text(spark, f"{root}/{STATE}", json.dumps({"run": run_id}))
         return run_id
@@ -268,6 +399,7 @@ def expire_runs(spark: SparkSession, root: str, keep: int = 7) -> list[str]:
     staying = {*runs[max(0, len(runs) - max(keep, 1)) :], state.get("run"), state.get("next")}
     gone = [run for run in runs if run not in staying]
     for run in gone:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema_of(run)} CASCADE")
         delete_folder(spark, f"{root}/runs/{run}")
     return gone
 

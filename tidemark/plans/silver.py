@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    double_or_null,
+    fixed_or_null,
     int_or_null,
     money,
     place_name,
@@ -139,8 +139,8 @@ def clean_geolocation(raw: DataFrame) -> DataFrame:
     return mean_point_per_key(
         raw,
         zip_prefix("geolocation_zip_code_prefix"),
-        double_or_null("geolocation_lat"),
-        double_or_null("geolocation_lng"),
+        fixed_or_null("geolocation_lat"),
+        fixed_or_null("geolocation_lng"),
         place_name("geolocation_city"),
         state_code("geolocation_state"),
     )

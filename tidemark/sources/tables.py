@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.expectations import Expectation, raise_if_violated, violation_counts
+from tidemark.operators.skew import HOT_ROWS, TRACKED, confirmed, heavy_hitters, least_hot
+
+
+def observed(
+    df: DataFrame, expectations: Sequence[Expectation] = (), more: dict[str, Column] | None = None
+) -> tuple[DataFrame, Observation]:
+    """The frame with what is to be seen of it while it is written: rows, violations, further aggregates."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("_rows"), *violation_counts(expectations)]
+    return df.observe(seen, *counts, *(c.alias(n) for n, c in (more or {}).items())), seen
+
+
+def settle(seen: Observation, path: str, more: Iterable[str] = ()) -> dict:
+    """What was seen; an error if a constraint was violated."""
+    found = dict(seen.get)
+    kept = {name: found.pop(name) for name in ("_rows", *more)}
+    raise_if_violated(found, path)
+    return kept
 
 
 def write_table(df: DataFrame, path: str, expectations: Sequence[Expectation] = ()) -> int:
@@ -16,13 +34,43 @@ def write_table(df: DataFrame, path: str, expectations: Sequence[Expectation] =
     Rows and constraint violations are counted while writing, so neither needs another scan. On a
     violation the files stay for inspection, but the error stops the run before publication.
     """
-    seen = Observation()
-    counts = [F.count(F.lit(1)).alias("_rows"), *violation_counts(expectations)]
-    df.observe(seen, *counts).write.mode("errorifexists").parquet(path)
-    found = dict(seen.get)
-    rows = found.pop("_rows")
-    raise_if_violated(found, path)
-    return rows
+    return write_watched(df, path, expectations)["_rows"]
+
+
+def write_watched(
+    df: DataFrame,
+    path: str,
+    expectations: Sequence[Expectation] = (),
+    more: dict[str, Column] | None = None,
+) -> dict:
+    """``write_table`` that also gives further aggregates over the rows written, by their names."""
+    rows, seen = observed(df, expectations, more)
+    rows.write.mode("errorifexists").parquet(path)
+    return settle(seen, path, more or ())
+
+
+def write_finding_hot(
+    df: DataFrame,
+    path: str,
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    tracked: int = TRACKED,
+    more: dict[str, Column] | None = None,
+) -> tuple[dict, DataFrame | None]:
+    """What was seen while writing, and the keys with more than ``hot_rows`` rows (``None``: there are none).
+
+    A summary taken while writing names the candidates; only they are counted, and only if there are any.
+    """
+    found = write_watched(df, path, more={**(more or {}), "_hot": heavy_hitters(key, hot_rows, tracked)})
+    candidates = [x["item"] for x in found.pop("_hot") or ()]
+    if not candidates:
+        return found, None
+    spark = df.sparkSession
+    least = least_hot(found["_rows"], hot_rows, tracked)
+    place = f"{path.rstrip('/')}_quentes"
+    hot = confirmed(spark.read.schema(df.schema).parquet(path), key, candidates, least)
+    number = write_table(hot.coalesce(1), place)
+    return found, spark.read.parquet(place) if number else None
 
 
 def quoted(text: str) -> str:
@@ -34,14 +82,20 @@ def name_over_files(spark: SparkSession, path: str, name: str, comment: str = ""
 
     The name is a view over the files, so one statement replaces it and readers always find it.
     """
+    return _name_over(spark.read.parquet(path), f"parquet.`{path}`", name, comment)
+
+
+def name_over_table(spark: SparkSession, table: str, name: str, comment: str = "") -> str:
+    """The same over a table, whose buckets and partitions its readers profit from."""
+    return _name_over(spark.table(table), table, name, comment)
+
+
+def _name_over(df: DataFrame, source: str, name: str, comment: str) -> str:
     columns = ", ".join(
         f"`{field.name}`" + (f" COMMENT {quoted(note)}" if (note := field.metadata.get("comment")) else "")
-        for field in spark.read.parquet(path).schema.fields
-    )
-    return (
-        f"CREATE OR REPLACE VIEW {name} ({columns}) COMMENT {quoted(comment)} "
-        f"AS SELECT * FROM parquet.`{path}`"
+        for field in df.schema.fields
     )
+    return f"CREATE OR REPLACE VIEW {name} ({columns}) COMMENT {quoted(comment)} AS SELECT * FROM {source}"
 
 
 def name_over_query(query: str, name: str, comment: str = "") -> str:

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 import re
 
+from tidemark.plans import descriptions
+from tidemark.sources.layout import MONTH, MONTH_NOTE
+
 
 def stamp(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
@@ -37,6 +40,12 @@ def whole(expr: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({expr}), '[+-]?[0-9]+') THEN try_cast({expr} AS int) END"
 
 
+def fixed_mean(expr: str) -> str:
+    """Mean of nine-digit numbers: an exact sum, one division."""
+    number = f"try_cast({expr} AS decimal(20,9))"
+    return f"sum(cast({number} * 1000000000 AS hugeint))::DOUBLE / nullif(count({number})::DOUBLE * 1e9, 0)"
+
+
 CTES: dict[str, str] = {
     # raw
     "r_customers": """
@@ -143,8 +152,8 @@ CTES: dict[str, str] = {
                            AS data_resposta
                 FROM events)) WHERE n = 1""",
     "geolocalizacao": f"""
-        SELECT {zip5("zip")} AS cep_prefixo, round(avg(try_cast(lat AS double)), 6) AS latitude,
-               round(avg(try_cast(lng AS double)), 6) AS longitude,
+        SELECT {zip5("zip")} AS cep_prefixo, {fixed_mean("lat")} AS latitude,
+               {fixed_mean("lng")} AS longitude,
                min({initcap("city")}) AS cidade, min(upper(trim(state))) AS uf,
                count(*) AS qtd_pontos_origem
         FROM r_geolocation GROUP BY 1""",
@@ -378,6 +387,8 @@ GOLD_ROWS = {
     "fato_vendas": "count(*) FROM fato",
     "pedido_totais": "count(DISTINCT pedido_id) FROM fato",
     "pessoa_totais": "count(DISTINCT cliente_id) FROM valido",
+    "pessoa_numero": "count(*) FROM dim_cliente",
+    "pedido_numero": "count(DISTINCT pedido_id) FROM fato",
     "mart_vendas_mensal": "count(*) FROM m_mensal",
     "mart_categoria_performance": "count(*) FROM m_categoria",
     "mart_vendedor_performance": "count(DISTINCT vendedor_id) FROM valido",
@@ -385,10 +396,42 @@ GOLD_ROWS = {
         JOIN dim_cliente d ON d.customer_unique_id = cliente_id""",
 }
 
+
+
+def contents_of(name: str, same: bool = True) -> str:
+    return (
+        f"SELECT '{name}' AS tabela, count(*) AS linhas_raw, count(*) AS linhas_bronze, true AS conta_bate, "
+        f"{str(same).lower()} AS conteudo_bate FROM {RAW_ROWS[name]}"
+    )
+
+
+def literal(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def described() -> list[tuple[str, str | None, str]]:
+    """The written descriptions, as the catalog should give them back."""
+    rows = [(f"bronze.{name}", None, descriptions.BRONZE.format(file=f"{name}.csv")) for name in RAW_ROWS]
+    rows += [(name, None, text) for name, text in descriptions.TABLES.items()]
+    rows += [(name, c, text) for name, columns in descriptions.COLUMNS.items() for c, text in columns.items()]
+    return rows + [(name, MONTH, MONTH_NOTE) for name in ("gold.fato_vendas", "gold.pedido_totais")]
+
+
+# Queries that give what another gives, by another way: from tables in buckets, or through published names.
+SAME = {
+    "sales_fact_in_buckets": "sales_fact",
+    "view_kpi_snapshot": "kpi_snapshot",
+    "view_cancellation_rate": "cancellation_rate",
+    "view_payment_mix_per_item_value": "payment_mix_per_item_value",
+    "view_payment_mix_per_order": "payment_mix_per_order",
+    "view_top_categories": "top_categories",
+}
+
 STATEMENTS: dict[str, str] = {
     "refresh_tables": " UNION ALL ".join(
         [f"SELECT 'bronze.{name}' AS tabela, count(*) AS linhas FROM {source}" for name, source in RAW_ROWS.items()]
         + [f"SELECT 'silver.{name}', count(*) FROM {cte}" for name, (_, cte) in SOURCES.items()]
+        + ["SELECT 'silver.pedido_pessoa', count(*) FROM pedidos JOIN clientes USING (customer_id)"]
         + [f"SELECT 'gold.{name}', {rows}" for name, rows in GOLD_ROWS.items()]
     ),
     "arrival_check": " UNION ALL ".join(
@@ -479,6 +522,37 @@ STATEMENTS: dict[str, str] = {
     ),
     "top_categories": f"""SELECT * REPLACE ({money("receita")}) FROM m_categoria
         ORDER BY m_categoria.receita DESC, categoria_en LIMIT 10""",
+    # stored tables and published names
+    "bronze_contents": " UNION ALL ".join(contents_of(name) for name in RAW_ROWS),
+    "bronze_contents_swapped": " UNION ALL ".join(
+        contents_of(name, name not in ("order_payments", "orders", "customers")) for name in RAW_ROWS
+    ),
+    "arrival_log": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, '{name}.csv' AS arquivo, count(*) AS linhas, 2::BIGINT AS conferencias, "
+        f"true AS bytes_batem FROM {source}"
+        for name, source in RAW_ROWS.items()
+    ),
+    "quarantined_items": """
+        SELECT cast(l_orderkey AS varchar) AS order_id, cast(l_linenumber AS varchar) AS order_item_id,
+               'R$ ' || cast(cast(l_extendedprice AS decimal(18,2)) AS varchar) AS price,
+               cast(cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_tax AS decimal(4,2)) AS decimal(18,2)) AS varchar)
+                   AS freight_value,
+               (SELECT count(*) FROM lineitem WHERE l_orderkey % 13 <> 0) AS linhas_mantidas
+        FROM lineitem WHERE l_orderkey % 13 = 0""",
+    "monthly_sales_1995": f"""SELECT * REPLACE ({money("receita")}),
+        {per_order("m_mensal.receita", "total_pedidos")} AS ticket_medio FROM m_mensal WHERE ano = 1995""",
+    "distinct_persons_by_quarter": """
+        SELECT cast(year(data_compra) AS int) AS ano, cast(quarter(data_compra) AS int) AS trimestre, d.uf,
+               count(DISTINCT cliente_id) AS pessoas
+        FROM valido JOIN dim_cliente d ON d.customer_unique_id = cliente_id GROUP BY 1, 2, 3
+        UNION ALL SELECT NULL, NULL, NULL, count(DISTINCT cliente_id) FROM valido""",
+    "distinct_orders_by_category": """
+        SELECT cast(year(data_compra) AS int) AS ano, coalesce(d.categoria_en, 'sem_categoria') AS categoria_en,
+               count(DISTINCT pedido_id) AS pedidos
+        FROM valido LEFT JOIN produtos d ON d.product_id = produto_id GROUP BY 1, 2""",
+    "published_comments": "SELECT * FROM (VALUES "
+    + ", ".join(f"({', '.join(literal(v) for v in row)})" for row in described())
+    + ") AS d(tabela, coluna, comentario)",
     **CHECKS,
     "check_item_orphans": none(
         "item_sem_pedido",
@@ -612,3 +686,4 @@ FAULTY_STATEMENTS: dict[str, str] = {
 ORACLES = {name: oracle(sql) for name, sql in STATEMENTS.items()} | {
     f"{name}_faulty": oracle(sql, FAULTY_CTES) for name, sql in FAULTY_STATEMENTS.items()
 }
+ORACLES |= {name: ORACLES[of] for name, of in SAME.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,16 +11,25 @@ from pyspark.sql import types as T
 
 from tidemark.functions import zip_digits
 from tidemark.operators import quality
+from tidemark.operators.checksum import FIELDS, content
 from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.distinct import distinct_counts
 from tidemark.operators.expectations import Expectation, enforce, unparseable, violations
-from tidemark.plans import gate, gold, kpis, marts, silver
-from tidemark.plans.pipeline import Run
+from tidemark.plans import descriptions, gate, gold, kpis, marts, silver
+from tidemark.plans.pipeline import AMOUNTS, LAYOUTS, Run
 from tidemark.schemas import manifest, raw_schema
 from tidemark.session import shared_folder, tune
-from tidemark.sources.bronze import ingest_all_string, reconcile_counts
+from tidemark.sources.bronze import (
+    CONTENT,
+    ingest_all_string,
+    landed_contents,
+    reconcile_contents,
+    reconcile_counts,
+)
 from tidemark.sources.csv import LINES, STITCHED, WHOLE
-from tidemark.sources.landing import append_arrival_log, arrival_check
-from tidemark.sources.tables import write_table
+from tidemark.sources.landing import append_arrival_log, arrival_check, drop_name
+from tidemark.sources.layout import MONTH
+from tidemark.sources.tables import write_finding_hot, write_table, write_watched
 from workload.raw_tables import FaultyRawTables, RawTables, repeated, table
 
 AS_OF = "2002-01-01"  # fixed "today" so that results repeat
@@ -39,6 +49,9 @@ REPORT_COLUMNS = (
     "metodo_pagamento_principal",
     "nota_avaliacao",
 )
+MONTHLY = ("data_compra", "cancelado")  # what reports by month need of an order
+# Sets, whose rows are ranges of numbers; the distinct counts over them are queries of their own.
+SETS = ("gold.pessoa_mes", "gold.pedido_categoria_mes")
 HOT_ORDER_ROWS = 8  # small enough that many orders of the provided tables are split
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,8 +115,17 @@ class Tables:
         write_table(self.fact().select(*columns), path)
         return self.spark.read.parquet(path)
 
-    def order_totals(self) -> DataFrame:
-        return marts.order_totals(self.fact())
+    def order_totals(self, *values: str) -> DataFrame:
+        """With the order-level values that a report needs."""
+        return marts.order_totals(self.fact(), values)
+
+    def fact_of_hot_orders(self, hot_rows: int) -> DataFrame:
+        """The fact from items that were written first, which tells their hot orders."""
+        items = self.silver("itens_pedido")
+        path = f"{shared_folder(self.spark)}/itens_pedido"
+        _, hot = write_finding_hot(items, path, "order_id", hot_rows, tracked=1_000_000)
+        sides = (self.silver(n) for n in ("pedidos", "clientes", "pagamentos", "avaliacoes"))
+        return gold.sales_fact(self.spark.read.schema(items.schema).parquet(path), *sides, hot=hot, hot_rows=hot_rows)
 
     def categories(self, fact: DataFrame | None = None) -> DataFrame:
         return marts.category_performance(
@@ -119,7 +141,7 @@ class Tables:
             self.persons(),
             self.geography(),
             self.categories(fact),
-            marts.monthly_sales(marts.order_totals(fact)),
+            marts.monthly_sales(marts.order_totals(fact, MONTHLY)),
             fact_volume=volume,
         )
 
@@ -144,7 +166,7 @@ class FaultyTables(Tables):
         return self.geography().withColumn("cep_prefixo", F.coalesce(cut, "cep_prefixo"))
 
     def months(self, fact: DataFrame) -> DataFrame:
-        return marts.monthly_sales(marts.order_totals(fact)).filter("mes <> 5")
+        return marts.monthly_sales(marts.order_totals(fact, MONTHLY)).filter("mes <> 5")
 
     def report(self, volume: tuple[int, int] = gate.FACT_VOLUME) -> DataFrame:
         fact = self.stored_fact(*REPORT_COLUMNS)
@@ -160,11 +182,6 @@ class FaultyTables(Tables):
         )
 
 
-def rounded_point(df: DataFrame) -> DataFrame:
-    """Means of doubles depend on the order of addition in their last digits."""
-    return df.withColumns({c: F.round(c, 6) for c in ("latitude", "longitude")})
-
-
 def query(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: presentable(build(Tables(spark, sf_dir)))
 
@@ -238,7 +255,7 @@ def category_total(t: Tables) -> DataFrame:
 
 def monthly_total(t: Tables) -> DataFrame:
     fact = t.fact()
-    monthly = marts.monthly_sales(marts.order_totals(fact))
+    monthly = marts.monthly_sales(marts.order_totals(fact, MONTHLY))
     return quality.reconcile_sum(
         "mart_vendas_mensal_soma_igual_fato", monthly, "receita", marts.sold(fact), "receita"
     )
@@ -356,7 +373,127 @@ def refreshed(t: Tables) -> DataFrame:
     run.bronze(landing, manifest())
     run.silver()
     run.gold(F.lit(AS_OF).cast("date"))
-    return t.spark.createDataFrame(sorted(run.rows.items()), "tabela string, linhas long")
+    rows = {name: n for name, n in run.rows.items() if name not in SETS}
+    return t.spark.createDataFrame(sorted(rows.items()), "tabela string, linhas long")
+
+
+def bronze_contents(t: Tables, **swapped: tuple[str, str]) -> DataFrame:
+    """Checksums of all nine drops against what an ingest wrote; some may have two fields swapped on the way."""
+    landing = land(t)
+    loaded = []
+    for name, file in manifest().items():
+        rows = ingest_all_string(t.spark, f"{landing}/{file}", raw_schema(name))
+        if name in swapped:
+            a, b = swapped[name]
+            rows = rows.withColumns({a: F.col(b), b: F.col(a)})
+        path = f"{landing.removesuffix('/landing')}/bronze/{name}"
+        seen = write_watched(rows, path, more=content(raw_schema(name).fieldNames()))
+        loaded.append((name, *(seen[c] for c in FIELDS)))
+    landed = landed_contents(t.spark, landing, manifest())
+    return reconcile_contents(landed, t.spark.createDataFrame(loaded, CONTENT))
+
+
+def quarantined(t: Tables) -> DataFrame:
+    """Items whose price can't be read are set aside, as they came; the others add up to the rest."""
+    raw = t.raw["order_items"]
+    spoilt = raw.withColumn(
+        "price", F.when(F.expr("cast(order_id AS bigint) % 13 = 0"), F.concat(F.lit("R$ "), "price")).otherwise(F.col("price"))
+    )
+    run = Run(t.spark, f"{shared_folder(t.spark)}/lake")
+    kept = run.set_aside("order_items", spoilt, AMOUNTS["order_items"][1])
+    rows = kept.agg(F.count(F.lit(1))).scalar()
+    aside = run.read("quarantine.order_items")
+    return aside.select("order_id", "order_item_id", "price", "freight_value", rows.alias("linhas_mantidas"))
+
+
+def log_rows(t: Tables) -> DataFrame:
+    """The log after two arrivals; sizes against the bytes of the text lines themselves."""
+    landing = land(t)
+    log = f"{landing.removesuffix('/landing')}/log"
+    for _ in range(2):
+        append_arrival_log(arrival_check(t.spark, landing, manifest()), log)
+    lines = t.spark.read.option("recursiveFileLookup", "true").text(landing)
+    size = F.sum(F.octet_length("value") + 1).alias("lidos")
+    read = lines.groupBy(drop_name(F.col("_metadata.file_path"), landing).alias("arquivo")).agg(size)
+    logged = t.spark.read.parquet(log).groupBy("tabela", "arquivo", "linhas", "bytes")
+    counted = logged.agg(F.count_distinct("conferido_em").alias("conferencias"))
+    return counted.join(read, "arquivo").select(
+        "tabela", "arquivo", "linhas", "conferencias", (F.col("bytes") == F.col("lidos")).alias("bytes_batem")
+    )
+
+
+@lru_cache(maxsize=8)
+def stored_run(spark: SparkSession, sf_dir: str) -> Run:
+    """A whole load, from CSV files to marts, kept for the queries that read stored tables."""
+    t = Tables(spark, sf_dir)
+    landing = land(t)
+    run = Run(spark, f"{landing.removesuffix('/landing')}/lake")
+    run.bronze(landing, manifest())
+    run.silver()
+    run.gold(F.lit(AS_OF).cast("date"))
+    return run
+
+
+def lake(t: Tables) -> Run:
+    return stored_run(t.spark, t.sf_dir)
+
+
+def published_run(t: Tables) -> Run:
+    """The same with its names published; another data folder's may have taken their place."""
+    run = lake(t)
+    name = "gold.fato_vendas"
+    shows = t.spark.catalog.tableExists(name) and run.run_id in str(t.spark.sql(f"DESCRIBE EXTENDED {name}").collect())
+    if not shows:
+        run.publish()
+    return run
+
+
+def view(name: str) -> Query:
+    """A published name, read as whoever consumes it does."""
+    return query(lambda t: published_run(t).spark.table(name))
+
+
+def comments(t: Tables) -> DataFrame:
+    """What the catalog says about every published table and about the columns that have a note of their own
+    (others inherit the note of the column they are made of)."""
+    rows = []
+    for name in sorted(published_run(t).comments):
+        noted = {*descriptions.COLUMNS.get(name, {}), *([MONTH] if name in LAYOUTS and LAYOUTS[name].month else [])}
+        rows.append((name, None, t.spark.catalog.getTable(name).description))
+        rows += [(name, c.name, c.description) for c in t.spark.catalog.listColumns(name) if c.name in noted]
+    return t.spark.createDataFrame(rows, "tabela string, coluna string, comentario string")
+
+
+def stored_fact_rebuilt(t: Tables) -> DataFrame:
+    """The fact joined from the tables in buckets."""
+    run = lake(t)
+    s = (run.read(f"silver.{n}") for n in ("itens_pedido", "pedidos", "clientes", "pagamentos", "avaliacoes"))
+    return gold.sales_fact(*s, persons=run.read("silver.pedido_pessoa"))
+
+
+def months_of_1995(t: Tables) -> DataFrame:
+    """Twelve partitions of the stored rollup, and no others."""
+    return marts.monthly_sales(lake(t).read("gold.pedido_totais").filter("ano_mes BETWEEN 199501 AND 199512"))
+
+
+def persons_by_quarter(t: Tables) -> DataFrame:
+    """Different persons of each quarter and state, and of all, merged from monthly sets."""
+    sets = lake(t).read("gold.pessoa_mes")
+    quarters = sets.selectExpr(
+        "cast(ano_mes div 100 AS int) AS ano", "cast((ano_mes % 100 + 2) div 3 AS int) AS trimestre", "uf", "faixa", "bits"
+    )
+    states = distinct_counts(quarters, "ano", "trimestre", "uf", name="pessoas")
+    every = distinct_counts(sets, name="pessoas")
+    none = (F.lit(None).cast("int").alias("ano"), F.lit(None).cast("int").alias("trimestre"), F.lit(None).cast("string").alias("uf"))
+    return states.unionByName(every.select(*none, "pessoas"))
+
+
+def orders_by_category(t: Tables) -> DataFrame:
+    """Different orders of each category and year, merged from monthly sets."""
+    sets = lake(t).read("gold.pedido_categoria_mes")
+    return distinct_counts(
+        sets.selectExpr("cast(ano_mes div 100 AS int) AS ano", "categoria_en", "faixa", "bits"), "ano", "categoria_en", name="pedidos"
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -366,6 +503,17 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest_stitched": query(lambda t: bronze_texts(t, STITCHED)),
     "bronze_ingest_lines": query(lambda t: bronze_texts(t, LINES, line_breaks=False)),
     "bronze_reconciliation": query(bronze_reconciliation),
+    "bronze_contents": query(bronze_contents),
+    "bronze_contents_swapped": query(
+        lambda t: bronze_contents(
+            t,
+            order_payments=("payment_type", "payment_value"),
+            orders=("order_approved_at", "order_delivered_carrier_date"),
+            customers=("customer_city", "customer_state"),
+        )
+    ),
+    "arrival_log": query(log_rows),
+    "quarantined_items": query(quarantined),
     "refresh_tables": query(refreshed),
     # silver
     "clean_customers": query(lambda t: t.silver("clientes")),
@@ -375,33 +523,44 @@ QUERIES: dict[str, Query] = {
     "clean_items": query(lambda t: t.silver("itens_pedido")),
     "clean_payments": query(lambda t: t.silver("pagamentos")),
     "clean_reviews": query(lambda t: t.silver("avaliacoes")),
-    "mean_point_geolocation": query(lambda t: rounded_point(t.silver("geolocalizacao"))),
+    "mean_point_geolocation": query(lambda t: t.silver("geolocalizacao")),
     "latest_line_per_key": query(latest_line),
     "audit_source_rows": query(source_rows),
     # gold
     "person_dimension": query(lambda t: t.persons()),
     "product_dimension": query(lambda t: t.products()),
     "seller_dimension": query(lambda t: t.sellers()),
-    "geography_dimension": query(lambda t: rounded_point(t.geography())),
+    "geography_dimension": query(lambda t: t.geography()),
     "calendar_dimension": query(lambda t: gold.calendar_dimension(t.silver("pedidos"))),
     "sales_fact": query(lambda t: t.fact()),
-    "sales_fact_hot_order": query(lambda t: t.fact(hot_rows=HOT_ORDER_ROWS)),
+    "sales_fact_hot_order": query(lambda t: t.fact_of_hot_orders(HOT_ORDER_ROWS)),
     # marts
-    "monthly_sales": query(lambda t: marts.monthly_sales(t.order_totals())),
+    "monthly_sales": query(lambda t: marts.monthly_sales(t.order_totals(*MONTHLY))),
     "category_performance": query(lambda t: t.categories()),
     "seller_performance": query(lambda t: marts.seller_performance(t.fact(), t.sellers())),
-    "geography_sales": query(lambda t: marts.geography_sales(marts.person_totals(t.order_totals()), t.persons())),
+    "geography_sales": query(lambda t: marts.geography_sales(marts.person_totals(t.order_totals("cliente_id", "cancelado")), t.persons())),
     # business metrics
-    "kpi_snapshot": query(lambda t: kpis.kpi_snapshot(marts.person_totals(t.order_totals()))),
-    "cancellation_rate": query(lambda t: kpis.cancellation_rate(t.order_totals())),
+    "kpi_snapshot": query(lambda t: kpis.kpi_snapshot(marts.person_totals(t.order_totals("cliente_id", "cancelado")))),
+    "cancellation_rate": query(lambda t: kpis.cancellation_rate(t.order_totals(*MONTHLY))),
     "cancellation_rate_all_orders": query(
         lambda t: kpis.cancellation_rate(t.silver("pedidos"), "order_id")
     ),
-    "payment_mix_per_order": query(lambda t: kpis.payment_mix(t.order_totals())),
+    "payment_mix_per_order": query(lambda t: kpis.payment_mix(t.order_totals("cancelado", "metodo_pagamento_principal", "valor_pago"))),
     "payment_mix_per_item_value": query(
         lambda t: kpis.payment_mix(t.fact(), kpis.PER_ITEM_VALUE)
     ),
     "top_categories": query(lambda t: kpis.top_categories(t.categories())),
+    # stored tables: buckets, months, sets, published names
+    "sales_fact_in_buckets": query(stored_fact_rebuilt),
+    "monthly_sales_1995": query(months_of_1995),
+    "distinct_persons_by_quarter": query(persons_by_quarter),
+    "distinct_orders_by_category": query(orders_by_category),
+    "view_kpi_snapshot": view("gold.vw_metricas_gerais"),
+    "view_cancellation_rate": view("gold.vw_taxa_cancelamento"),
+    "view_payment_mix_per_item_value": view("gold.vw_metodo_pagamento"),
+    "view_payment_mix_per_order": view("gold.vw_metodo_pagamento_por_pedido"),
+    "view_top_categories": view("gold.vw_top10_categorias"),
+    "published_comments": query(comments),
     # data tests
     "check_revenue_total": query(
         lambda t: quality.reconcile_sum(
