@@ -29,7 +29,7 @@ from tidemark.sources.bronze import (
     require_reconciled,
 )
 from tidemark.sources.landing import append_arrival_log, arrival_check, read_modes
-from tidemark.sources.layout import Layout, attach_statements, months_of, partition_path, with_month, write_laid_out
+from tidemark.sources.layout import Layout, attach_statements, months_of, partition_of, partition_path, with_month, write_laid_out
 from tidemark.sources.tables import (
     delete_folder,
     folders_in,
@@ -109,6 +109,9 @@ class Run:
         self.hot_rows = hot_rows
         self.hot: dict[str, DataFrame] = {}
         self.laid_out: dict[str, Layout] = {}
+        self.contents: dict[str, list] = {}  # checksum of each landed drop
+        self.places: dict[str, str] = {}  # of tables whose files are another run's
+        self.parts: dict[str, dict[str, str]] = {}  # of tables by month: where each month lies
 
     @property
     def schema(self) -> str:
@@ -123,7 +126,10 @@ class Run:
     def read(self, name: str) -> DataFrame:
         if name in self.laid_out:
             return self.spark.table(self.table(name))
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.place(name))
+
+    def place(self, name: str) -> str:
+        return self.places.get(name, self.path(name))
 
     def layout(self, name: str) -> Layout | None:
         if any(name in made for raw, made in BY_ORDER.items() if raw in self.hot):
@@ -141,6 +147,9 @@ class Run:
                 commented, self.table(name), self.path(name), layout, self.buckets, rules, dealt
             )
             self.laid_out[name] = layout
+            if layout.month:
+                months = months_of(self.spark, self.table(name))
+                self.parts[name] = {m: partition_path(self.path(name), m) for m in months}
         else:
             self.rows[name] = write_table(commented, self.path(name), rules)
         return self.rows[name]
@@ -158,8 +167,11 @@ class Run:
         self.rows[name] = seen["_rows"]
         return tuple(seen[c] for c in FIELDS)
 
-    def bronze(self, landing: str, expected: dict[str, str]) -> None:
-        """Check arrival, load every file as text, and prove that counts and contents are those of the files."""
+    def bronze(self, landing: str, expected: dict[str, str], base: "Run | None" = None) -> None:
+        """Check arrival, load every file as text, and prove that counts and contents are those of the files.
+
+        A drop with the content it had in the run ``base`` isn't loaded again.
+        """
         landing = landing.rstrip("/")
         for table, name in expected.items():
             self.comments[f"bronze.{table}"] = descriptions.BRONZE.format(file=name)
@@ -168,6 +180,16 @@ class Run:
             arrival_check(self.spark, landing, expected, modes=modes), self.log_path
         )
         landed = landed_contents(self.spark, landing, expected, modes).collect()  # one row per table
+        self.contents = {r["tabela"]: [r[c] for c in FIELDS] for r in landed}
+        same = {t for t in expected if base and base.contents.get(t) == self.contents[t]}
+        for table in same:
+            self.reuse(base, f"bronze.{table}")
+        self.load_raw(landing, {t: n for t, n in expected.items() if t not in same}, modes)
+
+    def load_raw(self, landing: str, expected: dict[str, str], modes: dict[str, str]) -> None:
+        """Load drops as text and compare number and content with the files'."""
+        if not expected:
+            return
 
         def load(table: str) -> tuple:
             name = expected[table]
@@ -179,8 +201,31 @@ class Run:
         loaded = self.spark.createDataFrame(side_by_side(load, expected), CONTENT)
         counts = loaded.select("tabela", F.col("linhas").alias("linhas_bronze"))
         require_reconciled(reconcile_counts(self.spark.read.parquet(self.log_path), counts))
+        landed = [(table, *self.contents[table]) for table in expected]
         require_contents(reconcile_contents(self.spark.createDataFrame(landed, CONTENT), loaded))
 
+    def reuse(self, base: "Run", name: str) -> None:
+        """Show a table of an earlier run as it is."""
+        if name in base.laid_out:
+            for statement in base.attach_as(self, name):
+                self.spark.sql(statement)
+            self.laid_out[name] = base.laid_out[name]
+            if name in base.parts:
+                self.parts[name] = base.parts[name]
+        self.places[name], self.rows[name] = base.place(name), base.rows[name]
+
+    def replace_months(self, base: "Run", name: str, rows: DataFrame, months: list) -> None:
+        """A table by month of which the given months are new; the others keep the files they have."""
+        self.write(name, rows)
+        fresh = {partition_of(m) for m in months}
+        self.parts[name] = {**{m: p for m, p in base.parts[name].items() if m not in fresh}, **self.parts[name]}
+        table, schema = self.table(name), self.read(name)
+        made = attach_statements(schema, table, self.path(name), LAYOUTS[name], self.buckets, self.parts[name])
+        self.spark.sql(f"DROP TABLE {table}")  # its files stay
+        for statement in made:
+            self.spark.sql(statement)
+        self.rows[name] = self.read(name).count()
+
     def silver(self, on_bad: str = "abort") -> None:
         """Clean every table. Unreadable amounts abort the load or, with ``quarantine``, their rows
         are set aside in a table of their own; no row may get lost between the two."""
@@ -302,7 +347,7 @@ class Run:
         found = [
             name_over_table(self.spark, self.table(n), n, c)
             if n in self.laid_out
-            else name_over_files(self.spark, self.path(n), n, c)
+            else name_over_files(self.spark, self.place(n), n, c)
             for n, c in names.items()
         ]
         found.append(
@@ -314,15 +359,50 @@ class Run:
             found.append(name_over_query(query, view, self.comments[view]))
         return found
 
+    def attach_as(self, other: "Run", name: str, parts: dict[str, str] | None = None) -> list[str]:
+        """What makes a table of this run, or one with its files, known to the catalog as ``other``'s."""
+        found = parts if parts is not None else self.parts.get(name)
+        return attach_statements(
+            self.read(name), other.table(name), self.place(name), self.laid_out[name], self.buckets, found
+        )
+
     def attachments(self) -> list[str]:
         """What a catalog that lost them, or never had them, needs to know the run's tables."""
-        found = []
-        for name, layout in self.laid_out.items():
-            table, path = self.table(name), self.path(name)
-            months = months_of(self.spark, table) if layout.month else []
-            places = {m: partition_path(path, m) for m in months}
-            found += attach_statements(self.read(name), table, path, layout, self.buckets, places)
-        return found
+        return [statement for name in self.laid_out for statement in self.attach_as(self, name)]
+
+    def uses(self) -> list[str]:
+        """The runs whose files this one shows."""
+        paths = [*self.places.values(), *(p for parts in self.parts.values() for p in parts.values())]
+        prefix = f"{self.root}/runs/"
+        return sorted({p.removeprefix(prefix).split("/")[0] for p in paths} | {self.run_id})
+
+    def save(self) -> None:
+        """Keep what a later run needs to build on this one."""
+        kept = {
+            "rows": self.rows,
+            "comments": self.comments,
+            "buckets": self.buckets,
+            "hot": sorted(self.hot),
+            "laid_out": sorted(self.laid_out),
+            "contents": self.contents,
+            "places": self.places,
+            "parts": self.parts,
+            "uses": self.uses(),
+        }
+        write_text(self.spark, f"{self.path('')}run.json", json.dumps(kept))
+        write_text(self.spark, f"{self.path('')}tables.json", json.dumps(self.attachments()))
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str, run_id: str) -> "Run":
+        """A run that was saved, for reading."""
+        kept = json.loads(read_text(spark, f"{root.rstrip('/')}/runs/{run_id}/run.json"))
+        run = cls(spark, root, run_id, kept["buckets"])
+        for key in ("rows", "comments", "contents", "places", "parts"):
+            setattr(run, key, kept[key])
+        run.hot = {name: spark.read.parquet(f"{run.path(f'bronze.{name}')}_quentes") for name in kept["hot"]}
+        run.laid_out = {name: LAYOUTS[name] for name in kept["laid_out"]}
+        attach(spark, run.root, run_id)
+        return run
 
     def publish(self) -> None:
         """Point every name to this run.
@@ -332,7 +412,7 @@ class Run:
         """
         statements = self.statements()
         write_text(self.spark, f"{self.path('')}names.json", json.dumps(statements))
-        write_text(self.spark, f"{self.path('')}tables.json", json.dumps(self.attachments()))
+        self.save()
         for schema in sorted({name.split(".")[0] for name in self.comments}):
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
         before = published(self.spark, self.root)
@@ -392,11 +472,14 @@ def repair(spark: SparkSession, root: str) -> str | None:
 
 
 def expire_runs(spark: SparkSession, root: str, keep: int = 7) -> list[str]:
-    """Delete all but the newest runs; the published one, and one being published, always stay."""
+    """Delete all but the newest runs; the published one, one being published, and those whose files a staying
+    one shows always stay."""
     root = root.rstrip("/")
     state = json.loads(read_text(spark, f"{root}/{STATE}") or "{}")
     runs = folders_in(spark, f"{root}/runs")
     staying = {*runs[max(0, len(runs) - max(keep, 1)) :], state.get("run"), state.get("next")}
+    for run in [r for r in staying if r]:  # a run may show files of earlier ones
+        staying.update(json.loads(read_text(spark, f"{root}/runs/{run}/run.json") or "{}").get("uses", ()))
     gone = [run for run in runs if run not in staying]
     for run in gone:
         spark.sql(f"DROP SCHEMA IF EXISTS {schema_of(run)} CASCADE")
@@ -413,11 +496,12 @@ def refresh(
     as_of: Column | None = None,
     run_id: str | None = None,
     on_bad: str = "abort",
+    buckets: int | None = None,
 ) -> Run:
     """Do all of it; nothing is published unless every count, constraint and test holds."""
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad is one of {ON_BAD}, not {on_bad!r}")
-    run = Run(spark, root, run_id)
+    run = Run(spark, root, run_id, buckets)
     run.bronze(landing, expected or manifest())
     run.silver(on_bad)
     run.gold(as_of)

@@ -56,20 +56,23 @@ def write_laid_out(
     return settle(seen, path)["_rows"]
 
 
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_of(month: int | None) -> str:
+    """A month's folder, such as ``ano_mes=201703``."""
+    return f"{MONTH}={NO_MONTH if month is None else month}"
+
+
 def months_of(spark: SparkSession, name: str) -> list[str]:
-    """The partitions of a table, as ``ano_mes=201703``."""
-    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    """The folders of a table's months."""
+    return [r[0].replace("=null", f"={NO_MONTH}") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
 def partition_path(path: str, partition: str) -> str:
     return f"{path.rstrip('/')}/{partition}"
 
 
-def spec(partition: str) -> str:
-    value = partition.split("=", 1)[1]
-    return f"{MONTH}=null" if value in ("__HIVE_DEFAULT_PARTITION__", "null") else partition
-
-
 def attach_statements(
     df: DataFrame, name: str, path: str, layout: Layout, buckets: int, partitions: dict[str, str] | None = None
 ) -> list[str]:
@@ -85,5 +88,5 @@ def attach_statements(
         f"CLUSTERED BY (`{layout.key}`) SORTED BY (`{layout.key}`) INTO {buckets} BUCKETS LOCATION '{path}'",
     ]
     for partition, place in sorted((partitions or {}).items()):
-        made.append(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec(partition)}) LOCATION '{place}'")
+        made.append(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition.replace(NO_MONTH, 'null')}) LOCATION '{place}'")
     return made
