@@ -28,6 +28,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns in one struct: ``select("row.*")`` gives them back, whatever else was added meanwhile."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)
+
+
 def word_count(text: str) -> Column:
     """Number of words; 0 where the text is null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored, text_key
+from tidemark.llm.common import WORD, stored, text_key, whole_row
 from tidemark.llm.components import components
 
 WORDS = 3
@@ -41,6 +41,8 @@ PERCENT = 90
 LEAST_BITS, MOST_BITS = 64, 1 << 14
 #: Bits for each member in the bitmaps of the last round.
 WIDE = 4
+#: Of the names of sets; 64 more tell apart those that share one.
+NAME_BITS = 64
 #: Members of a bucket's largest component that those outside are compared with, by round.
 HEADS = (1, 4, 16)
 
@@ -164,9 +166,10 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     rows.append((doc_id, mark, 0, *[None] * 8))
                     continue
                 digest = xxhash.xxh3_128_digest(members.tobytes())
-                vid, proof = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-                tiles = [] if vid in seen else signatures(members, bands)
-                seen.add(vid)
+                vid = int.from_bytes(digest[: NAME_BITS // 8], "little", signed=True)
+                proof = int.from_bytes(digest[8:], "little", signed=True)
+                tiles = [] if digest in seen else signatures(members, bands)
+                seen.add(digest)
                 own, below = [*tiles, *[(None, None, None)] * 2][:2]
                 rows.append((doc_id, mark, len(members), vid, proof, *own, *below))
             yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
@@ -177,7 +180,21 @@ def document_sets(docs: DataFrame) -> DataFrame:
     # as strings, ids with nulls among them stay whole in pandas
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key().alias("mark"), "text")
     sets = rows.mapInPandas(_sets, SETS)
-    return stored(sets.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
+    return _told_apart(stored(sets.withColumn("doc_id", F.col("doc_id").cast("long")), "sets"))
+
+
+def _told_apart(sets: DataFrame) -> DataFrame:
+    """Different sets that happen to have one 64-bit name get new ones, made of all 128 bits.
+
+    Among ten thousand million sets a few names are shared, and nothing but their rows is written again.
+    """
+    doubtful = sets.groupBy("vid").agg(F.min("proof").alias("x"), F.max("proof").alias("y")).filter("x <> y")
+    doubtful = stored(doubtful.select("vid"), "shared-names")
+    if doubtful.isEmpty():
+        return sets
+    renamed = sets.join(doubtful, "vid", "left_semi").withColumn("vid", F.xxhash64("vid", "proof"))
+    kept = sets.join(doubtful, "vid", "left_anti")
+    return _told_apart(kept.unionByName(stored(renamed, "renamed")))
 
 
 def _by_tile(sets: DataFrame, *columns: str) -> DataFrame:
@@ -350,9 +367,6 @@ def all_links(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, mark, n, component (a class of it; null for empty sets) of every document."""
     sets = document_sets(docs)
-    doubtful = sets.groupBy("vid").agg(F.min("proof").alias("x"), F.max("proof").alias("y")).filter("x <> y")
-    if not doubtful.isEmpty():
-        raise RuntimeError("two different sets have one 64-bit name; change the seed of the hash")
     _, labels = class_components(docs, sets)
     named = sets.select("doc_id", "mark", "n", "vid").join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
     return stored(named.select("doc_id", "mark", "n", F.coalesce("component", "vid").alias("component")), "grouped")
@@ -383,12 +397,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
         rows, F.col("i").eqNullSafe(F.col("_jt_id")) & (F.col("m") == F.col("_jt_mark"))
     )
     chosen = stored(chosen.select("_jt_id", "_jt_mark", "_jt_rows"), "chosen")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_jt_id")) & (text_key() == F.col("_jt_mark"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # in a struct, the caller's columns are apart from these, whatever their names
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("i"), text_key().alias("m"))
+    same = F.col("i").eqNullSafe(F.col("_jt_id")) & (F.col("m") == F.col("_jt_mark"))
     empty = docs.filter(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
-    single = docs.join(chosen.filter("_jt_rows = 1"), same).select(*columns)
-    kept = single.unionByName(empty)
+    kept = rows.join(chosen.filter("_jt_rows = 1"), same).select("row.*").unionByName(empty)
     if chosen.filter("_jt_rows > 1").isEmpty():
         return kept
-    repeated = docs.join(chosen.filter("_jt_rows > 1"), same)
-    return kept.unionByName(repeated.dropDuplicates(["_jt_id", "_jt_mark"]).select(*columns))
+    repeated = rows.join(chosen.filter("_jt_rows > 1"), same)
+    return kept.unionByName(repeated.dropDuplicates(["_jt_id", "_jt_mark"]).select("row.*"))

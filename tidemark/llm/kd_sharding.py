@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored, whole_row
 
 ROW_BYTES = 16
 DIMENSIONS = ("doc_id", "n_chars", "lang", "source")
@@ -208,10 +208,13 @@ def add_shards(
     """All rows and columns, with the shard as one more column (replacing one of that name)."""
     bounds = prepare(docs, dimensions)
     tree, _ = fit(stored(_compact(docs, bounds), "kd-rows"), bounds, shards)
-    rows = docs.withColumns(
-        {"_kd_at": F.array(*_positions(docs, bounds)), "_kd_tail": _tail("doc_id", "text")}
+    # in a struct, the caller's columns are apart from those of the tree, whatever their names
+    rows = docs.select(
+        whole_row(docs), F.array(*_positions(docs, bounds)).alias("_kd_at"), _tail("doc_id", "text").alias("_kd_tail")
     )
-    return _descend(rows, tree).withColumn(column, _leaf(tree)).drop("_kd_at", "_kd_tail", "_kd_node")
+    placed = _descend(rows, tree).select("row", _leaf(tree).alias("leaf"))
+    names = docs.columns if column in docs.columns else [*docs.columns, column]
+    return placed.select(*(F.col("leaf").alias(c) if c == column else F.col("row")[c].alias(c) for c in names))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, files_per_shard: int = 4, **options) -> None:

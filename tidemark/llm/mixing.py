@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, word_count
+from tidemark.llm.common import stored, whole_row, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -149,12 +149,8 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
     """The mixed documents themselves: every row as often as the plan says, columns unchanged."""
     _, chosen = plan(docs, seed=seed, **options)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # in a struct, the caller's columns are apart from those of the plan, whatever their names
+    rows = docs.select(whole_row(docs), "source", draw("doc_id", "text", seed).alias("_mix_draw"))
     copies = _copies(F.col("_mix_shift")).cast("int")
-    drawn = _join(docs.withColumn("_mix_draw", draw("doc_id", "text", seed)), chosen)
-    return (
-        drawn.withColumn("_mix_copies", copies)
-        .filter("_mix_copies > 0")
-        .select(*columns, F.explode(F.sequence(F.lit(1), "_mix_copies")).alias("_mix_copy"))
-        .drop("_mix_copy")
-    )
+    drawn = _join(rows, chosen).select("row", copies.alias("copies")).filter("copies > 0")
+    return drawn.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")

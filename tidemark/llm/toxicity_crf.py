@@ -479,5 +479,4 @@ def score_table(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, columns unchanged."""
     scored = scorer(fit(docs, labels))
-    kept = docs.withColumn("_tox", scored("text")["score"]).filter(F.col("_tox") < threshold)
-    return kept.drop("_tox")
+    return docs.filter(scored("text")["score"] < threshold)
