@@ -175,7 +175,7 @@ def test_items_equal_the_plain_version(spark):
         w = decontamination.words_of(text or "")
         for item_id, item in items:
             p = decontamination.words_of(item or "")
-            if len(p) >= decontamination.LEAST_WORDS:
+            if sum(map(len, p)) >= decontamination.LEAST_BYTES:
                 d = best_distance(p, w)
                 if d <= int(len(p) * decontamination.TOLERANCE):
                     want[doc_id, item_id] = d
@@ -188,6 +188,32 @@ def test_items_equal_the_plain_version(spark):
     assert clean.count() == len(rows) - len({d for d, _ in want})
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    """One to four words stand as they are; an ideograph is a word; too little text is no evidence."""
+    chinese = "数据处理引擎能够在大型集群上运行并且完成所有查询"
+    items = [(1, "Constantinople"), (2, "blue whale sings"), (3, "a b c"), (4, "four little words here"), (5, chinese)]
+    items += [(6, "ภาษาไทยไม่มีช่องว่าง"), (7, "短い文"), (8, "数据处理")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    edited = chinese.replace("大型", "很大") + "了"
+    rows = [
+        (1, "once in Constantinople, they"), (2, "The BLUE whale -- sings!"), (3, "blue whale never sings"), (4, "a b c"),
+        (5, "xfour little words here"), (6, "so, four little words here."), (7, f"他说{chinese}。"), (8, f"他说，{edited}"),
+        (9, chinese[:12] + "没有" + chinese[20:]), (10, "ก ภาษาไทยไม่มีช่องว่าง ข"), (11, "数据"), (12, "Constantinoples"),
+    ]
+    docs = documents(spark, rows)
+    want = set()
+    for doc_id, text in rows:
+        w = decontamination.words_of(text)
+        for item_id, item in items:
+            p = decontamination.words_of(item)
+            if len("".join(p)) >= 12 and best_distance(p, w) <= int(len(p) * decontamination.TOLERANCE):
+                want.add((doc_id, item_id))
+    assert want == {(1, 1), (2, 2), (6, 4), (7, 5), (8, 5), (7, 8), (8, 8), (9, 8), (10, 6)}
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminations(docs, table).collect()} == want
+    kept = {r.doc_id for r in decontamination.drop_contaminated(docs, table).collect()}
+    assert kept == {3, 4, 5, 11, 12}
+
+
 def test_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 60)
     items = [(k, f"item number {k} has these words") for k in range(9)]

@@ -6,14 +6,16 @@ over all pieces finds those exact hits; around each, Myers' bit-parallel algorit
 the edit table in one integer, gives the smallest distance and where the match ends; the same on the
 reversed words gives its start.
 
-Words are runs of letters and digits after lower-casing. Items of under ``LEAST_WORDS`` words are no
-evidence and match nothing; null and empty texts match nothing; equal items are all reported, and
+Words are runs of letters and digits after lower-casing; in scripts that put no blanks between words every
+character is one. An item of few words has no budget and must stand in the document as it is; only items whose
+words have under ``LEAST_BYTES`` bytes together are no evidence and match nothing; null and empty texts match nothing; equal items are all reported, and
 equal documents are treated alike. Items are dealt to blocks of about ``BLOCK_BYTES`` by hash; a block
 is what one automaton holds and what is sent to executors, and documents are streamed once per block.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,16 +26,21 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 TOLERANCE = 0.15
-LEAST_WORDS = 5
+LEAST_BYTES = 12
 BLOCK_BYTES = 4_000_000
 MATCH = "array<struct<item_id:bigint,distance:int,first_word:int,last_word:int>>"
 
 #: ASCII letters and digits and all bytes of other characters stay; the rest separates words.
 _KEEP = bytes(b if chr(b).isalnum() or b >= 0x80 else 32 for b in range(128)) + bytes(range(128, 256))
 
+#: Thai, Lao, Burmese, Khmer, kana and ideographs.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 
 def words_of(text: str) -> list[str]:
     """Each word as one character per UTF-8 byte."""
+    if not text.isascii():
+        text = UNSPACED.sub(r" \g<0> ", text)
     return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP).decode("latin-1").split()
 
 
@@ -86,7 +93,7 @@ class Items:
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             words = words_of(text)
-            if len(words) < LEAST_WORDS:
+            if sum(map(len, words)) < LEAST_BYTES:
                 continue
             k = int(len(words) * tolerance)
             for offset, piece in pieces_of(words, k + 1):
