@@ -60,6 +60,8 @@ LAYOUTS = {
     "gold.fato_vendas": Layout("pedido_id", month="data_compra"),
     "gold.pedido_totais": Layout("pedido_id", month="data_compra"),
 }
+BUCKET_ROWS = 20_000_000
+LEAST_BUCKETS = 4
 # Raw tables in which one order may have very many rows, and what is made of each by order.
 BY_ORDER = {
     "order_items": ("silver.itens_pedido", "gold.fato_vendas"),
@@ -105,7 +107,7 @@ class Run:
         self.log_path = f"{self.root}/bronze/_raw_arquivos"
         self.rows: dict[str, int] = {}
         self.comments = dict(descriptions.TABLES)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fixed_buckets = buckets
         self.hot_rows = hot_rows
         self.hot: dict[str, DataFrame] = {}
         self.laid_out: dict[str, Layout] = {}
@@ -113,6 +115,12 @@ class Run:
         self.places: dict[str, str] = {}  # of tables whose files are another run's
         self.parts: dict[str, dict[str, str]] = {}  # of tables by month: where each month lies
 
+    @property
+    def buckets(self) -> int:
+        """As given, or so many that one holds about ``BUCKET_ROWS`` rows of the largest table by order."""
+        most = max((self.rows.get(f"bronze.{t}", 0) for t in BY_ORDER), default=0)
+        return self.fixed_buckets or max(LEAST_BUCKETS, -(-most // BUCKET_ROWS))
+
     @property
     def schema(self) -> str:
         return schema_of(self.run_id)
