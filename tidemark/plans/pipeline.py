@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -17,7 +16,7 @@ from tidemark.operators.quality import quality_gate
 from tidemark.operators.skew import HOT_ROWS
 from tidemark.plans import descriptions, gate, gold, kpis, marts, silver
 from tidemark.schemas import manifest, raw_schema
-from tidemark.session import tune
+from tidemark.session import side_by_side, tune
 from tidemark.sources.bronze import (
     CONTENT,
     ReconciliationError,
@@ -69,14 +68,6 @@ BY_ORDER = {
     "order_reviews": ("silver.avaliacoes",),
 }
 
-CONCURRENT_WRITES = 4  # independent tables share the cluster instead of queueing
-
-
-def side_by_side(work: Callable[[str], object], names: Iterable[str]) -> list:
-    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        return list(pool.map(work, names))
-
-
 def readable(columns: Iterable[str]) -> Column:
     """Whether every one of the columns is NULL or an amount."""
     return reduce(

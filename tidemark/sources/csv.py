@@ -83,14 +83,15 @@ def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def layout(spark: SparkSession, paths: str | list[str]) -> str:
     """How these files may be read; every line is looked at. Raises on a quote that is never closed."""
     value = F.col("value")
-    bare = F.regexp_replace(value, r"\r\z", "")
+    bare = F.when(value.endswith("\r"), F.left(value, F.length(value) - 1)).otherwise(value)
     seen = text_lines(spark, paths).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(value.endswith("\r")).alias("returns"),
         F.count_if(bare.contains("\r")).alias("inner_returns"),
         # the readers differ on lines of blanks
         F.count_if((F.trim(bare) == "") & (bare != "")).alias("blank"),
-        F.count_if(~bare.rlike(RECORD)).alias("parts"),
+        # without a quote any line is a record, but for returns, which are counted above
+        F.count_if(value.contains('"') & ~bare.rlike(RECORD)).alias("parts"),
     ).first()
     if seen["inner_returns"] or seen["blank"] or seen["returns"] not in (0, seen["lines"]):
         return WHOLE
