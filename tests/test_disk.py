@@ -42,3 +42,14 @@ def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path, bare_ta
         time.sleep(0.1)
     assert not shuffle_files(spark) - before
     assert kept.count() == 5000 and kept.collect() == kept.collect()
+
+
+def test_stored_tables_are_packed(spark, tmp_path, bare_tables):
+    run = Run(spark, str(tmp_path))
+    rows = spark.range(100).selectExpr("cast(id AS string) AS order_id", "id AS k")
+    for name in ("silver.pedidos", "gold.pessoa_totais", "bronze.orders"):
+        run.write(name, rows)
+        parts = list(Path(run.path(name)).rglob("*.parquet"))
+        found = {pq.ParquetFile(p).metadata.row_group(0).column(k).compression for p in parts if pq.ParquetFile(p).metadata.num_rows for k in (0, 1)}
+        assert found == {"ZSTD"}
+        assert {tuple(r) for r in run.read(name).collect()} == {(str(k), k) for k in range(100)}
