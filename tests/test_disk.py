@@ -53,3 +53,48 @@ def test_stored_tables_are_packed(spark, tmp_path, bare_tables):
         found = {pq.ParquetFile(p).metadata.row_group(0).column(k).compression for p in parts if pq.ParquetFile(p).metadata.num_rows for k in (0, 1)}
         assert found == {"ZSTD"}
         assert {tuple(r) for r in run.read(name).collect()} == {(str(k), k) for k in range(100)}
+
+
+def running_together(spans):
+    """Pairs of names whose time spans overlap."""
+    return {(a, b) for a, (s, e) in spans.items() for b, (t, f) in spans.items() if a < b and s < f and t < e}
+
+
+def test_jobs_that_fill_the_cluster_run_alone():
+    spans = {}
+
+    def work(name):
+        began = time.time()
+        time.sleep(0.05)
+        spans[name] = (began, time.time())
+        return name.upper()
+
+    assert side_by_side(work, "abcdef", alone=["e", "b"]) == list("ABCDEF")
+    together = running_together(spans)
+    assert together and not any({"b", "e"} & set(pair) for pair in together)
+    assert side_by_side(work, iter("ab")) == ["A", "B"]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(lambda k: 1 // int(k), ["1", "0"], alone=["0"])
+
+
+def test_large_tables_are_dealt_one_at_a_time(spark, tmp_path, monkeypatch):
+    run = Run(spark, str(tmp_path / "lake"))
+    run.bronze(write_landing(tmp_path / "landing"), manifest())
+    large = [n for n, k in run.rows.items() if k > 4]
+    assert {"bronze.order_items", "bronze.order_payments", "bronze.orders"} <= set(large)
+    monkeypatch.setattr(pipeline, "BUCKET_ROWS", 4)
+    spans, lock, write = {}, threading.Lock(), run.write
+
+    def watched(name, *args):
+        began = time.time()
+        rows = write(name, *args)
+        with lock:
+            spans[name] = (began, time.time())
+        return rows
+
+    monkeypatch.setattr(run, "write", watched)
+    run.silver()
+    moved = {"silver.itens_pedido", "silver.pagamentos", "silver.pedidos"}
+    together = running_together(spans)
+    assert not any(moved & set(pair) for pair in together) and len(spans) == 9
+    assert run.rows["silver.itens_pedido"] == run.rows["bronze.order_items"]
