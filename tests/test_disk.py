@@ -98,3 +98,18 @@ def test_large_tables_are_dealt_one_at_a_time(spark, tmp_path, monkeypatch):
     together = running_together(spans)
     assert not any(moved & set(pair) for pair in together) and len(spans) == 9
     assert run.rows["silver.itens_pedido"] == run.rows["bronze.order_items"]
+
+
+def test_packed_drops_have_the_rows_of_plain_ones(spark, sf_dir):
+    t = registry.Tables(spark, sf_dir)
+    plain, packed = registry.land(t), registry.land(t, **{**registry.PACKED, "maxRecordsPerFile": 500})
+    parts = [p for p in Path(packed.removeprefix("file:")).rglob("part-*")]
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    assert len([p for p in parts if "order_items" in str(p)]) >= 6000 // 500
+    size = lambda at: sum(p.stat().st_size for p in Path(at.removeprefix("file:")).rglob("part-*"))
+    assert size(packed) < size(plain) / 2
+
+    def found(at):
+        return {tuple(r) for r in landed_contents(spark, at, manifest(), read_modes(spark, at, list(manifest().values()))).collect()}
+
+    assert found(plain) == found(packed)
