@@ -100,6 +100,73 @@ def test_large_tables_are_dealt_one_at_a_time(spark, tmp_path, monkeypatch):
     assert run.rows["silver.itens_pedido"] == run.rows["bronze.order_items"]
 
 
+@pytest.fixture
+def merge_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def sales(spark, tmp_path, bare_tables):
+    """A stored fact with repeated items, cancelled orders, a product without category, one unknown, one only cancelled."""
+    run = Run(spark, str(tmp_path), buckets=4)
+    fact = spark.range(3000).selectExpr(
+        "'o' || id div 5 AS pedido_id",
+        "cast(id % 5 AS int) AS item_id",
+        "CASE WHEN id div 5 % 10 = 0 THEN 'k99' ELSE 'k' || (id * 7 % 11) END AS produto_id",
+        "CASE WHEN id div 5 % 37 = 1 THEN NULL ELSE id div 5 % 10 = 0 END AS cancelado",
+        "CASE WHEN id div 5 % 41 = 2 THEN NULL ELSE timestamp'2017-01-15 10:00:00' + make_dt_interval(cast(id div 5 % 90 AS int)) END AS data_compra",
+        "cast(id % 100 AS decimal(19,2)) AS receita",
+        "cast(id div 5 % 5 + 1 AS double) AS nota_avaliacao",
+    )
+    fact = fact.unionByName(fact.filter("item_id = 2"))
+    products = spark.range(100).filter("id <> 10").selectExpr("'k' || id AS product_id", "CASE WHEN id % 4 <> 3 THEN 'c' || id % 4 || IF(id = 99, 'x', '') END AS categoria_en")
+    products = products.withColumn("categoria_en", F.expr("IF(product_id = 'k99', 'never', categoria_en)"))
+    run.write("gold.fato_vendas", fact)
+    run.write("gold.dim_produto", products)
+    run.write("gold.pedido_numero", marts.order_numbers(run.read("gold.fato_vendas")))
+    return run
+
+
+def moved_by_order(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line and "pedido_id" in line]
+
+
+def test_orders_get_their_numbers_without_a_shuffle(sales, merge_joins):
+    fact, products = sales.read("gold.fato_vendas"), sales.read("gold.dim_produto")
+    sets = marts.order_sets(fact, products, sales.read("gold.pedido_numero"))
+    assert not moved_by_order(sets)
+    plain = marts.category_performance(fact, products)
+    counts = {tuple(r) for r in distinct_counts(sets, "categoria_en").collect()}
+    assert counts == {(r["categoria_en"], r["pedidos"]) for r in plain.collect()} and len(counts) > 3
+    by_month = marts.sold(fact).join(products, F.col("produto_id") == F.col("product_id"), "left")
+    by_month = by_month.groupBy("ano_mes", F.coalesce("categoria_en", F.lit(marts.UNCATEGORISED)).alias("c")).agg(F.count_distinct("pedido_id"))
+    assert {tuple(r) for r in distinct_counts(sets, "ano_mes", "categoria_en").collect()} == {tuple(r) for r in by_month.collect()}
+    assert sets.groupBy("ano_mes", "categoria_en", RANGE).count().filter("count > 1").isEmpty()
+
+
+def test_categories_count_orders_in_their_sets(sales, merge_joins):
+    fact, products = sales.read("gold.fato_vendas"), sales.read("gold.dim_produto")
+    sales.write("gold.pedido_categoria_mes", marts.order_sets(fact, products, sales.read("gold.pedido_numero")))
+    counted = marts.category_performance(fact, products, sales.read("gold.pedido_categoria_mes"))
+    plain = marts.category_performance(fact, products)
+    assert counted.dtypes == plain.dtypes and moved_by_order(plain) and not moved_by_order(counted)
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, plain.collect()))
+    none = marts.category_performance(fact.limit(0), products, sales.read("gold.pedido_categoria_mes"))
+    assert none.isEmpty()
+
+
+def test_numbers_that_hardly_repeat_are_moved_once(spark):
+    rows = spark.range(9000).selectExpr("cast(id % 7 AS int) AS mes", "id div 3 AS numero")
+    rows = rows.unionByName(rows.limit(500)).unionByName(spark.sql("SELECT 1 AS mes, cast(NULL AS bigint) AS numero"))
+    once, twice = distinct_sets(rows, "mes", repeats=False), distinct_sets(rows, "mes")
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert (shuffles(once), shuffles(twice)) == (1, 2)
+    assert {tuple(r) for r in distinct_counts(once, "mes").collect()} == {tuple(r) for r in distinct_counts(twice, "mes").collect()}
+
+
 def test_packed_drops_have_the_rows_of_plain_ones(spark, sf_dir):
     t = registry.Tables(spark, sf_dir)
     plain, packed = registry.land(t), registry.land(t, **{**registry.PACKED, "maxRecordsPerFile": 500})
