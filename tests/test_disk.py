@@ -180,3 +180,15 @@ def test_packed_drops_have_the_rows_of_plain_ones(spark, sf_dir):
         return {tuple(r) for r in landed_contents(spark, at, manifest(), read_modes(spark, at, list(manifest().values()))).collect()}
 
     assert found(plain) == found(packed)
+
+
+def test_a_load_leaves_no_drops_and_a_counted_one_nothing(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "shared_folder", lambda s: str(tmp_path))
+    schemas = lambda: {r[0] for r in spark.sql("SHOW SCHEMAS").collect()}
+    before = schemas()
+    rows = {r["tabela"]: r["linhas"] for r in registry.QUERIES["refresh_tables"](spark, sf_dir).collect()}
+    assert rows["bronze.order_items"] == rows["gold.fato_vendas"] == 6000
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()] and schemas() == before
+    run = registry.whole_load(registry.Tables(spark, sf_dir))
+    assert not (tmp_path / "landing").exists()
+    assert run.read("bronze.order_items").count() == run.read("gold.fato_vendas").count() == 6000
